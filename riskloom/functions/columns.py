@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import BANDS, SCORE_MAX
 
 _SPACES = " \t\n\r\x0b\x0c"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_NUMBER_NAMED = r"(?i)^[+-]?(nan|inf|infinity)$"
+_NUMBER_OR_NAME = _NUMBER + r"|(?i)^[+-]?(nan|inf|infinity)$"
 _INTEGER = r"^[+-]?\d+$"
 # The spelling Spark casts as it is, and every other ISO spelling.
 _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
@@ -37,7 +37,7 @@ def empty_to_null(c: Column) -> Column:
 def to_double(c: Column) -> Column:
     """Text to double, null when the text is not a plain decimal number or a named float."""
     t = strip(c)
-    return F.when(t.rlike(_NUMBER) | t.rlike(_NUMBER_NAMED), t.try_cast("double"))
+    return F.when(t.rlike(_NUMBER_OR_NAME), t.try_cast("double"))
 
 
 def to_long(c: Column) -> Column:
@@ -52,18 +52,19 @@ def _respelled(c: Column) -> Column:
     return F.regexp_replace(t, r"(?<=\.\d{0,9}Z?):$", "")
 
 
-def _parse_iso(c: Column, kind: str) -> Column:
-    return F.when(c.rlike(_ISO), c.try_cast(kind)).when(c.rlike(_ISO_LOOSE), _respelled(c).try_cast(kind))
+def iso_text(c: Column) -> Column:
+    """ISO text in the one spelling that casts cleanly, null for anything else."""
+    return F.when(c.rlike(_ISO), c).when(c.rlike(_ISO_LOOSE), _respelled(c))
 
 
 def iso_instant(c: Column) -> Column:
     """ISO text to an instant; text without an offset is UTC (the session zone of every job)."""
-    return _parse_iso(c, "timestamp")
+    return iso_text(c).try_cast("timestamp")
 
 
 def iso_wall_clock(c: Column) -> Column:
     """The clock reading as written, ignoring any offset."""
-    return _parse_iso(c, "timestamp_ntz")
+    return iso_text(c).try_cast("timestamp_ntz")
 
 
 def float_text(c: Column) -> Column:
@@ -120,3 +121,14 @@ def all_of(*conds: Column | None) -> Column | None:
     """Conjunction of the given conditions, skipping the ones not asked for."""
     present = [c for c in conds if c is not None]
     return reduce(lambda a, b: a & b, present) if present else None
+
+
+def add_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row, as an operator of their own.
+
+    A plain projection is merged into its neighbours and its expressions are copied into every
+    filter above it. Large copies are slow: a generated method over 8 KB is not compiled at run
+    time. A generator over one row is a boundary for both.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*df.columns, F.inline(F.array(row)))

@@ -59,7 +59,7 @@ GRADED_RULES = (
 
 
 def triggered_rules(rules: Sequence[PointRule] = POINT_RULES) -> Column:
-    return F.array_compact(F.array(*[F.when(F.expr(r.when), F.lit(r.rule_id)) for r in rules]))
+    return F.array_remove(F.array(*[F.when(F.expr(r.when), r.rule_id).otherwise("") for r in rules]), "")
 
 
 def rule_points(rules: Sequence[PointRule] = POINT_RULES) -> Column:

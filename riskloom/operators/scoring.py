@@ -18,7 +18,7 @@ from riskloom.config import (
     FusionWeights,
     GraphWeights,
 )
-from riskloom.functions.columns import band, clamp
+from riskloom.functions.columns import add_once, band, clamp
 from riskloom.operators.rules import POINT_RULES, PointRule, rule_points, triggered_rules
 
 
@@ -93,12 +93,13 @@ def graph_score(metrics: dict[str, Column], w: GraphWeights = GraphWeights()) ->
 
 def graph_motifs(metrics: dict[str, Column]) -> Column:
     degree, size = metrics["degree"], metrics["community_size"]
-    parts = F.array_compact(F.array(
+    text = F.concat_ws(
+        " | ",
         F.when(degree >= 5, F.concat(F.lit("High-degree node (degree="), degree.cast("string"), F.lit(")"))),
         F.when(size >= 10, F.concat(F.lit("In dense community (size="), size.cast("string"), F.lit(")"))),
         F.when(metrics["avg_neighbor_risk"] > 0.1, F.lit("Neighbors show elevated risk")),
-    ))
-    return F.nullif(F.array_join(parts, " | "), F.lit(""))
+    )
+    return F.nullif(text, F.lit(""))
 
 
 # ------------------------------------------------------------------ fusion
@@ -131,13 +132,13 @@ def score_transactions(
 ) -> DataFrame:
     """Add rule, ML, graph and fused scores with their texts."""
     metrics = proxy_metrics()
-    scored = tx.select(
-        "*",
-        rule_points(rules).alias("rule_score"),
-        triggered_rules(rules).alias("triggered_rules"),
-        *[c.alias(n) for n, c in ml_score_columns(F.col("amount_raw")).items()],
-        graph_score(metrics).alias("graph_score"),
-        graph_motifs(metrics).alias("graph_motifs"),
+    scored = add_once(
+        tx,
+        rule_score=rule_points(rules),
+        triggered_rules=triggered_rules(rules),
+        **ml_score_columns(F.col("amount_raw")),
+        graph_score=graph_score(metrics),
+        graph_motifs=graph_motifs(metrics),
     )
     r, m, g = F.col("rule_score"), F.col("ml_score"), F.col("graph_score")
     fused = scored.select("*", fuse(r, m, g, weights).alias("risk_score"), explanation(r, m, g).alias("explanation"))

@@ -18,11 +18,11 @@ from riskloom.config import (
     REQUIRED_FIELDS,
 )
 from riskloom.functions.columns import (
+    add_once,
     empty_to_null,
     float_text,
     is_blank,
-    iso_instant,
-    iso_wall_clock,
+    iso_text,
     quoted,
     strip,
     to_double,
@@ -38,39 +38,55 @@ def _instant_text(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
+def parse_fields(events: DataFrame) -> DataFrame:
+    """Add the typed form of each field; every text is parsed once per row."""
+    spelled = events.withColumn("_iso", iso_text(F.col("timestamp")))
+    texts = ("transaction_id", "transaction_reference", "account_id", "amount", "timestamp")
+    return add_once(
+        spelled,
+        _tenant=to_long(F.col("tenant_id")),
+        _tx=to_long(F.col("transaction_id")),
+        _amount=to_double(F.col("amount")),
+        _time=F.col("_iso").try_cast("timestamp"),
+        _wall=F.col("_iso").try_cast("timestamp_ntz"),
+        **{f"_{f}": F.upper(strip(F.col(f))) for f in ("currency", "direction", "status")},
+        **{f"_no_{f}": is_blank(F.col(f)) for f in texts},
+    ).drop("_iso")
+
+
 def _code(as_of: Column) -> Column:
-    """Rejection code; each field is parsed in one place so the generated code stays small."""
-    stamp = iso_instant(F.col("timestamp"))
+    """Rejection code of the first failing check."""
     newest = as_of + F.expr(f"INTERVAL '{MAX_FUTURE_SECONDS}' SECOND")
     oldest = as_of - F.expr(f"INTERVAL '{MAX_PAST_DAYS}' DAY")
 
     def fails(good: Column) -> Column:
         return ~F.coalesce(good, F.lit(False))
 
-    def word_in(field: str, allowed: list[str]) -> Column:
-        return F.upper(strip(F.col(field))).isin(allowed)
+    def missing(field: str) -> Column:
+        if field in ("currency", "direction", "status"):
+            return F.col(f"_{field}").isNull() | (F.col(f"_{field}") == "")
+        return F.col(f"_no_{field}")
 
-    blank = reduce(lambda a, b: a | b, [is_blank(F.col(f)) for f in REQUIRED_FIELDS])
     return (
         F.when(~F.col("parse_ok"), "SCHEMA_ERROR")
-        .when(fails(to_long(F.col("tenant_id")) > 0), "INVALID_TENANT")
-        .when(blank, "MISSING_FIELD")
-        .when(fails(to_double(F.col("amount")).between(MIN_AMOUNT, MAX_AMOUNT)), "INVALID_AMOUNT")
-        .when(fails(word_in("currency", CURRENCIES)), "INVALID_CURRENCY")
-        .when(fails(word_in("direction", RAW_DIRECTIONS)), "INVALID_DIRECTION")
-        .when(fails(word_in("status", RAW_STATUSES)), "INVALID_STATUS")
-        .when(fails(stamp <= newest), "INVALID_TIMESTAMP")
-        .when(stamp < oldest, "STALE_EVENT")
-        .when(to_long(F.col("transaction_id")).isNull(), "SCHEMA_ERROR")
+        .when(fails(F.col("_tenant") > 0), "INVALID_TENANT")
+        .when(reduce(lambda a, b: a | b, [missing(f) for f in REQUIRED_FIELDS]), "MISSING_FIELD")
+        .when(fails(F.col("_amount").between(MIN_AMOUNT, MAX_AMOUNT)), "INVALID_AMOUNT")
+        .when(~F.col("_currency").isin(CURRENCIES), "INVALID_CURRENCY")
+        .when(~F.col("_direction").isin(RAW_DIRECTIONS), "INVALID_DIRECTION")
+        .when(~F.col("_status").isin(RAW_STATUSES), "INVALID_STATUS")
+        .when(fails(F.col("_time") <= newest), "INVALID_TIMESTAMP")
+        .when(F.col("_time") < oldest, "STALE_EVENT")
+        .when(F.col("_tx").isNull(), "SCHEMA_ERROR")
     )
 
 
 def _reason(as_of: Column) -> Column:
     """Human readable reason, only evaluated for rejected rows."""
-    code, amount, stamp = F.col("rejection_code"), to_double(F.col("amount")), iso_instant(F.col("timestamp"))
+    code, amount, stamp = F.col("rejection_code"), F.col("_amount"), F.col("_time")
     first_missing = F.coalesce(*[F.when(is_blank(F.col(f)), F.lit(f)) for f in REQUIRED_FIELDS])
     tenant = F.concat(
-        F.when(to_long(F.col("tenant_id")).isNull(), "tenant_id is not a valid integer: ").otherwise(
+        F.when(F.col("_tenant").isNull(), "tenant_id is not a valid integer: ").otherwise(
             "tenant_id must be positive integer, got "
         ),
         quoted(F.col("tenant_id")),
@@ -89,7 +105,7 @@ def _reason(as_of: Column) -> Column:
         )
     )
     currency = F.concat(
-        F.lit("currency '"), F.upper(strip(F.col("currency"))),
+        F.lit("currency '"), F.col("_currency"),
         F.lit(f"' is not in the allowed list. Allowed: {_listing(CURRENCIES)}"),
     )
 
@@ -132,11 +148,11 @@ def as_of_column(as_of: str | Column | None) -> Column:
 
 
 def validate(events: DataFrame, as_of: str | Column | None = None) -> DataFrame:
-    """Add ``rejection_code``, null for valid events.
+    """Add ``rejection_code``, null for valid events, and the parsed fields.
 
     Input: event fields as text plus ``parse_ok``. ``as_of`` stands for the present moment.
     """
-    return events.withColumn("rejection_code", _code(as_of_column(as_of)))
+    return parse_fields(events).withColumn("rejection_code", _code(as_of_column(as_of)))
 
 
 def verdicts(judged: DataFrame, *keep: str, as_of: str | Column | None = None) -> DataFrame:
@@ -150,43 +166,38 @@ def verdicts(judged: DataFrame, *keep: str, as_of: str | Column | None = None) -
 
 def rejected(judged: DataFrame, *keep: str, stage: str = "raw", as_of: str | Column | None = None) -> DataFrame:
     """Dead-letter records of the events that failed, payload included."""
-    tenant = to_long(F.col("tenant_id"))
     return judged.where(F.col("rejection_code").isNotNull()).select(
         *keep,
         F.lit(stage).alias("pipeline_stage"),
         "rejection_code",
         _reason(as_of_column(as_of)).alias("rejection_reason"),
         "raw_payload",
-        tenant.alias("tenant_id"),
+        F.col("_tenant").alias("tenant_id"),
         F.coalesce(empty_to_null(F.col("transaction_reference")), empty_to_null(F.col("transaction_id"))).alias("event_id_text"),
         empty_to_null(F.col("account_id")).alias("account_id"),
-        to_double(F.col("amount")).try_cast("decimal(18,2)").alias("amount"),
+        F.col("_amount").try_cast("decimal(18,2)").alias("amount"),
         as_of_column(as_of).alias("rejected_at"),
     )
 
 
 def valid(judged: DataFrame, *keep: str) -> DataFrame:
-    """Events that passed, typed; ``event_wall`` keeps the clock reading as sent.
-
-    A generator instead of filter and projection: every field is parsed once per row, and later
-    filters on scores are not rewritten into expressions over the raw text.
-    """
-    typed = F.struct(
+    """Events that passed, typed; ``event_wall`` keeps the clock reading as sent."""
+    return judged.where(F.col("rejection_code").isNull()).select(
+        *keep,
         F.coalesce("event_version", F.lit("v1")).alias("event_version"),
-        to_long(F.col("tenant_id")).alias("tenant_id"),
-        to_long(F.col("transaction_id")).alias("transaction_id"),
-        F.col("transaction_reference"),
-        F.col("account_id"),
-        to_double(F.col("amount")).alias("amount"),
-        F.upper(strip(F.col("currency"))).alias("currency"),
-        F.col("direction"),
-        F.col("status"),
-        iso_instant(F.col("timestamp")).alias("event_time"),
-        iso_wall_clock(F.col("timestamp")).alias("event_wall"),
-        F.col("vendor_code"),
-        F.col("employee_id"),
+        F.col("_tenant").alias("tenant_id"),
+        F.col("_tx").alias("transaction_id"),
+        "transaction_reference",
+        "account_id",
+        F.col("_amount").alias("amount"),
+        F.col("_currency").alias("currency"),
+        "direction",
+        "status",
+        F.col("_time").alias("event_time"),
+        F.col("_wall").alias("event_wall"),
+        "vendor_code",
+        "employee_id",
     )
-    return judged.select(*keep, F.inline(F.when(F.col("rejection_code").isNull(), F.array(typed))))
 
 
 def reject_profile(rejects: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from riskloom.operators import (
     upsert,
     validate,
 )
-from riskloom.plans.views import Views
+from riskloom.plans.views import Views, views
 from riskloom.sources.testdata import AS_OF
 
 FROM_DATE, TO_DATE = "2024-01-01", "2024-01-31"
@@ -54,7 +54,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def query(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
-    REGISTRY[fn.__name__] = lambda spark, sf_dir: flat(fn(Views(spark, sf_dir)))
+    REGISTRY[fn.__name__] = lambda spark, sf_dir: flat(fn(views(spark, sf_dir)))
     return fn
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +15,18 @@ from riskloom.sources.testdata import AS_OF
 SECOND_ALERT = 1_000_000_000
 
 
+_PLANS: WeakKeyDictionary[SparkSession, dict[str, Views]] = WeakKeyDictionary()
+
+
+def views(spark: SparkSession, sf_dir: str) -> Views:
+    known = _PLANS.setdefault(spark, {})
+    if sf_dir not in known:
+        known[sf_dir] = Views(spark, sf_dir)
+    return known[sf_dir]
+
+
 class Views:
-    """Lazy views over one test-data folder; each access builds a plan, nothing is cached."""
+    """Lazy views over one test-data folder. Plans are kept and shared, data never is."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -21,35 +34,35 @@ class Views:
     def _load(self, view: str) -> DataFrame:
         return testdata.load(self.spark, self.dir, view)
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
         return events.with_payload(self._load("raw_events"))
 
-    @property
+    @cached_property
     def decoded(self) -> DataFrame:
         return events.decode_payloads(testdata.payloads(self.spark, self.dir))
 
-    @property
+    @cached_property
     def judged(self) -> DataFrame:
         return validate.validate(self.raw, AS_OF)
 
-    @property
+    @cached_property
     def valid(self) -> DataFrame:
         return validate.valid(self.judged)
 
-    @property
+    @cached_property
     def tx(self) -> DataFrame:
         return normalize.transactions(self.valid)
 
-    @property
+    @cached_property
     def scored(self) -> DataFrame:
         return scoring.score_transactions(self.tx)
 
-    @property
+    @cached_property
     def alerts(self) -> DataFrame:
         return scoring.alert_records(self.scored, F.col("tx_time"), F.col("id").alias("alert_id"))
 
-    @property
+    @cached_property
     def alerts_messy(self) -> DataFrame:
         """Alerts with a later second alert for some transactions and a lost reference for others."""
         a = self.alerts
@@ -61,18 +74,18 @@ class Views:
             "transaction_id": F.expr("CASE WHEN alert_id % 211 = 0 THEN -1L ELSE transaction_id END"),
         }).withColumn("alert_id", F.col("alert_id") + F.col("_add")).drop("_add")
 
-    @property
+    @cached_property
     def vendors(self) -> DataFrame:
         return self._load("vendors")
 
-    @property
+    @cached_property
     def invoices(self) -> DataFrame:
         return self._load("invoices")
 
-    @property
+    @cached_property
     def expenses(self) -> DataFrame:
         return self._load("expenses")
 
-    @property
+    @cached_property
     def entities(self) -> DataFrame:
         return self._load("entities")
