@@ -153,39 +153,32 @@ class RiskStream:
         # Copies inside the batch: the last by event time wins, ties by content.
         newest = latest_by_key(scored, TX_KEY, ["tx_time", "amount", "status", "direction", "account_id"])
         stored = self.store.current("transactions", TX_SCHEMA, TX_KEY, last)
-        changed = self._mark_changes(newest, stored).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._write_changed(changed, stored, batch_id, last, now)
-        finally:
-            changed.unpersist()
-
-    @staticmethod
-    def _mark_changes(newest: DataFrame, stored: DataFrame) -> DataFrame:
-        before = stored.select(
-            *TX_KEY, F.struct(*_CONTENT).alias("_before"), F.col("account_id").alias("_account_before")
-        )
-        content = F.struct(*_CONTENT)
-        change = F.when(F.col("_before").isNull(), "inserted").when(content.eqNullSafe(F.col("_before")), "unchanged")
-        return newest.join(before, TX_KEY, "left").withColumn("change", change.otherwise("updated")).drop("_before")
-
-    def _write_changed(self, changed: DataFrame, stored: DataFrame, batch_id: int, last: int, now: str) -> None:
         seen = Observation()
         kinds = ("inserted", "updated", "unchanged")
-        counted = changed.observe(seen, *[F.count_if(F.col("change") == k).alias(k) for k in kinds])
-        fresh = counted.where(F.col("change") != "unchanged")
-        self.store.write("transactions", fresh.select(*TX_SCHEMA.names), batch_id)
+        marked = self._mark_changes(newest, stored).observe(seen, *[F.count_if(F.col("change") == k).alias(k) for k in kinds])
+        changed = self.store.stage("changed", marked.drop("event_wall"))
         counts = seen.get
         self.metrics.processed += sum(counts.values())
         self.metrics.tx_inserted += counts["inserted"]
         self.metrics.tx_updated += counts["updated"]
         self.metrics.tx_unchanged += counts["unchanged"]
-
         fresh = changed.where(F.col("change") != "unchanged")
+        self.store.write("transactions", fresh.select(*TX_SCHEMA.names), batch_id)
         alerts = scoring.alert_records(fresh, F.lit(now).cast("timestamp"))
         self.store.write("alerts", alerts.select(*ALERT_SCHEMA.names), batch_id)
         if self.emit_alerts is not None:
             self.emit_alerts(scoring.alert_messages(alerts, "account_id"), batch_id)
-        self._write_account_state(changed, stored, batch_id, last)
+        if counts["inserted"] + counts["updated"]:
+            self._write_account_state(changed, stored, batch_id, last)
+
+    @staticmethod
+    def _mark_changes(newest: DataFrame, stored: DataFrame) -> DataFrame:
+        before = stored.select(
+            *TX_KEY, F.struct(*_CONTENT).alias("_before"), F.col("account_id").alias("_account_before")
+        )
+        content = F.struct(*_CONTENT)
+        change = F.when(F.col("_before").isNull(), "inserted").when(content.eqNullSafe(F.col("_before")), "unchanged")
+        return newest.join(before, TX_KEY, "left").withColumn("change", change.otherwise("updated")).drop("_before")
 
     def _write_account_state(self, changed: DataFrame, stored: DataFrame, batch_id: int, last: int) -> None:
         """Extend the summaries of the touched accounts; recompute the few that cannot be extended.
@@ -195,36 +188,36 @@ class RiskStream:
         """
         earlier = self.store.current("account_state", STATE_SCHEMA, ACCOUNT, last).drop("batch_id")
         inserted = changed.where(F.col("change") == "inserted")
-        merged = account_state.merge(earlier, account_state.summarize(inserted))
+        merged = self.store.stage("merged", account_state.merge(earlier, account_state.summarize(inserted)))
         updated = changed.where(F.col("change") == "updated")
-        stale = merged.where("out_of_order").select(*ACCOUNT).unionByName(updated.select(*ACCOUNT)).unionByName(
+        corrected = updated.select(*ACCOUNT).unionByName(
             updated.select("tenant_id", F.col("_account_before").alias("account_id"))
-        ).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            n_stale = stale.count()
-            clean = merged.join(stale, ACCOUNT, "left_anti") if n_stale else merged
-            rows = clean.select(*STATE_SCHEMA.names)
-            if n_stale:
-                state = [*ACCOUNT, "tx_id", "tx_time", "amount", "risk_score"]
-                kept = stored.select(*state).join(changed.select(*TX_KEY), TX_KEY, "left_anti")
-                history = kept.unionByName(changed.select(*state)).join(stale, ACCOUNT, "left_semi")
-                rebuilt = account_state.summarize(history).select(*STATE_SCHEMA.names)
-                # An account that lost its last transaction to a correction stays, with zero counts.
-                gone = stale.join(rebuilt, ACCOUNT, "left_anti").select(
-                    *ACCOUNT,
-                    *[
-                        (F.lit(0) if f.name in ("n", "amount_total", "score_total", "n_high", "run") else F.lit(None))
-                        .cast(f.dataType).alias(f.name)
-                        for f in STATE_SCHEMA.fields[2:]
-                    ],
-                )
-                rows = rows.unionByName(rebuilt).unionByName(gone)
-            seen = Observation()
-            self.store.write("account_state", rows.observe(seen, F.count("*").alias("n")), batch_id)
-            self.metrics.accounts_updated += seen.get["n"]
-            self.metrics.accounts_recomputed += n_stale
-        finally:
-            stale.unpersist()
+        )
+        stale = merged.where("out_of_order").select(*ACCOUNT).unionByName(corrected).distinct()
+        stale = self.store.stage("stale", stale)
+        n_stale = stale.count()
+        rows = (merged.join(stale, ACCOUNT, "left_anti") if n_stale else merged).select(*STATE_SCHEMA.names)
+        if n_stale:
+            state = [*ACCOUNT, "tx_id", "tx_time", "amount", "risk_score"]
+            kept = stored.select(*state).join(changed.select(*TX_KEY), TX_KEY, "left_anti")
+            history = kept.unionByName(changed.select(*state)).join(stale, ACCOUNT, "left_semi")
+            history = self.store.stage("history", history)
+            rebuilt = account_state.summarize(history).select(*STATE_SCHEMA.names)
+            rows = rows.unionByName(rebuilt).unionByName(self._emptied(stale, history))
+        seen = Observation()
+        self.store.write("account_state", rows.observe(seen, F.count("*").alias("n")), batch_id)
+        self.metrics.accounts_updated += seen.get["n"]
+        self.metrics.accounts_recomputed += n_stale
+
+    @staticmethod
+    def _emptied(stale: DataFrame, history: DataFrame) -> DataFrame:
+        """Accounts that lost their last transaction to a correction: kept, with zero totals."""
+        totals = ("n", "amount_total", "score_total", "n_high", "run")
+        gone = stale.join(history.select(*ACCOUNT).distinct(), ACCOUNT, "left_anti")
+        return gone.select(
+            *ACCOUNT,
+            *[(F.lit(0) if f.name in totals else F.lit(None)).cast(f.dataType).alias(f.name) for f in STATE_SCHEMA.fields[2:]],
+        )
 
     # ------------------------------------------------------------------ running
     def start(self, payloads: DataFrame, checkpoint: str, available_now: bool = False, every: str = "10 seconds") -> StreamingQuery:

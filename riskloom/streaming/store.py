@@ -34,6 +34,16 @@ class BatchStore:
     def write(self, table: str, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{table}/{BATCH}={batch_id}")
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write working rows of the running batch and read them back.
+
+        Cuts the lineage on shared storage: a lost executor costs a re-read, not a recomputation,
+        and the plans that follow stay small.
+        """
+        path = f"{self.root}/_stage/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def commit(self, batch_id: int) -> None:
         self.spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(
             f"{self.root}/{_COMMITS}/{BATCH}={batch_id}"
