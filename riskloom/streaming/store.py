@@ -7,7 +7,6 @@ read (the last batch wins); ``compact`` folds the batches so far into a base.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,14 +21,15 @@ class BatchStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
     def _load(self, path: str, schema: T.StructType) -> DataFrame:
         full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-        try:
-            return self.spark.read.schema(full).parquet(f"{self.root}/{path}")
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not self._exists(f"{self.root}/{path}"):
             return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).parquet(f"{self.root}/{path}")
 
     def write(self, table: str, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{table}/{BATCH}={batch_id}")
