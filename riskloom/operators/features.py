@@ -221,7 +221,9 @@ def high_risk_runs(scored: DataFrame) -> DataFrame:
 
 def consecutive_high_risk(scored: DataFrame) -> DataFrame:
     """Per account: the current run of high-risk transactions."""
-    return current_run(scored, ACCOUNT, ["tx_time", "tx_id"], _is_high(F.col("risk_score")), "consecutive_high_risk")
+    return current_run(
+        scored, ACCOUNT, "tx_time", ["tx_time", "tx_id"], _is_high(F.col("risk_score")), "consecutive_high_risk"
+    )
 
 
 def latest_state(scored: DataFrame) -> DataFrame:

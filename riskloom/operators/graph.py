@@ -53,7 +53,7 @@ def degrees(e: DataFrame) -> DataFrame:
 def _star(pairs: DataFrame) -> DataFrame:
     """One contraction round over (node, other): hang every larger neighbour on the smallest one."""
     least = pairs.groupBy(*NODE).agg(F.min("other").alias("m")).withColumn("m", F.least("m", "node"))
-    return pairs.join(least, NODE)
+    return lookup_join(pairs, least, NODE, "other", "inner", max_rows=None)
 
 
 def components(e: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -72,7 +72,7 @@ def components(e: DataFrame, max_rounds: int = 64) -> DataFrame:
         large = _star(both).where(F.col("other") > F.col("node")).select("tenant_id", F.col("other").alias("node"), F.col("m").alias("other")).distinct()
         # Small star: a node and its smaller neighbours all hang on the smallest of them.
         least = large.groupBy(*NODE).agg(F.min("other").alias("m"))
-        hung = large.join(least, NODE).where(F.col("other") != F.col("m")).select("tenant_id", F.col("other").alias("node"), F.col("m").alias("other"))
+        hung = lookup_join(large, least, NODE, "other", "inner", max_rows=None).where(F.col("other") != F.col("m")).select("tenant_id", F.col("other").alias("node"), F.col("m").alias("other"))
         own = least.select("tenant_id", "node", F.col("m").alias("other"))
         links = hung.unionByName(own).where(F.col("node") != F.col("other")).distinct().checkpoint()
         row = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*links.columns).cast("decimal(38,0)")).alias("h")).first()
@@ -84,7 +84,8 @@ def components(e: DataFrame, max_rounds: int = 64) -> DataFrame:
     roots = links.select("tenant_id", F.col("other").alias("node"), F.col("other").alias("component")).distinct()
     members = links.select("tenant_id", "node", F.col("other").alias("component")).unionByName(roots)
     sizes = members.groupBy("tenant_id", "component").agg(F.count("*").alias("community_size"))
-    return members.join(sizes, ["tenant_id", "component"]).select(*NODE, "component", "community_size")
+    # One component may hold most nodes, hence the balanced join.
+    return lookup_join(members, sizes, ["tenant_id", "component"], "node", "inner", max_rows=None).select(*NODE, "component", "community_size")
 
 
 def pagerank(e: DataFrame, iterations: int = 10, damping: float = 0.85, checkpoint_every: int = 5) -> DataFrame:
@@ -94,12 +95,13 @@ def pagerank(e: DataFrame, iterations: int = 10, damping: float = 0.85, checkpoi
     links = both_ways(e).checkpoint()
     degree = links.groupBy(*NODE).agg(F.count("*").alias("degree"))
     n = degree.groupBy("tenant_id").agg(F.count("*").alias("n_nodes"))
-    nodes = degree.join(n, "tenant_id").checkpoint()
+    nodes = lookup_join(degree, n, ["tenant_id"], "node", "inner", max_rows=None).checkpoint()
     ranks = nodes.select(*NODE, "degree", "n_nodes", (F.lit(1.0) / F.col("n_nodes")).alias("pagerank"))
     for i in range(iterations):
         shares = ranks.select(*NODE, (F.col("pagerank") / F.col("degree")).alias("share"))
         received = (
-            links.join(shares, NODE).groupBy("tenant_id", F.col("other").alias("node")).agg(F.sum("share").alias("got"))
+            lookup_join(links, shares, NODE, "other", "inner", max_rows=None)
+            .groupBy("tenant_id", F.col("other").alias("node")).agg(F.sum("share").alias("got"))
         )
         # Every node has an edge, hence a neighbour to receive from.
         ranks = nodes.join(received, NODE).select(
@@ -121,7 +123,7 @@ def node_risk(alerts: DataFrame) -> DataFrame:
 def neighbor_risk(e: DataFrame, risk: DataFrame) -> DataFrame:
     """Average risk of the neighbours of each node; neighbours without alerts count as 0."""
     of_other = risk.select("tenant_id", F.col("node").alias("other"), "node_risk")
-    joined = both_ways(e).join(of_other, ["tenant_id", "other"], "left")
+    joined = lookup_join(both_ways(e), of_other, ["tenant_id", "other"], "node", max_rows=None)
     return joined.groupBy(*NODE).agg(F.avg(F.coalesce("node_risk", F.lit(0.0))).alias("avg_neighbor_risk"))
 
 

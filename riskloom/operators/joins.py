@@ -18,28 +18,36 @@ def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
-    spread: str,
+    spread: str | None = None,
     how: str = "left",
     max_rows: int | None = BROADCAST_ROWS,
+    salts: int = 1,
 ) -> DataFrame:
     """Join a large table to a table with one row per key.
 
-    The right side is broadcast only after counting that it is within ``max_rows`` (``None`` skips
-    the count where it would cost a full pass). Beyond that it is a shuffle join: rows with a null
-    key, which match nothing, are spread over all partitions by a hash of ``spread`` instead of
-    piling up in one, and adaptive execution splits hot keys.
+    The right side is broadcast only after counting that it is within ``max_rows``; ``None`` skips
+    the count where it would cost a full pass. Otherwise it is a shuffle join made safe for skew:
+
+    * left rows with a null key match nothing and are spread by a hash of ``spread`` (all columns
+      by default) instead of piling up in one task;
+    * the salt is a join key, so both sides get an exchange of their own directly below the join.
+      Only then does adaptive execution split a hot key over several tasks; it would not if the
+      right side were, say, an aggregation on the same key;
+    * ``salts`` above 1 splits every key that many ways up front, at the price of that many copies
+      of the right side.
     """
     if max_rows is not None and fits(right, max_rows):
         return left.join(F.broadcast(right), on, how)
+    mix = F.xxhash64(*([spread] if spread else left.columns))
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()
-    salted = left.withColumn(
-        "_salt", F.when(no_key, F.pmod(F.xxhash64(spread), F.lit(NULL_SALTS))).otherwise(F.lit(0)).cast("int")
-    )
-    return salted.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
+    n = F.when(no_key, F.lit(NULL_SALTS * salts)).otherwise(F.lit(salts))
+    salted = left.withColumn("_salt", F.pmod(mix, n).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
 def semi_lookup(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys``: the batch form of many point lookups."""
-    return df.join(keys.select(*on).distinct(), on, "left_semi")
+    return lookup_join(df, keys.select(*on).distinct(), on, how="left_semi", max_rows=None)

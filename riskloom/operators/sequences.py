@@ -66,13 +66,30 @@ def run_lengths(
     return local.join(carried, [*keys, _B]).select(*df.columns, run.cast("bigint").alias(name))
 
 
-def current_run(df: DataFrame, keys: list[str], order: list[str], hit: Column, name: str = "run_length") -> DataFrame:
-    """Length of the latest unbroken run of hits per key, by two map-side combined aggregations."""
-    rank = F.struct(*order)
-    rows = df.select(*keys, rank.alias("_rank"), hit.alias("_hit"))
-    last_miss = rows.groupBy(*keys).agg(F.max(F.when(~F.col("_hit"), F.col("_rank"))).alias("_miss"))
-    after = F.col("_miss").isNull() | (F.col("_rank") > F.col("_miss"))
-    return rows.join(last_miss, keys).groupBy(*keys).agg(F.count_if(after).alias(name))
+def current_run(
+    df: DataFrame, keys: list[str], time: str, order: list[str], hit: Column, name: str = "run_length",
+    bucket_seconds: int = BUCKET_SECONDS,
+) -> DataFrame:
+    """Length of the latest unbroken run of hits per key, without sorting any rows.
+
+    Whole buckets after the last miss are counted from the bucket totals; only rows of the one
+    bucket that holds the last miss are looked at again, by a join on key and bucket.
+    """
+    rows = _bucketed(df.select(*dict.fromkeys([*keys, time, *order]), hit.alias("_hit")), time, bucket_seconds)
+    rows = rows.select(*keys, _B, F.struct(*order).alias("_rank"), "_hit")
+    buckets = rows.groupBy(*keys, _B).agg(
+        F.count("*").alias("_n"), F.max(F.when(~F.col("_hit"), F.col("_rank"))).alias("_miss")
+    )
+    latest = F.max(F.when(F.col("_miss").isNotNull(), F.struct(_B, "_miss"))).over(Window.partitionBy(*keys))
+    after = F.col("_last").isNull() | (F.col(_B) > F.col(f"_last.{_B}"))
+    state = buckets.withColumn("_last", latest).groupBy(*keys).agg(
+        F.max("_last").alias("_last"), F.coalesce(F.sum(F.when(after, F.col("_n"))), F.lit(0)).alias("_later")
+    ).select(*keys, F.col(f"_last.{_B}").alias(_B), F.col("_last._miss").alias("_miss"), "_later")
+    tail = (
+        rows.join(state.select(*keys, _B, "_miss"), [*keys, _B]).where(F.col("_rank") > F.col("_miss"))
+        .groupBy(*keys).agg(F.count("*").alias("_tail"))
+    )
+    return state.join(tail, keys, "left").select(*keys, (F.col("_later") + F.coalesce("_tail", F.lit(0))).alias(name))
 
 
 def previous_instant(

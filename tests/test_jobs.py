@@ -99,6 +99,39 @@ def test_lookup_join_beyond_the_bound_equals_broadcast(spark):
     assert b.count() == 2000
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_salted_lookup_equals_plain_join(spark, how):
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("k"))
+    right = spark.range(6).select(F.col("id").alias("k"), *([] if how == "left_semi" else [(F.col("id") * 2).alias("x")]))
+    want = sorted(map(repr, left.join(right, ["k"], how).select("id", "k").collect()))
+    for salts in (1, 8):
+        got = joins.lookup_join(left, right, ["k"], "id", how, max_rows=None, salts=salts)
+        assert sorted(map(repr, got.select("id", "k").collect())) == want
+
+
+def test_hot_key_is_split_by_adaptive_execution(spark):
+    """A third of the rows share a key and the right side is an aggregation on that key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, x in settings.items():
+            spark.conf.set(k, x)
+        left = spark.range(300000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).cast("long").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        right = left.groupBy("k").agg(F.count("*").alias("n"))
+        df = joins.lookup_join(left.repartition(8), right, ["k"], "id", max_rows=None)
+        df.write.format("noop").mode("overwrite").save()
+        assert df.groupBy("n").count().agg(F.sum("count")).first()[0] == 300000
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, x in old.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+
+
 def test_page_limits(spark):
     df = spark.range(1000).select(F.col("id").alias("alert_id"), F.lit(1).alias("risk_score"), F.lit(None).cast("timestamp").alias("scored_at"), F.lit("LOW").alias("severity"))
     assert [r.alert_id for r in serving.list_alerts(df, limit=3, offset=2).collect()] == [997, 996, 995]
