@@ -85,11 +85,12 @@ def current_run(
     state = buckets.withColumn("_last", latest).groupBy(*keys).agg(
         F.max("_last").alias("_last"), F.coalesce(F.sum(F.when(after, F.col("_n"))), F.lit(0)).alias("_later")
     ).select(*keys, F.col(f"_last.{_B}").alias(_B), F.col("_last._miss").alias("_miss"), "_later")
-    tail = (
-        rows.join(state.select(*keys, _B, "_miss"), [*keys, _B]).where(F.col("_rank") > F.col("_miss"))
-        .groupBy(*keys).agg(F.count("*").alias("_tail"))
+    # Without any miss the bucket is null, nothing joins, and all rows are in ``_later``.
+    tail = F.count_if(F.col("_rank") > F.col("_miss"))
+    return (
+        state.join(rows.drop("_hit"), [*keys, _B], "left").groupBy(*keys)
+        .agg((F.max("_later") + tail).alias(name))
     )
-    return state.join(tail, keys, "left").select(*keys, (F.col("_later") + F.coalesce("_tail", F.lit(0))).alias(name))
 
 
 def previous_instant(
