@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from riskloom.config import FusionWeights
 from riskloom.operators import normalize, scoring, validate
@@ -78,6 +78,26 @@ class StreamMetrics:
         return {**asdict(self), "elapsed_seconds": round(elapsed, 1), "rate_per_sec": round(self.processed / max(elapsed, 1), 1)}
 
 
+class ProgressLog(StreamingQueryListener):
+    """Logs rows and rate of every trigger; add it with ``spark.streams.addListener``."""
+
+    def onQueryStarted(self, event) -> None:
+        log.info(json.dumps({"event": "stream_started", "id": str(event.id), "name": event.name}))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        log.info(json.dumps({
+            "event": "stream_progress", "batch": p.batchId, "rows": p.numInputRows,
+            "rows_per_second": round(p.processedRowsPerSecond or 0.0, 1),
+        }))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        log.info(json.dumps({"event": "stream_terminated", "id": str(event.id), "error": event.exception}))
+
+
 class RiskStream:
     """Writes transactions, alerts, rejects and account state of a payload stream to a batch store.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import features, normalize, scoring, validate
 from riskloom.sources import events, testdata
 from riskloom.sources.testdata import AS_OF
-from riskloom.streaming.risk_stream import RiskStream, live_totals, scored_stream
+from riskloom.streaming.risk_stream import TX_SCHEMA, ProgressLog, RiskStream, live_totals, scored_stream
 
 
 def rows(df, *cols):
@@ -37,7 +37,10 @@ def stream(spark, payload_dir, tmp_path_factory):
     messages = []
     s = RiskStream(spark, str(root / "tables"), AS_OF, emit_alerts=lambda df, i: messages.append((i, df.count())))
     source = events.file_stream(spark, payload_dir, max_files=1)
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
     s.start(source, str(root / "ckpt"), available_now=True).awaitTermination()
+    spark.streams.removeListener(listener)
     s.messages = messages
     return s
 
@@ -125,7 +128,7 @@ def test_corrections_and_late_rows_are_exact(spark, tmp_path):
     assert s.metrics.tx_updated == 2
     # Compaction changes nothing.
     before = rows(s.transactions())
-    s.store.compact("transactions", __import__("riskloom.streaming.risk_stream", fromlist=["TX_SCHEMA"]).TX_SCHEMA, ["tenant_id", "tx_id"])
+    s.store.compact("transactions", TX_SCHEMA, ["tenant_id", "tx_id"])
     assert rows(s.transactions()) == before
     s.process(_payloads(spark, e(9, "C", 5, 9)), 3)
     assert s.transactions().count() == len(before) + 1
@@ -134,7 +137,7 @@ def test_corrections_and_late_rows_are_exact(spark, tmp_path):
 def test_uncommitted_batch_is_invisible(spark, tmp_path):
     s = RiskStream(spark, str(tmp_path), AS_OF)
     s.process(_payloads(spark, {"transaction_id": 1, "account_id": "A", "amount": 5, "timestamp": "2024-01-02"}), 0)
-    s.store.write("transactions", s.store._load("transactions", __import__("riskloom.streaming.risk_stream", fromlist=["TX_SCHEMA"]).TX_SCHEMA).drop("batch_id"), 1)
+    s.store.write("transactions", s.store._load("transactions", TX_SCHEMA).drop("batch_id"), 1)
     assert s.transactions().count() == 1 and s.store.committed() == 0
 
 
