@@ -121,6 +121,7 @@ class RiskStream:
         self.spark, self.store, self.as_of = spark, BatchStore(spark, root), as_of
         self.rules, self.weights, self.enrich = rules, weights, enrich
         self.emit_alerts, self.emit_enriched = emit_alerts, emit_enriched
+        self._progress: dict[str, int] | None = None
         self.metrics, self.log_every, self._started, self._logged = StreamMetrics(), log_every, time.time(), 0
 
     # ------------------------------------------------------------------ stored tables
@@ -141,10 +142,19 @@ class RiskStream:
         return account_state.features_of(self.account_summaries(), self.transactions(), moment)
 
     # ------------------------------------------------------------------ one micro-batch
-    def process(self, batch: DataFrame, batch_id: int) -> None:
+    def process(self, batch: DataFrame, source_batch: int) -> None:
+        """Handle one micro-batch; one that is already committed for this query is skipped.
+
+        Stored batches are numbered by the store, so a query that starts over with a new checkpoint
+        is read in full again: its replays are recognised by key, never by batch number.
+        """
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        if self._progress is None:
+            self._progress = self.store.query_progress()
+        if source_batch <= self._progress.get(query, -1):
+            return
         last = self.store.committed()
-        if batch_id <= last:
-            return  # finished before a restart
+        batch_id = last + 1
         now = self.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         judged = validate.validate(decode_payloads(batch), now).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -152,7 +162,8 @@ class RiskStream:
             self._write_valid(judged, batch_id, last, now)
         finally:
             judged.unpersist()
-        self.store.commit(batch_id)
+        self.store.commit(batch_id, query, source_batch)
+        self._progress[query] = source_batch
         if self.metrics.processed - self._logged >= self.log_every:
             self._logged = self.metrics.processed
             log.info(json.dumps({"event": "stream_metrics", **self.metrics.rate(self._started)}))

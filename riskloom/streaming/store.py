@@ -15,6 +15,9 @@ from riskloom.operators.upsert import latest_by_key
 
 BATCH = "batch_id"
 _COMMITS = "_committed"
+_MARK = T.StructType([
+    T.StructField("at", T.TimestampType()), T.StructField("query", T.StringType()), T.StructField("source_batch", T.LongType()),
+])
 
 
 class BatchStore:
@@ -44,19 +47,37 @@ class BatchStore:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def commit(self, batch_id: int) -> None:
-        self.spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(
-            f"{self.root}/{_COMMITS}/{BATCH}={batch_id}"
+    def commit(self, batch_id: int, query: str = "direct", source_batch: int = -1) -> None:
+        """Make the batch visible; remembers which micro-batch of which query it was."""
+        self._mark(_COMMITS, batch_id, query, source_batch)
+
+    def _mark(self, marks: str, batch_id: int, query: str, source_batch: int) -> None:
+        row = self.spark.range(1).select(
+            F.current_timestamp().alias("at"), F.lit(query).alias("query"), F.lit(source_batch).cast("long").alias("source_batch")
         )
+        row.write.mode("overwrite").parquet(f"{self.root}/{marks}/{BATCH}={batch_id}")
 
     def _last(self, marks: str) -> int:
-        schema = T.StructType([T.StructField("at", T.TimestampType())])
-        last = self._load(marks, schema).agg(F.max(BATCH)).first()[0]
-        return -1 if last is None else last
+        """Highest marked batch, from the folder names alone. Folders without a marker do not count."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{marks}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return -1
+        names = [f.getPath().toString() for f in fs.listStatus(path)]
+        done = [int(n.rsplit("=", 1)[1]) for n in names if f"/{BATCH}=" in n]
+        for n in sorted(done, reverse=True):
+            if self._exists(f"{self.root}/{marks}/{BATCH}={n}/_SUCCESS"):
+                return n
+        return -1
 
     def committed(self) -> int:
         return self._last(_COMMITS)
 
+    def query_progress(self) -> dict[str, int]:
+        """Last committed micro-batch of each query."""
+        rows = self._load(_COMMITS, _MARK).where(F.col(BATCH) <= self.committed())
+        return {r.query: r.n for r in rows.groupBy("query").agg(F.max("source_batch").alias("n")).collect()}
+
     def log(self, table: str, schema: T.StructType, upto: int | None = None) -> DataFrame:
         """All committed rows of a table, up to a batch when given."""
         last = self.committed() if upto is None else upto
@@ -75,7 +96,5 @@ class BatchStore:
         """Write the current state as a new base; older batch folders may be removed afterwards."""
         upto = self.committed()
         self.write(f"{table}_base", self.current(table, schema, keys, upto).drop(BATCH), upto)
-        self.spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(
-            f"{self.root}/{table}_base{_COMMITS}/{BATCH}={upto}"
-        )
+        self._mark(f"{table}_base{_COMMITS}", upto, "compact", upto)
         return upto

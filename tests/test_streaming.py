@@ -88,18 +88,27 @@ def test_metrics_add_up(stream, expected):
     assert 0 <= m.tx_unchanged <= replayed
 
 
-def test_replaying_everything_changes_nothing(spark, stream, payload_dir):
+def test_a_new_checkpoint_replays_everything_and_changes_nothing(spark, stream, payload_dir, tmp_path):
     before = {t: rows(getattr(stream, t)()) for t in ("transactions", "features")}
-    n_alerts = stream.alerts().count()
-    stream.process(events.payload_batch(spark, payload_dir), stream.store.committed() + 1)
-    assert {t: rows(getattr(stream, t)()) for t in ("transactions", "features")} == before
-    assert stream.alerts().count() == n_alerts
-
-
-def test_committed_batch_is_not_run_again(spark, stream, payload_dir):
-    last = stream.store.committed()
-    stream.process(events.payload_batch(spark, payload_dir), last)
-    assert stream.store.committed() == last
+    n_alerts, last = stream.alerts().count(), stream.store.committed()
+    again = RiskStream(spark, stream.store.root, AS_OF)
+    again.start(events.file_stream(spark, payload_dir), str(tmp_path / "ckpt"), available_now=True).awaitTermination()
+    assert again.metrics.tx_inserted == again.metrics.tx_updated == 0 and again.metrics.tx_unchanged > 0
+    assert again.store.committed() == last + 1
+    assert {t: rows(getattr(again, t)()) for t in ("transactions", "features")} == before
+    assert again.alerts().count() == n_alerts
+    assert set(again.store.query_progress().values()) == {last, 0}
+
+
+def test_committed_batch_is_not_run_again(spark, tmp_path):
+    one = _payloads(spark, {"transaction_id": 1, "account_id": "A", "amount": 5, "timestamp": "2024-01-02"})
+    two = _payloads(spark, {"transaction_id": 2, "account_id": "A", "amount": 5, "timestamp": "2024-01-03"})
+    RiskStream(spark, str(tmp_path), AS_OF).process(one, 0)
+    s = RiskStream(spark, str(tmp_path), AS_OF)
+    s.process(two, 0)
+    assert s.store.committed() == 0 and s.transactions().count() == 1
+    s.process(two, 1)
+    assert s.store.committed() == 1 and s.transactions().count() == 2
 
 
 def _payloads(spark, *events_):
