@@ -81,8 +81,8 @@ def _code(as_of: Column) -> Column:
     )
 
 
-def _reason(as_of: Column) -> Column:
-    """Human readable reason, only evaluated for rejected rows."""
+def _reason(as_of: Column) -> tuple[Column, Column]:
+    """Human readable reason, as the part for word checks and the part for parsed values."""
     code, amount, stamp = F.col("rejection_code"), F.col("_amount"), F.col("_time")
     first_missing = F.coalesce(*[F.when(is_blank(F.col(f)), F.lit(f)) for f in REQUIRED_FIELDS])
     tenant = F.concat(
@@ -128,17 +128,26 @@ def _reason(as_of: Column) -> Column:
     schema = F.when(
         F.col("parse_ok"), F.concat(F.lit("transaction_id is not a valid integer: "), quoted(F.col("transaction_id")))
     ).otherwise("payload is not a JSON object")
-    return (
+    simple = (
         F.when(code == "SCHEMA_ERROR", schema)
-        .when(code == "INVALID_TENANT", F.coalesce(tenant, F.lit("tenant_id is missing")))
         .when(code == "MISSING_FIELD", F.concat(F.lit("Required field '"), first_missing, F.lit("' is missing or empty")))
-        .when(code == "INVALID_AMOUNT", amount_text)
         .when(code == "INVALID_CURRENCY", currency)
         .when(code == "INVALID_DIRECTION", not_valid("direction", RAW_DIRECTIONS))
         .when(code == "INVALID_STATUS", not_valid("status", RAW_STATUSES))
+    )
+    formatted = (
+        F.when(code == "INVALID_TENANT", F.coalesce(tenant, F.lit("tenant_id is missing")))
+        .when(code == "INVALID_AMOUNT", amount_text)
         .when(code == "INVALID_TIMESTAMP", F.when(stamp.isNull(), unparsed).otherwise(future))
         .when(code == "STALE_EVENT", stale)
     )
+    return simple, formatted
+
+
+def with_reason(judged: DataFrame, as_of: Column) -> DataFrame:
+    """Add ``rejection_reason``; in two operators, which keeps their code small."""
+    simple, formatted = _reason(as_of)
+    return add_once(judged, _simple=simple).withColumn("rejection_reason", F.coalesce("_simple", formatted)).drop("_simple")
 
 
 def as_of_column(as_of: str | Column | None) -> Column:
@@ -156,21 +165,19 @@ def validate(events: DataFrame, as_of: str | Column | None = None) -> DataFrame:
 
 
 def verdicts(judged: DataFrame, *keep: str, as_of: str | Column | None = None) -> DataFrame:
-    return judged.select(
-        *keep,
-        F.col("rejection_code").isNull().alias("valid"),
-        "rejection_code",
-        _reason(as_of_column(as_of)).alias("rejection_reason"),
+    return with_reason(judged, as_of_column(as_of)).select(
+        *keep, F.col("rejection_code").isNull().alias("valid"), "rejection_code", "rejection_reason"
     )
 
 
 def rejected(judged: DataFrame, *keep: str, stage: str = "raw", as_of: str | Column | None = None) -> DataFrame:
     """Dead-letter records of the events that failed, payload included."""
-    return judged.where(F.col("rejection_code").isNotNull()).select(
+    failed = judged.where(F.col("rejection_code").isNotNull())
+    return with_reason(failed, as_of_column(as_of)).select(
         *keep,
         F.lit(stage).alias("pipeline_stage"),
         "rejection_code",
-        _reason(as_of_column(as_of)).alias("rejection_reason"),
+        "rejection_reason",
         "raw_payload",
         F.col("_tenant").alias("tenant_id"),
         F.coalesce(empty_to_null(F.col("transaction_reference")), empty_to_null(F.col("transaction_id"))).alias("event_id_text"),

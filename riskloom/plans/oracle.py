@@ -451,6 +451,7 @@ QUERIES: dict[str, str] = {
         _orphan_count("alerts->transactions", "messy", "transaction_id", "tx"),
         _orphan_count("expenses->invoices", "expenses", "invoice_id", "invoices"),
         _orphan_count("expenses->transactions", "expenses", "transaction_id", "tx"),
+        _orphan_count("transactions->invoices", "(SELECT id * 10 + 1 AS invoice_id FROM tx)", "invoice_id", "invoices"),
     ]),
     "dq_lengths": _union(
         [_check("transactions", "tx", f"{c}<={n}", f"length({c}) > {n}") for c, n in (("currency", 3), ("country_code", 2), ("merchant_category", 8), ("channel", 32))]

@@ -590,7 +590,9 @@ def dq_duplicates(v: Views) -> DataFrame:
 def dq_orphans(v: Views) -> DataFrame:
     out = quality.orphans(v.alerts_messy, "transaction_id", v.tx, "id", "alerts->transactions")
     out = out.unionByName(quality.orphans(v.expenses, "invoice_id", v.invoices, "id", "expenses->invoices"))
-    return out.unionByName(quality.orphans(v.expenses, "transaction_id", v.tx, "id", "expenses->transactions"))
+    out = out.unionByName(quality.orphans(v.expenses, "transaction_id", v.tx, "id", "expenses->transactions"))
+    paid = v.tx.withColumn("invoice_id", F.col("id") * 10 + 1)
+    return out.unionByName(quality.orphans(paid, "invoice_id", v.invoices, "id", "transactions->invoices"))
 
 
 @query

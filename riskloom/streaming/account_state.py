@@ -45,7 +45,7 @@ def merge(earlier: DataFrame, later: DataFrame) -> DataFrame:
 
     Adds ``out_of_order``: the two overlap in time, so the ordered columns cannot be merged.
     """
-    e = earlier.select(*ACCOUNT, F.struct(*SUMMARY).alias("e"))
+    e = earlier.where("n > 0").select(*ACCOUNT, F.struct(*SUMMARY).alias("e"))
     both = later.select(*ACCOUNT, F.struct(*SUMMARY).alias("l")).join(e, ACCOUNT, "left")
     has = F.col("e").isNotNull()
 

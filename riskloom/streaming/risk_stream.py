@@ -135,7 +135,8 @@ class RiskStream:
         return self.store.log("rejected_events", REJECT_SCHEMA)
 
     def account_summaries(self) -> DataFrame:
-        return self.store.current("account_state", STATE_SCHEMA, ACCOUNT).drop("batch_id")
+        """Accounts with transactions; one emptied by a correction is stored with a count of 0."""
+        return self.store.current("account_state", STATE_SCHEMA, ACCOUNT).drop("batch_id").where("n > 0")
 
     def features(self, as_of: str | None = None) -> DataFrame:
         moment = validate.as_of_column(as_of or self.as_of)

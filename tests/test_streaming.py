@@ -135,11 +135,18 @@ def test_corrections_and_late_rows_are_exact(spark, tmp_path):
     got = {r.account_id: (r.n, r.run, float(r.amount_total), r.amount_last and float(r.amount_last)) for r in s.account_summaries().collect()}
     assert got == {"A": (3, 0, 50030.0, 20.0), "B": (1, 1, 70000.0, 70000.0), "C": (1, 0, 10.0, 10.0)}
     assert s.metrics.tx_updated == 2
+    # Another correction empties account C; a later transaction starts it afresh.
+    s.process(_payloads(spark, e(3, "B", 10, 3)), 3)
+    assert {r.account_id: r.n for r in s.account_summaries().collect()} == {"A": 3, "B": 2}
+    assert s.features().count() == 2
+    s.process(_payloads(spark, e(8, "C", 40, 8)), 4)
+    c = s.account_summaries().where("account_id = 'C'").first()
+    assert (c.n, str(c.first_seen_at), float(c.amount_total)) == (1, "2024-01-08 12:00:00", 40.0)
     # Compaction changes nothing.
     before = rows(s.transactions())
     s.store.compact("transactions", TX_SCHEMA, ["tenant_id", "tx_id"])
     assert rows(s.transactions()) == before
-    s.process(_payloads(spark, e(9, "C", 5, 9)), 3)
+    s.process(_payloads(spark, e(9, "C", 5, 9)), 5)
     assert s.transactions().count() == len(before) + 1
 
 
