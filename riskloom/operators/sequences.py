@@ -30,7 +30,7 @@ def running_totals(
 ) -> DataFrame:
     """Add the running sum of each expression, current row included, in ``order`` within ``keys``.
 
-    ``order`` must start with ``time`` and must be unique within a key.
+    ``order`` must start with ``time``. Rows that tie in it get totals in no particular order.
     """
     rows = _bucketed(df, time, bucket_seconds)
     inside = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -129,9 +129,9 @@ def rolling_sums(
     for w, width in windows.items():
         gone = F.col(time) + F.expr(f"INTERVAL {width}") + F.expr("INTERVAL 1 MICROSECOND")
         changes.append(change(gone, False, {f"_n_{w}": -F.col("_n"), f"_a_{w}": -F.col("_a")}))
+    # Rows that leave at one instant tie, but all come before the single row that enters there, and
+    # only totals at entering rows are read.
     swept = merged.select(*keys, F.inline(F.array(*changes)))
-    # Several rows may leave at one instant; merging them keeps the order unique.
-    swept = swept.groupBy(*keys, "_at", "_enters").agg(*[F.sum(m).alias(m) for m in measures])
     totals = running_totals(
         swept, keys, "_at", ["_at", "_enters"], {f"run{m}": F.col(m) for m in measures}, bucket_seconds
     )

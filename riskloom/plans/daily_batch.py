@@ -1,6 +1,6 @@
 """Daily job: recompute entity features and daily summaries, then sync entity risk.
 
-    spark-submit -m riskloom.plans.daily_batch --transactions T --alerts A --entities E --out O [--days 7]
+    python -m riskloom.plans.daily_batch --transactions T --alerts A --entities E --out O [--days 7]
 """
 
 from __future__ import annotations
