@@ -1,0 +1,16 @@
+"""DuckDB SQL for the queries that SQL can express over whole tables."""
+
+WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWER_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LINE_DEDUP = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p FROM d),
+k AS (SELECT *, {LOWER_AZ.format(f"trim(line, {WS})")} AS key FROM l),
+c AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT k.doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN c ON k.key = c.key GROUP BY k.r, k.doc_id
+"""
+
+ORACLES = {"op5_line_dedup": LINE_DEDUP}
