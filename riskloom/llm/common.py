@@ -55,3 +55,19 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     for n in names:
         cond = cond & left[n].eqNullSafe(right[n])
     return cond
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def words_of(text: Column) -> Column:
+    """The words of a text: maximal runs without whitespace. No words: an empty array."""
+    inner = F.btrim(text, F.lit(WS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WS_CLASS + "+"))
+
+
+def paired(a: Column, gap: int) -> Column:
+    """Hash of each element with the one ``gap`` places on; the last ``gap`` elements have no partner."""
+    return F.zip_with(a, F.slice(a, gap + 1, F.size(a)), lambda x, y: F.xxhash64(x, y))

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.llm import sql
 from riskloom.llm.line_dedup import op5_line_dedup
 from riskloom.llm.packing import op4_packing
+from riskloom.llm.pii import op9_pii
+from riskloom.llm.quality_rules import op2_quality_rules
 from riskloom.llm.sharding import op10_sharding
 
-_QUERIES = [op4_packing, op5_line_dedup, op10_sharding]
+_QUERIES = [op2_quality_rules, op4_packing, op5_line_dedup, op9_pii, op10_sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
