@@ -97,13 +97,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     ordered by text; a null id comes first. One document alone is its own next.
     """
     spark = docs.sparkSession
-    rows = add_once(records(docs).drop("rec"), anchors=anchors(F.col("text")))
+    rows = records(docs).drop("rec")
     n = docs.count()
     ranges = int(min(MAX_RANGES, max(1, n // RANGE_ROWS)))
     cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / ranges for i in range(1, ranges)] or [0.5], 10 * MAX_RANGES)).first()[0]
     points = sorted({*(cuts or [])})
     if not points:
-        return rows.where("false").withColumns({"next_text": F.col("text"), "next_anchors": F.col("anchors")}) if not n else _linked(rows.withColumn("range", F.lit(0)))
+        return _linked(rows.withColumn("range", F.lit(0).cast("long")))
     # At most MAX_RANGES literal numbers. Beyond, each range is cut evenly by id, so groups stay of one size.
     ends = F.array(*[F.lit(p) for p in points])
     below = F.size(F.filter(ends, lambda p: p < F.col("doc_id")))
@@ -117,8 +117,9 @@ def _linked(rows: DataFrame) -> DataFrame:
     order = ("doc_id", "text_key", "text")
     w = Window.partitionBy("range").orderBy(*order)
     row = F.struct("text", "anchors")
-    linked = rows.withColumn("next", F.lead(row).over(w))
-    firsts = rows.groupBy("range").agg(F.min_by(row, F.struct(*order)).alias("first"))
+    linked = add_once(rows, anchors=anchors(F.col("text"))).withColumn("next", F.lead(row).over(w))
+    firsts = rows.groupBy("range").agg(F.min_by("text", F.struct(*order)).alias("text"))
+    firsts = add_once(firsts, anchors=anchors(F.col("text"))).select("range", row.alias("first"))
     ring = Window.orderBy("range")  # one number a range, without texts
     numbers = rows.select("range").distinct()
     pairs = numbers.select(F.col("range").alias("after"), F.coalesce(
