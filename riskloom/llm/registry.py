@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import sql
 from riskloom.llm.fingerprints import op7_fingerprints
+from riskloom.llm.jaccard_join import op3_jaccard_join
 from riskloom.llm.line_dedup import op5_line_dedup
 from riskloom.llm.packing import op4_packing
 from riskloom.llm.pii import op9_pii
 from riskloom.llm.quality_rules import op2_quality_rules
 from riskloom.llm.sharding import op10_sharding
 
-_QUERIES = [op2_quality_rules, op4_packing, op5_line_dedup, op7_fingerprints, op9_pii, op10_sharding]
+_QUERIES = [op2_quality_rules, op3_jaccard_join, op4_packing, op5_line_dedup, op7_fingerprints, op9_pii, op10_sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
