@@ -14,8 +14,9 @@ from riskloom.llm.packing import op4_packing
 from riskloom.llm.pii import op9_pii
 from riskloom.llm.quality_rules import op2_quality_rules
 from riskloom.llm.sharding import op10_sharding
+from riskloom.llm.suffix_dedup import op1_suffix_dedup
 
-_QUERIES = [op2_quality_rules, op3_jaccard_join, op4_packing, op5_line_dedup, op7_fingerprints, op9_pii, op10_sharding]
+_QUERIES = [op1_suffix_dedup, op2_quality_rules, op3_jaccard_join, op4_packing, op5_line_dedup, op7_fingerprints, op9_pii, op10_sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
