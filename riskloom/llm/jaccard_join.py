@@ -343,5 +343,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return rows.join(out, same(rows, out, "doc_id", "text_key"), "left").select(rows["rec"], rows["doc_id"], "n_shingles", "component_id")
 
 
+def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The input's columns; of each group of linked rows the one with the smallest id (null ids last).
+
+    Rows without words are nobody's copies and all stay. Of rows equal in id and text one stays.
+    """
+    members, _, roots = classes_and_links(docs, width, percent)
+    wide = members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = wide.where("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("m")).select("m.doc_id", "m.text_key")
+    alone = wide.where("root IS NULL").select("doc_id", "text_key").distinct()
+    rows = records(docs).drop("text")
+    keep = rows.join(first, same(rows, first, "doc_id", "text_key")).select(rows["*"]).dropDuplicates(["doc_id", "text_key"])
+    rest = rows.join(alone, same(rows, alone, "doc_id", "text_key")).select(rows["*"])
+    return keep.unionByName(rest).select("rec.*")
+
+
 def op3_jaccard_join(spark, sf_dir) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")

@@ -13,11 +13,12 @@ from riskloom.llm.line_dedup import op5_line_dedup
 from riskloom.llm.packing import op4_packing
 from riskloom.llm.pii import op9_pii
 from riskloom.llm.quality_rules import op2_quality_rules
+from riskloom.llm.sentencepiece_sampling import op6_sentencepiece
 from riskloom.llm.sharding import op10_sharding
 from riskloom.llm.suffix_dedup import op1_suffix_dedup
 from riskloom.llm.toxicity import op8_toxicity
 
-_QUERIES = [op1_suffix_dedup, op2_quality_rules, op3_jaccard_join, op4_packing, op5_line_dedup, op7_fingerprints, op8_toxicity, op9_pii, op10_sharding]
+_QUERIES = [op1_suffix_dedup, op2_quality_rules, op3_jaccard_join, op4_packing, op5_line_dedup, op6_sentencepiece, op7_fingerprints, op8_toxicity, op9_pii, op10_sharding]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
