@@ -159,7 +159,7 @@ def learn_rules(stats: DataFrame) -> list[Rule]:
         left = F.lit(True)
         for r in rules:
             left = left & ~inside(r)
-        grow, rule, last = binned.where(left & ~F.col("held")), [], None
+        grow, rule = binned.where(left & ~F.col("held")), []
         while len(rule) < MAX_CONDITIONS:
             table = grow.where(inside(rule)).select("bad", F.inline(F.array(*[
                 F.struct(F.lit(n).alias("name"), F.col(n).alias("bin")) for n in names
@@ -170,9 +170,9 @@ def learn_rules(stats: DataFrame) -> list[Rule]:
             if not by:
                 break
             total = [sum(v[k] for v in by[names[0]].values()) for k in (0, 1)]
-            if last is None and total[0] < MIN_BAD or total[1] == 0:
+            if not rule and total[0] < MIN_BAD or total[1] == 0:
                 break
-            best = (0.0, None)
+            best, alike = (0.0, None), []
             for n in names:
                 low = [0, 0]
                 for j in range(len(cuts[n])):
@@ -180,14 +180,16 @@ def learn_rules(stats: DataFrame) -> list[Rule]:
                     low = [low[0] + b, low[1] + g]
                     for side, (p, q) in (("<=", low), (">", (total[0] - low[0], total[1] - low[1]))):
                         gain = _gain(p, q, *total)
-                        # Of cuts that part the rows alike, the one that takes least: for ">" the highest.
-                        alike = best[1] and best[1][:2] == (n, ">") == (n, side) and abs(gain - best[0]) <= 1e-9 and gain > 0
-                        if gain > best[0] + 1e-9 or alike:
-                            best = (gain, (n, side, j))
+                        if gain > best[0] + 1e-9:
+                            best, alike = (gain, (n, side)), [j]
+                        elif best[1] == (n, side) and abs(gain - best[0]) <= 1e-9 and gain > 0:
+                            alike.append(j)
             if best[1] is None:
                 break
-            last = best[1]
-            rule.append(last)
+            # Of cuts that part the rows alike, the one nearest the middle.
+            n, side = best[1]
+            middle = (cuts[n][alike[0]] + cuts[n][alike[-1]]) / 2
+            rule.append((n, side, min(alike, key=lambda j: abs(cuts[n][j] - middle))))
         if not rule:
             break
         seen = binned.where(left & F.col("held")).agg(*[
