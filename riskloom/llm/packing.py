@@ -23,7 +23,7 @@ from riskloom.llm.common import documents, records, saved
 SEQUENCE = 1024
 END_ID = 2
 #: Pieces that one salted part of a length holds on average at most.
-PART_ROWS = 100_000
+PART_ROWS = 1_000
 
 
 class ByteBpe:
@@ -126,9 +126,9 @@ def pack_pieces(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
         plan(counts, size) or [(0, 0, 0, 0, 1, 0)],
         "length long, rank_from long, rank_to long, first_sequence long, per long, place long",
     )
-    parts = max(1, -(-max(counts.values(), default=1) // PART_ROWS))
-    part = F.pmod(F.xxhash64("doc_id", "text_key", "piece"), F.lit(parts)).cast("int")
-    salted = pieces.withColumn("_part", part)
+    parts = spark.createDataFrame([(k, -(-n // PART_ROWS)) for k, n in counts.items()] or [(0, 1)], "length long, _parts long")
+    part = F.pmod(F.xxhash64("doc_id", "text_key", "piece"), F.col("_parts"))
+    salted = pieces.join(F.broadcast(parts), "length").withColumn("_part", part)
     base = salted.groupBy("length", "_part").count().select(
         "length", "_part", (F.sum("count").over(Window.partitionBy("length").orderBy("_part")) - F.col("count")).alias("_base")
     )
