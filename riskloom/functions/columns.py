@@ -68,9 +68,12 @@ def iso_wall_clock(c: Column) -> Column:
 
 
 def float_text(c: Column) -> Column:
-    """Double as plain text with at least one decimal, without an exponent below 1e16."""
-    big = F.regexp_replace(c.cast("decimal(20,2)").cast("string"), "0$", "")
-    return F.when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), big).otherwise(c.cast("string"))
+    """Double as the shortest plain text that reads back as it, without an exponent from 1e-4 to below 1e16."""
+    text = c.cast("string")
+    # The shortest digits are in the exponent form; a decimal only moves their point.
+    plain = F.regexp_replace(text.cast("decimal(38,20)").cast("string"), "(?<=\\.\\d{1,20})0+$", "")
+    moved = text.contains("E") & (F.abs(c) >= 1e-4) & (F.abs(c) < 1e16)
+    return F.when(moved, plain).otherwise(text)
 
 
 def quoted(c: Column) -> Column:

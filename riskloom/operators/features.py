@@ -28,10 +28,15 @@ def _is_high(score: Column) -> Column:
     return score >= HIGH_RISK_THRESHOLD
 
 
+def with_tenant(rows: DataFrame) -> DataFrame:
+    """Rows that belong to a tenant. All features of accounts leave out the others: they have no account."""
+    return rows.where(F.col("tenant_id").isNotNull())
+
+
 def alert_stats(alerts: DataFrame) -> DataFrame:
-    """One row per transaction id, so that joining alerts never multiplies transactions."""
+    """One row per transaction of a tenant, so that joining alerts never multiplies transactions."""
     s = F.col("risk_score")
-    return alerts.where(F.col("transaction_id").isNotNull()).groupBy("transaction_id").agg(
+    return alerts.where(F.col("transaction_id").isNotNull()).groupBy("tenant_id", "transaction_id").agg(
         F.count("*").alias("n_alerts"),
         F.sum(s).alias("score_sum"),
         F.max(s).alias("score_max"),
@@ -42,7 +47,7 @@ def alert_stats(alerts: DataFrame) -> DataFrame:
 
 def _with_alert_stats(tx: DataFrame, alerts: DataFrame, how: str, *columns: str) -> DataFrame:
     stats = alert_stats(alerts).withColumnRenamed("transaction_id", "id")
-    return tx.where(F.col("tenant_id").isNotNull()).select("id", *ACCOUNT, *columns).join(stats, "id", how)
+    return with_tenant(tx).select("id", *ACCOUNT, *columns).join(stats, ["tenant_id", "id"], how)
 
 
 def alert_agg(tx: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -116,7 +121,11 @@ def daily_summary(
     With ``dedupe_alerts`` a transaction counts once, with the score of its latest alert. Without,
     it counts once per alert, as a plain join of transactions and alerts would have it.
     """
-    rows = _with_alert_stats(in_utc_dates(tx, from_date, to_date), alerts, "left", "amount", "tx_time", "direction")
+    in_range = in_utc_dates(tx, from_date, to_date)
+    # Alerts of other days leave before they are aggregated.
+    wanted = with_tenant(in_range).select("tenant_id", F.col("id").alias("transaction_id"))
+    near = alerts.join(wanted, ["tenant_id", "transaction_id"], "left_semi")
+    rows = _with_alert_stats(in_range, near, "left", "amount", "tx_time", "direction")
     if dedupe_alerts:
         times, score_sum, n_scores = F.lit(1), F.col("latest_score"), F.when(F.col("latest_score").isNotNull(), 1)
         score_max, n_high = F.col("latest_score"), F.when(_is_high(F.col("latest_score")), 1).otherwise(0)
@@ -207,13 +216,13 @@ def sliding_velocity(tx: DataFrame, hours: int = 24, threshold: int = VELOCITY_2
 # ------------------------------------------------------------------ ordered features
 def rolling_velocity(tx: DataFrame) -> DataFrame:
     """Per transaction: count and amount of the account in the 24 hours and 7 days up to it."""
-    rows = tx.where(F.col("tenant_id").isNotNull()).select("id", *ACCOUNT, "tx_time", "amount")
+    rows = with_tenant(tx).select("id", *ACCOUNT, "tx_time", "amount")
     return rolling_sums(rows, ACCOUNT, "tx_time", "amount", {"24h": "24 HOURS", "7d": "7 DAYS"})
 
 
 def high_risk_runs(scored: DataFrame) -> DataFrame:
     """Per transaction: consecutive high-risk transactions of the account up to it."""
-    rows = scored.select("id", *ACCOUNT, "tx_time", "tx_id", "risk_score")
+    rows = with_tenant(scored).select("id", *ACCOUNT, "tx_time", "tx_id", "risk_score")
     return run_lengths(
         rows, ACCOUNT, "tx_time", ["tx_time", "tx_id"], _is_high(F.col("risk_score")), "consecutive_high_risk"
     )
@@ -222,14 +231,14 @@ def high_risk_runs(scored: DataFrame) -> DataFrame:
 def consecutive_high_risk(scored: DataFrame) -> DataFrame:
     """Per account: the current run of high-risk transactions."""
     return current_run(
-        scored, ACCOUNT, "tx_time", ["tx_time", "tx_id"], _is_high(F.col("risk_score")), "consecutive_high_risk"
+        with_tenant(scored), ACCOUNT, "tx_time", ["tx_time", "tx_id"], _is_high(F.col("risk_score")), "consecutive_high_risk"
     )
 
 
 def latest_state(scored: DataFrame) -> DataFrame:
     """Amount, score and time of the latest transaction of each account."""
     rank = F.struct("tx_time", "tx_id")
-    return scored.groupBy(*ACCOUNT).agg(
+    return with_tenant(scored).groupBy(*ACCOUNT).agg(
         F.max_by("amount", rank).alias("amount_last"),
         F.max_by("risk_score", rank).alias("latest_risk_score"),
         F.max_by("tx_id", rank).alias("last_tx_id"),
@@ -238,7 +247,7 @@ def latest_state(scored: DataFrame) -> DataFrame:
 
 
 def running_risk_avg(scored: DataFrame) -> DataFrame:
-    rows = scored.select("id", *ACCOUNT, "tx_time", "tx_id", "risk_score")
+    rows = with_tenant(scored).select("id", *ACCOUNT, "tx_time", "tx_id", "risk_score")
     totals = running_totals(
         rows, ACCOUNT, "tx_time", ["tx_time", "tx_id"],
         {"tx_count": F.lit(1).cast("bigint"), "score_total": F.col("risk_score").cast("bigint")},
@@ -304,8 +313,10 @@ def invoice_duplicates(invoices: DataFrame, days: int = 30) -> DataFrame:
 
 
 def expense_patterns(expenses: DataFrame) -> DataFrame:
-    """Spend by category and cost centre with subtotals (null marks the rolled-up level)."""
+    """Spend by category and cost centre with subtotals; ``level`` is 0 for a row of both, 1 for a category
+    over all cost centres, 3 for the total, so a missing cost centre is not taken for a subtotal."""
     agg = expenses.rollup("category", "cost_center_code").agg(
+        F.grouping_id().cast("bigint").alias("level"),
         F.count("*").alias("n_expenses"), F.sum("amount").alias("amount_total"), F.max("amount").alias("amount_max"),
         F.count_distinct("employee_id").alias("n_employees"),
     )
@@ -314,12 +325,12 @@ def expense_patterns(expenses: DataFrame) -> DataFrame:
 
 def expense_linkage(expenses: DataFrame, invoices: DataFrame, tx: DataFrame) -> DataFrame:
     """Each expense with the invoice and payment it points to, and what is missing."""
-    one_invoice = invoices.groupBy(F.col("id").alias("invoice_id")).agg(
+    one_invoice = invoices.groupBy("tenant_id", F.col("id").alias("invoice_id")).agg(
         F.min(F.struct("total_amount", "vendor_id")).alias("_inv")
     )
-    payment = tx.select(F.col("id").alias("transaction_id"), F.col("amount").alias("payment_amount"), F.lit(True).alias("_paid"))
-    linked = lookup_join(expenses, one_invoice, ["invoice_id"], "id", max_rows=None)
-    linked = lookup_join(linked, payment, ["transaction_id"], "id", max_rows=None)
+    payment = tx.select("tenant_id", F.col("id").alias("transaction_id"), F.col("amount").alias("payment_amount"), F.lit(True).alias("_paid"))
+    linked = lookup_join(expenses, one_invoice, ["tenant_id", "invoice_id"], "id", max_rows=None)
+    linked = lookup_join(linked, payment, ["tenant_id", "transaction_id"], "id", max_rows=None)
     missing_invoice = F.col("invoice_id").isNotNull() & F.col("_inv").isNull()
     missing_payment = F.col("transaction_id").isNotNull() & F.col("_paid").isNull()
     return linked.select(
@@ -343,8 +354,8 @@ def enrich_vendor(
     return lookup_join(tx, dim, on, "id")
 
 
-def seed_entities(tx: DataFrame, entities: DataFrame, max_per_type: int = 300) -> DataFrame:
-    """New account and customer entities that the entity table lacks, at most ``max_per_type`` of each."""
+def seed_entities(tx: DataFrame, entities: DataFrame, max_per_type: int | None = None) -> DataFrame:
+    """New account and customer entities that the entity table lacks: all, or the first ``max_per_type`` of each."""
     out = None
     for column, kind, prefix, label in (
         ("account_id", "ACCOUNT", "ACC:", "Account "), ("customer_id", "PERSON", "CUST:", "Customer "),
@@ -353,8 +364,10 @@ def seed_entities(tx: DataFrame, entities: DataFrame, max_per_type: int = 300) -
         ids = tx.where(F.coalesce(F.col(column), F.lit("")) != "").select(F.col(column).alias("key")).distinct()
         new = (
             ids.select(F.concat(F.lit(prefix), "key").alias("entity_id"), F.concat(F.lit(label), "key").alias("name"))
-            .join(known, "entity_id", "left_anti").orderBy("entity_id").limit(max_per_type)
-            .select("entity_id", "name", F.lit(kind).alias("type"), F.lit(0).alias("risk_score"))
+            .join(known, "entity_id", "left_anti")
         )
+        if max_per_type is not None:
+            new = new.orderBy("entity_id").limit(max_per_type)
+        new = new.select("entity_id", "name", F.lit(kind).alias("type"), F.lit(0).alias("risk_score"))
         out = new if out is None else out.unionByName(new)
     return out

@@ -30,8 +30,8 @@ def edges(tx: DataFrame, expenses: DataFrame | None = None, invoices: DataFrame
     pairs = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in ((account, vendor), (account, employee), (vendor, employee))])
     found = tx.select("tenant_id", "account_id", "vendor_code", "employee_id").distinct().select("tenant_id", F.inline(pairs))
     if expenses is not None and invoices is not None:
-        inv = invoices.select(F.col("id").alias("invoice_id"), F.col("vendor_id").alias("vendor_code")).distinct()
-        via = expenses.select("tenant_id", "employee_id", "invoice_id").distinct().join(inv, "invoice_id")
+        inv = invoices.select("tenant_id", F.col("id").alias("invoice_id"), F.col("vendor_id").alias("vendor_code")).distinct()
+        via = expenses.select("tenant_id", "employee_id", "invoice_id").distinct().join(inv, ["tenant_id", "invoice_id"])
         found = found.unionByName(via.select("tenant_id", vendor.alias("a"), employee.alias("b")))
     known = found.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     return known.select("tenant_id", F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
@@ -138,7 +138,7 @@ def score_with_metrics(tx: DataFrame, metrics: DataFrame) -> DataFrame:
     """Graph score and motifs of each transaction from the metrics of its account."""
     names = ["degree", "community_size", "pagerank", "avg_neighbor_risk"]
     own = metrics.where(F.col("node").startswith("ACCOUNT:")).select(
-        "tenant_id", F.substring("node", len("ACCOUNT:") + 1, 1 << 20).alias("account_id"), *names
+        "tenant_id", F.substr("node", F.lit(len("ACCOUNT:") + 1)).alias("account_id"), *names
     )
     joined = lookup_join(tx.select("id", *ACCOUNT), own, ACCOUNT, "id", max_rows=None)
     cols = {c: F.col(c) for c in names}

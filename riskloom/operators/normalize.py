@@ -92,8 +92,11 @@ def rules_to_text(c: Column) -> Column:
 
 
 def rule_results(c: Column) -> Column:
-    """Stored rule results JSON as an array of structs; unusable items and broken text drop out."""
-    parsed = F.coalesce(F.from_json(c, f"array<{RULE_RESULT}>"), F.from_json(F.lit("[]"), f"array<{RULE_RESULT}>"))
+    """Stored rule results JSON as an array of structs. Each item is read on its own: one that is unusable drops
+    out and the others stay. Text that is broken or no list gives an empty array."""
+    listed = F.when(strip(c).startswith("["), F.from_json(c, "array<string>"))
+    items = F.coalesce(listed, F.array().cast("array<string>"))
+    parsed = F.transform(items, lambda x: F.when(strip(x).startswith("{"), F.from_json(x, RULE_RESULT)))
     return F.filter(
         parsed, lambda r: r["rule_name"].isNotNull() & r["triggered"].isNotNull() & r["score"].isNotNull()
     )

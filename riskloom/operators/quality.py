@@ -21,9 +21,9 @@ def duplicate_keys(df: DataFrame, keys: list[str], table: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str, relation: str) -> DataFrame:
-    """Child rows whose reference does not exist; counted per value before the join."""
-    refs = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ref")).agg(F.count("*").alias("n"))
-    lost = refs.join(parent.select(F.col(parent_key).alias("_ref")), "_ref", "left_anti")
+    """Child rows whose reference does not exist in their tenant; counted per value before the join."""
+    refs = child.where(F.col(column).isNotNull()).groupBy("tenant_id", F.col(column).alias("_ref")).agg(F.count("*").alias("n"))
+    lost = refs.join(parent.select("tenant_id", F.col(parent_key).alias("_ref")), ["tenant_id", "_ref"], "left_anti")
     return lost.agg(
         F.lit(relation).alias("relation"), F.count("*").alias("n_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")
     )
@@ -71,10 +71,10 @@ def null_orphan_alerts(alerts: DataFrame, tx: DataFrame) -> DataFrame:
     The missing ids are found among the distinct references first, so alerts that all point to one
     missing transaction do not meet in one task of the large join.
     """
-    refs = alerts.where(F.col("transaction_id").isNotNull()).select("transaction_id").distinct()
-    ids = tx.select(F.col("id").alias("transaction_id"))
-    lost = refs.join(ids, "transaction_id", "left_anti").withColumn("_lost", F.lit(True))
-    return lookup_join(alerts, lost, ["transaction_id"], "alert_id", max_rows=None).select(
+    refs = alerts.where(F.col("transaction_id").isNotNull()).select("tenant_id", "transaction_id").distinct()
+    ids = tx.select("tenant_id", F.col("id").alias("transaction_id"))
+    lost = refs.join(ids, ["tenant_id", "transaction_id"], "left_anti").withColumn("_lost", F.lit(True))
+    return lookup_join(alerts, lost, ["tenant_id", "transaction_id"], "alert_id", max_rows=None).select(
         *[
             F.when(F.col("_lost").isNull(), F.col(c)).alias(c) if c == "transaction_id" else F.col(c)
             for c in alerts.columns

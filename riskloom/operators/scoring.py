@@ -145,6 +145,11 @@ def score_transactions(
     return fused.withColumn("severity", band(F.col("risk_score"), "severity"))
 
 
+def alert_key() -> Column:
+    """A key of an alert from its tenant and transaction, the same on every replay."""
+    return F.xxhash64("tenant_id", "tx_id").alias("alert_id")
+
+
 def alert_records(scored: DataFrame, scored_at: Column | None = None, *keep: str) -> DataFrame:
     """One alert per scored transaction; missing engine scores are stored as 0."""
     return scored.select(

@@ -67,14 +67,15 @@ def search_alerts(alerts: DataFrame, text: str) -> DataFrame:
 def alert_details(alerts: DataFrame, tx: DataFrame) -> DataFrame:
     """Alerts with their transaction; ``alerts_without_transaction`` lists the rest."""
     t = tx.select(
-        F.col("id").alias("transaction_id"), "tx_id", "tx_time", "amount", "currency", "direction", "status",
+        "tenant_id", F.col("id").alias("transaction_id"), "tx_id", "tx_time", "amount", "currency", "direction", "status",
         "description",
     )
-    return alerts.join(t, "transaction_id")
+    return alerts.join(t, ["tenant_id", "transaction_id"])
 
 
 def alerts_without_transaction(alerts: DataFrame, tx: DataFrame) -> DataFrame:
-    return alerts.join(tx.select(F.col("id").alias("transaction_id")), "transaction_id", "left_anti")
+    ids = tx.select("tenant_id", F.col("id").alias("transaction_id"))
+    return alerts.join(ids, ["tenant_id", "transaction_id"], "left_anti")
 
 
 def alert_kpis(alerts: DataFrame) -> DataFrame:

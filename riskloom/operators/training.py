@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.config import ML_FEATURES, ML_MODEL_VERSION
 from riskloom.operators.scoring import probability_to_score
+from riskloom.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,7 @@ def train_classifier(
     features: DataFrame, label: str = "label", key: str = "id", settings: BoostingSettings = BoostingSettings()
 ) -> tuple[PipelineModel, float]:
     """Fit boosted trees on the feature columns and return the model with its AUC on the test part."""
+    ensure_checkpoint_dir(features.sparkSession)
     train, test = stratified_split(features, label, key, settings.test_share, settings.seed)
     gbt = GBTClassifier(
         featuresCol="features", labelCol=label, maxDepth=settings.max_depth, stepSize=settings.step_size,

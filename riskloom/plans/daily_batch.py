@@ -10,11 +10,13 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators import features, serving, upsert
 from riskloom.session import build_session
 from riskloom.sources.tables import read_table
+from riskloom.streaming.risk_stream import RiskStream
 from riskloom.streaming.store import BatchStore
 
 FULL_HISTORY_FROM = dt.date(2025, 1, 1)
@@ -30,6 +32,33 @@ FEATURE_SCHEMA = T.StructType([
 ])
 
 
+SUMMARY_SCHEMA = T.StructType([
+    T.StructField(n, t) for n, t in {
+        "tenant_id": _LONG, "account_id": T.StringType(), "summary_date": T.DateType(), "tx_count": _LONG,
+        "tx_count_debit": _LONG, "tx_count_credit": _LONG, "amount_total": _MONEY, "amount_avg": _MONEY,
+        "amount_max": _MONEY, "amount_min": _MONEY, "risk_score_avg": T.DecimalType(6, 2), "risk_score_max": _LONG,
+        "high_risk_tx_count": _LONG, "batch_run_at": T.TimestampType(),
+    }.items()
+])
+RANGE_SCHEMA = T.StructType([T.StructField("first_date", T.DateType()), T.StructField("last_date", T.DateType())])
+
+
+def daily_summaries(store: BatchStore) -> DataFrame:
+    """Summaries of the last committed run that covered each date; a date it found empty has none."""
+    covered = store.log("summary_ranges", RANGE_SCHEMA).select(
+        F.explode(F.sequence("first_date", "last_date")).alias("summary_date"), "batch_id"
+    )
+    last = covered.groupBy("summary_date").agg(F.max("batch_id").alias("batch_id"))
+    return store.log("entity_daily_summary", SUMMARY_SCHEMA).join(F.broadcast(last), ["summary_date", "batch_id"]).select(*SUMMARY_SCHEMA.names)
+
+
+def apply_risk_changes(entities: DataFrame, changes: DataFrame) -> DataFrame:
+    """The entity table with the changed risk scores."""
+    new = changes.select("id", F.col("risk_score").alias("_new"))
+    score = F.coalesce("_new", "risk_score").cast(entities.schema["risk_score"].dataType)
+    return entities.join(new, "id", "left").withColumn("risk_score", score).select(*entities.columns)
+
+
 def date_range(
     today: dt.date, days: int | None = None, from_date: str | None = None, to_date: str | None = None
 ) -> tuple[dt.date, dt.date]:
@@ -52,8 +81,9 @@ def run(
 ) -> BatchStore:
     """Write the three outputs under ``out``; a rerun of the same range gives the same tables.
 
-    Features go through the batch store (columns the stream owns are kept), daily summaries replace
-    the date partitions of the range, risk changes are written per run.
+    All outputs go through the batch store and appear with its commit. Features keep the columns that the
+    stream owns and become the new base; summaries replace every date of the range, empty ones too; risk
+    changes are written per run (``apply_risk_changes``).
     """
     store = BatchStore(spark, out)
     run_id = store.committed() + 1
@@ -64,27 +94,32 @@ def run(
     current = store.stage("entity_features", typed)
     store.write("entity_features", current, run_id)
 
-    summary = features.daily_summary(tx, alerts, str(start), str(end), dedupe_alerts)
-    # Adaptive rebalancing: small dates share a task, a large date is split over several.
-    summary.hint("rebalance", "summary_date").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("summary_date").parquet(f"{out}/entity_daily_summary")
+    ran_at = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    summary = features.daily_summary(tx, alerts, str(start), str(end), dedupe_alerts).withColumn("batch_run_at", ran_at)
+    typed = summary.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA.fields])
+    # Sorted files, so that readers of a date skip the others.
+    store.write("entity_daily_summary", typed.repartitionByRange("summary_date", "account_id").sortWithinPartitions("summary_date"), run_id)
+    store.write("summary_ranges", spark.createDataFrame([(start, end)], RANGE_SCHEMA), run_id)
 
     store.write("entity_risk_changes", features.entity_risk_changes(entities, current, tenant_id), run_id)
     store.commit(run_id)
+    store.compact("entity_features", FEATURE_SCHEMA, features.ACCOUNT)
     return store
 
 
 def report(spark: SparkSession, store: BatchStore) -> tuple[DataFrame, DataFrame]:
     """Top entities and the extent of the summaries after a run."""
     known = store.current("entity_features", FEATURE_SCHEMA, features.ACCOUNT)
-    return serving.top_entities(known), features.summary_extent(spark.read.parquet(f"{store.root}/entity_daily_summary"))
+    return serving.top_entities(known), features.summary_extent(daily_summaries(store))
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    for name in ("transactions", "alerts", "entities", "out"):
+    for name in ("entities", "out"):
         p.add_argument(f"--{name}", required=True)
+    p.add_argument("--store", help="tables of the scoring stream, instead of --transactions and --alerts")
+    p.add_argument("--transactions")
+    p.add_argument("--alerts")
     p.add_argument("--format", default="parquet")
     p.add_argument("--days", type=int)
     p.add_argument("--from-date")
@@ -93,7 +128,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     a = p.parse_args(argv)
     start, end = date_range(dt.datetime.now(dt.timezone.utc).date(), a.days, a.from_date, a.to_date)
     spark = build_session("riskloom-daily")
-    tx, alerts, entities = (read_table(spark, getattr(a, n), a.format) for n in ("transactions", "alerts", "entities"))
+    entities = read_table(spark, a.entities, a.format)
+    if a.store:
+        stream = RiskStream(spark, a.store)
+        tx, alerts = stream.transactions(), stream.alerts()
+    elif a.transactions and a.alerts:
+        tx, alerts = (read_table(spark, x, a.format) for x in (a.transactions, a.alerts))
+    else:
+        p.error("give --store, or --transactions and --alerts")
     if a.dry_run:
         known = BatchStore(spark, a.out).current("entity_features", FEATURE_SCHEMA, features.ACCOUNT)
         print(dry_run(tx, entities, known, start, end))

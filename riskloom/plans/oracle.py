@@ -218,8 +218,8 @@ def _table_count(cols: str, table: str, name: str) -> str:
 
 
 def _orphan_count(relation: str, child: str, column: str, parent: str) -> str:
-    return f"""SELECT '{relation}' AS relation, count(DISTINCT {column}) AS n_values, count(*) AS n_rows
-        FROM {child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT id FROM {parent})"""
+    return f"""SELECT '{relation}' AS relation, count(DISTINCT (c.tenant_id, c.{column})) AS n_values, count(*) AS n_rows
+        FROM {child} c WHERE c.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.id = c.{column} AND p.tenant_id = c.tenant_id)"""
 
 
 def _check(table: str, source: str, name: str, bad: str) -> str:
@@ -287,9 +287,9 @@ QUERIES: dict[str, str] = {
     "parse_rules": f"""SELECT id, len(l)::BIGINT AS n_rules, array_to_string(l, ',') AS rules_text FROM (
         SELECT id, list_filter(list_transform(CASE WHEN id % 5 = 2 THEN ['Y_' || tx_id, 'Z', ''] ELSE string_split(coalesce({RULE_TEXTS}, ''), ',') END, lambda x: trim(x)), lambda x: x <> '') AS l
         FROM (SELECT *, triggered_rules AS stored FROM scored))""",
-    "parse_rule_results": """SELECT id, CASE id % 7 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END::BIGINT AS n_results,
-        CASE id % 7 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN 'a' ELSE 'high_amount,vendor_risk' END AS names,
-        CASE id % 7 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE (CASE WHEN t1 THEN 1 ELSE 0 END + CASE WHEN t2 THEN 1 ELSE 0 END) END::BIGINT AS n_triggered FROM graded""",
+    "parse_rule_results": """SELECT id, CASE id % 7 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 0 ELSE 2 END::BIGINT AS n_results,
+        CASE id % 7 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN 'a' WHEN 3 THEN '' ELSE 'high_amount,vendor_risk' END AS names,
+        CASE id % 7 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 0 ELSE (CASE WHEN t1 THEN 1 ELSE 0 END + CASE WHEN t2 THEN 1 ELSE 0 END) END::BIGINT AS n_triggered FROM graded""",
     "tx_view": """SELECT id, tenant_id, tx_id, transaction_reference, account_id, NULL::VARCHAR AS customer_id, NULL::BIGINT AS invoice_id,
         CAST(tx_time AS VARCHAR) AS tx_time, CAST(tx_time AS VARCHAR) AS "timestamp", CAST(tx_time AS VARCHAR) AS booking_time,
         CASE WHEN id % 9 = 0 THEN 0::DOUBLE ELSE amount::DOUBLE END AS amount, currency, direction, status, country_code, merchant_category, channel, description FROM tx""",
@@ -379,19 +379,22 @@ QUERIES: dict[str, str] = {
             SELECT *, lag(tx_time) OVER (PARTITION BY tenant_id, account_id, amount ORDER BY tx_time, tx_id) AS p FROM tx)
         WHERE date_diff('second', p, tx_time) <= 86400""",
     "invoice_duplicates": """SELECT id, invoice_number, tenant_id::BIGINT AS tenant_id, vendor_id, subtotal_amount::DOUBLE AS subtotal_amount, CAST(invoice_date AS VARCHAR) AS invoice_date, CAST(p AS VARCHAR) AS previous_date FROM (
-            SELECT *, lag(invoice_date) OVER (PARTITION BY tenant_id, vendor_id, subtotal_amount ORDER BY invoice_date, id) AS p FROM invoices)
+            SELECT *, lag(invoice_date) OVER (PARTITION BY tenant_id, vendor_id, subtotal_amount ORDER BY invoice_date, id) AS p FROM (
+                SELECT id, invoice_number, tenant_id, vendor_id, subtotal_amount, invoice_date FROM invoices
+                UNION ALL SELECT id + 1000000000000, invoice_number, tenant_id, vendor_id, subtotal_amount, CAST(invoice_date + CAST(CASE WHEN id % 2 = 0 THEN 100 ELSE 500 END AS INTEGER) AS DATE) FROM invoices WHERE id % 5 = 0))
         WHERE date_diff('day', p, invoice_date) <= 365""",
-    "expense_patterns": f"""SELECT category, cost_center_code, count(*) AS n_expenses, sum(amount)::DOUBLE AS amount_total, max(amount)::DOUBLE AS amount_max,
-        count(DISTINCT employee_id) AS n_employees, {_half_up('sum(amount)', 'count(*)')} AS amount_avg FROM expenses GROUP BY ROLLUP (category, cost_center_code)""",
+    "expense_patterns": f"""SELECT category, cost_center_code, grouping(category, cost_center_code)::BIGINT AS level, count(*) AS n_expenses, sum(amount)::DOUBLE AS amount_total, max(amount)::DOUBLE AS amount_max,
+        count(DISTINCT employee_id) AS n_employees, {_half_up('sum(amount)', 'count(*)')} AS amount_avg
+        FROM (SELECT * REPLACE (CASE WHEN id % 9 <> 0 THEN cost_center_code END AS cost_center_code) FROM expenses) GROUP BY ROLLUP (category, cost_center_code)""",
     "expense_linkage": """SELECT e.id, e.employee_id, e.amount::DOUBLE AS amount, e.invoice_id, e.transaction_id, i.vendor_code AS vendor_id, i.amount::DOUBLE AS invoice_amount, t.amount::DOUBLE AS payment_amount,
         CASE WHEN e.invoice_id IS NOT NULL AND i.id IS NULL AND e.transaction_id IS NOT NULL AND t.id IS NULL THEN 'BOTH_MISSING'
              WHEN e.invoice_id IS NOT NULL AND i.id IS NULL THEN 'INVOICE_MISSING' WHEN e.transaction_id IS NOT NULL AND t.id IS NULL THEN 'PAYMENT_MISSING' ELSE 'OK' END AS link_status
-        FROM expenses e LEFT JOIN one_invoice i ON i.id = e.invoice_id LEFT JOIN tx t ON t.id = e.transaction_id""",
+        FROM expenses e LEFT JOIN one_invoice i ON i.id = e.invoice_id LEFT JOIN tx t ON t.id = e.transaction_id AND t.tenant_id = e.tenant_id""",
     "enrich_vendor": """SELECT t.id, t.vendor_code, v.risk_level AS vendor_risk_level, v.country_code AS vendor_country_code, v.vendor_risk_score, v.country_code = 'US' AS is_high_risk_country
         FROM tx t LEFT JOIN vendors v ON v.tenant_id = t.tenant_id AND v.vendor_code = t.vendor_code""",
     "seed_entities": """SELECT 'ACC:' || a AS entity_id, 'Account ' || a AS name, 'ACCOUNT' AS type, 0::BIGINT AS risk_score FROM (
-            SELECT DISTINCT account_id AS a FROM tx WHERE account_id NOT IN (SELECT 'ACC-' || CAST(id * 20 AS VARCHAR) FROM entities) ORDER BY a LIMIT 300)
-        UNION ALL SELECT 'CUST:' || c, 'Customer ' || c, 'PERSON', 0 FROM (SELECT DISTINCT employee_id AS c FROM tx WHERE employee_id IS NOT NULL ORDER BY c LIMIT 300)""",
+            SELECT DISTINCT account_id AS a FROM tx WHERE account_id NOT IN (SELECT 'ACC-' || CAST(id * 20 AS VARCHAR) FROM entities))
+        UNION ALL SELECT 'CUST:' || c, 'Customer ' || c, 'PERSON', 0 FROM (SELECT DISTINCT employee_id AS c FROM tx WHERE employee_id IS NOT NULL)""",
     "alerts_summary": """SELECT count(*) AS total_alerts, count(*) FILTER (WHERE risk_score >= 700) AS high_risk_alerts,
         count(*) FILTER (WHERE risk_score >= 850) AS critical_alerts, round(avg(risk_score), 4) AS avg_risk_score FROM alerts""",
     "alerts_list": """SELECT alert_id, risk_score, severity, CAST(scored_at AS VARCHAR) AS scored_at FROM alerts WHERE risk_score >= 300 AND severity = 'HIGH'
@@ -451,7 +454,7 @@ QUERIES: dict[str, str] = {
         _orphan_count("alerts->transactions", "messy", "transaction_id", "tx"),
         _orphan_count("expenses->invoices", "expenses", "invoice_id", "invoices"),
         _orphan_count("expenses->transactions", "expenses", "transaction_id", "tx"),
-        _orphan_count("transactions->invoices", "(SELECT id * 10 + 1 AS invoice_id FROM tx)", "invoice_id", "invoices"),
+        _orphan_count("transactions->invoices", "(SELECT tenant_id, id * 10 + 1 AS invoice_id FROM tx)", "invoice_id", "invoices"),
     ]),
     "dq_lengths": _union(
         [_check("transactions", "tx", f"{c}<={n}", f"length({c}) > {n}") for c, n in (("currency", 3), ("country_code", 2), ("merchant_category", 8), ("channel", 32))]

@@ -165,8 +165,8 @@ def parse_rules(v: Views) -> DataFrame:
 def parse_rule_results(v: Views) -> DataFrame:
     stored = F.to_json(F.col("results"))
     text = F.when(F.expr("id % 7 = 0"), F.lit("{oops")).when(F.expr("id % 7 = 1"), F.lit(None)).when(
-        F.expr("id % 7 = 2"), F.lit('[{"rule_name":"a","triggered":true,"score":0.5},{"rule_name":"b"},{"score":1}]')
-    ).otherwise(stored)
+        F.expr("id % 7 = 2"), F.lit('[{"rule_name":"a","triggered":true,"score":0.5},5,{"rule_name":"b"},null,"x",{"score":1}]')
+    ).when(F.expr("id % 7 = 3"), F.lit('{"rule_name":"a","triggered":true,"score":0.5}')).otherwise(stored)
     parsed = _graded(v).select("id", normalize.rule_results(text).alias("r"))
     return parsed.select(
         "id", F.size("r").alias("n_results"), F.array_join(F.col("r.rule_name"), ",").alias("names"),
@@ -395,12 +395,19 @@ def tx_duplicates(v: Views) -> DataFrame:
 
 @query
 def invoice_duplicates(v: Views) -> DataFrame:
-    return features.invoice_duplicates(v.invoices, days=365)
+    # A fifth of the invoices once more: half of them within the bound, half after it.
+    cols = ["id", "invoice_number", "tenant_id", "vendor_id", "subtotal_amount", "invoice_date"]
+    again = v.invoices.where("id % 5 = 0").withColumns({
+        "id": F.col("id") + 1_000_000_000_000,
+        "invoice_date": F.expr("date_add(invoice_date, CASE WHEN id % 2 = 0 THEN 100 ELSE 500 END)"),
+    })
+    return features.invoice_duplicates(v.invoices.select(*cols).unionByName(again.select(*cols)), days=365)
 
 
 @query
 def expense_patterns(v: Views) -> DataFrame:
-    return features.expense_patterns(v.expenses)
+    missing = F.expr("CASE WHEN id % 9 <> 0 THEN cost_center_code END")
+    return features.expense_patterns(v.expenses.withColumn("cost_center_code", missing))
 
 
 @query
@@ -419,7 +426,7 @@ def seed_entities(v: Views) -> DataFrame:
     # Customer ids come from the expense owners; half of the accounts exist already.
     tx = v.tx.withColumn("customer_id", F.col("employee_id"))
     known = v.entities.select(F.expr("concat('ACC:ACC-', CAST(id * 20 AS STRING))").alias("entity_id"), F.lit("ACCOUNT").alias("type"))
-    return features.seed_entities(tx, known, max_per_type=300)
+    return features.seed_entities(tx, known)
 
 
 # ------------------------------------------------------------------ serving

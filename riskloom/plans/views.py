@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import cached_property
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +14,9 @@ from riskloom.sources.testdata import AS_OF
 SECOND_ALERT = 1_000_000_000
 
 
-_PLANS: WeakKeyDictionary[SparkSession, dict[str, Views]] = WeakKeyDictionary()
-
-
 def views(spark: SparkSession, sf_dir: str) -> Views:
-    known = _PLANS.setdefault(spark, {})
-    if sf_dir not in known:
-        known[sf_dir] = Views(spark, sf_dir)
-    return known[sf_dir]
+    """Fresh plans at each call, so that files that changed meanwhile are seen."""
+    return Views(spark, sf_dir)
 
 
 class Views:

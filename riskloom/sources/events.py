@@ -51,16 +51,19 @@ def kafka_options(servers: str, topic: str, starting: str = "earliest", max_per_
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str = "transactions_raw", **kw) -> DataFrame:
-    """Payload stream of a topic; needs the Spark Kafka connector on the class path."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, **kw)).load().select("value")
+    """Payload stream of a topic with the place of each record (``source_version``); needs the Spark Kafka connector on the class path."""
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, **kw)).load().select(
+        "value", F.struct(F.col("partition").cast("long").alias("part"), "offset").alias("source_version")
+    )
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Payload stream of text files with one JSON object per line."""
+    """Payload stream of text files with one JSON object per line, and the place of each (``source_version``)."""
     reader = spark.readStream.schema("value STRING")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.text(path)
+    place = ("file_modification_time", "file_path", "file_block_start")
+    return reader.text(path).select("value", F.struct(*[F.col(f"_metadata.{c}") for c in place]).alias("source_version"))
 
 
 def payload_batch(spark: SparkSession, path: str) -> DataFrame:

@@ -43,7 +43,7 @@ TX_SCHEMA = _schema(
     risk_score=T.IntegerType(), change=_TEXT,
 )
 ALERT_SCHEMA = _schema(
-    tenant_id=_LONG, transaction_id=_LONG, transaction_reference=_TEXT, account_id=_TEXT, vendor_code=_TEXT,
+    alert_id=_LONG, tenant_id=_LONG, transaction_id=_LONG, transaction_reference=_TEXT, account_id=_TEXT, vendor_code=_TEXT,
     employee_id=_TEXT, risk_score=T.IntegerType(), severity=_TEXT, rule_score=T.IntegerType(), ml_score=T.IntegerType(),
     graph_score=T.IntegerType(), triggered_rules=T.ArrayType(_TEXT), graph_motifs=_TEXT, rule_results_json=_TEXT,
     scored_at=_TIME,
@@ -116,12 +116,14 @@ class RiskStream:
         emit_alerts: Callable[[DataFrame, int], None] | None = None,
         emit_enriched: Callable[[DataFrame, int], None] | None = None,
         log_every: int = 500,
+        fold_every: int = 50,
     ):
         require_utc(spark)
         self.spark, self.store, self.as_of = spark, BatchStore(spark, root), as_of
         self.rules, self.weights, self.enrich = rules, weights, enrich
         self.emit_alerts, self.emit_enriched = emit_alerts, emit_enriched
         self._progress: dict[str, int] | None = None
+        self.fold_every = fold_every
         self.metrics, self.log_every, self._started, self._logged = StreamMetrics(), log_every, time.time(), 0
 
     # ------------------------------------------------------------------ stored tables
@@ -157,7 +159,10 @@ class RiskStream:
         last = self.store.committed()
         batch_id = last + 1
         now = self.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-        judged = validate.validate(decode_payloads(batch), now).persist(StorageLevel.MEMORY_AND_DISK)
+        place = [c for c in batch.columns if c == "source_version"]
+        arrival = F.struct(*place, F.monotonically_increasing_id().alias("row")).alias("arrival")
+        payloads = batch.select(*[c for c in batch.columns if c not in place], arrival)
+        judged = validate.validate(decode_payloads(payloads), now).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._write_rejects(judged, batch_id, now)
             self._write_valid(judged, batch_id, last, now)
@@ -165,6 +170,11 @@ class RiskStream:
             judged.unpersist()
         self.store.commit(batch_id, query, source_batch)
         self._progress[query] = source_batch
+        if self.fold_every and (batch_id + 1) % self.fold_every == 0:
+            for table, schema, keys in (
+                ("transactions", TX_SCHEMA, TX_KEY), ("alerts", ALERT_SCHEMA, ALERT_KEY), ("account_state", STATE_SCHEMA, ACCOUNT),
+            ):
+                self.store.compact(table, schema, keys)
         if self.metrics.processed - self._logged >= self.log_every:
             self._logged = self.metrics.processed
             log.info(json.dumps({"event": "stream_metrics", **self.metrics.rate(self._started)}))
@@ -176,15 +186,15 @@ class RiskStream:
         self.metrics.rejected += seen.get["n"]
 
     def _write_valid(self, judged: DataFrame, batch_id: int, last: int, now: str) -> None:
-        tx = normalize.transactions(validate.valid(judged))
+        tx = normalize.transactions(validate.valid(judged, "arrival"), "arrival")
         if self.enrich is not None:
             tx = self.enrich(tx)
         if self.emit_enriched is not None:
             self.emit_enriched(tx.select(F.col("tx_id").alias("key"), F.to_json(F.struct(*tx.columns)).alias("value")), batch_id)
         scored = scoring.score_transactions(tx, self.rules, self.weights)
-        # Copies inside the batch: the last by event time wins, ties by content.
-        newest = latest_by_key(scored, TX_KEY, ["tx_time", "amount", "status", "direction", "account_id"])
-        stored = self.store.current("transactions", TX_SCHEMA, TX_KEY, last)
+        # The last to arrive wins, inside a batch as across batches, so where batches are cut changes nothing.
+        newest = self.store.stage("newest", latest_by_key(scored, TX_KEY, ["arrival"]))
+        stored = self.store.current("transactions", TX_SCHEMA, TX_KEY, last, columns=_CONTENT, among=newest)
         seen = Observation()
         kinds = ("inserted", "updated", "unchanged")
         marked = self._mark_changes(newest, stored).observe(seen, *[F.count_if(F.col("change") == k).alias(k) for k in kinds])
@@ -196,12 +206,14 @@ class RiskStream:
         self.metrics.tx_unchanged += counts["unchanged"]
         fresh = changed.where(F.col("change") != "unchanged")
         self.store.write("transactions", fresh.select(*TX_SCHEMA.names), batch_id)
-        alerts = scoring.alert_records(fresh, F.lit(now).cast("timestamp"))
+        alerts = scoring.alert_records(fresh, F.lit(now).cast("timestamp"), scoring.alert_key())
         self.store.write("alerts", alerts.select(*ALERT_SCHEMA.names), batch_id)
         if self.emit_alerts is not None:
             self.emit_alerts(scoring.alert_messages(alerts, "account_id"), batch_id)
         if counts["inserted"] + counts["updated"]:
-            self._write_account_state(changed, stored, batch_id, last)
+            self._write_account_state(changed, batch_id, last)
+        else:
+            self.store.write("account_state", self.spark.createDataFrame([], STATE_SCHEMA), batch_id)
 
     @staticmethod
     def _mark_changes(newest: DataFrame, stored: DataFrame) -> DataFrame:
@@ -212,13 +224,14 @@ class RiskStream:
         change = F.when(F.col("_before").isNull(), "inserted").when(content.eqNullSafe(F.col("_before")), "unchanged")
         return newest.join(before, TX_KEY, "left").withColumn("change", change.otherwise("updated")).drop("_before")
 
-    def _write_account_state(self, changed: DataFrame, stored: DataFrame, batch_id: int, last: int) -> None:
+    def _write_account_state(self, changed: DataFrame, batch_id: int, last: int) -> None:
         """Extend the summaries of the touched accounts; recompute the few that cannot be extended.
 
         New transactions later than all known ones of their account are merged in. An account with
         a corrected transaction or a late one is rebuilt from its stored transactions.
         """
-        earlier = self.store.current("account_state", STATE_SCHEMA, ACCOUNT, last).drop("batch_id")
+        touched = changed.select(*ACCOUNT)
+        earlier = self.store.current("account_state", STATE_SCHEMA, ACCOUNT, last, among=touched).drop("batch_id")
         inserted = changed.where(F.col("change") == "inserted")
         merged = self.store.stage("merged", account_state.merge(earlier, account_state.summarize(inserted)))
         updated = changed.where(F.col("change") == "updated")
@@ -231,6 +244,11 @@ class RiskStream:
         rows = (merged.join(stale, ACCOUNT, "left_anti") if n_stale else merged).select(*STATE_SCHEMA.names)
         if n_stale:
             state = [*ACCOUNT, "tx_id", "tx_time", "amount", "risk_score"]
+            # All transactions that were ever in one of these accounts, as they stand now.
+            ever = self.store.log("transactions", TX_SCHEMA, last).select(*TX_KEY, *[c for c in ACCOUNT if c not in TX_KEY])
+            base = self.store.base("transactions", TX_SCHEMA)
+            ever = ever.unionByName(base.select(*ever.columns)).join(stale, ACCOUNT, "left_semi")
+            stored = self.store.current("transactions", TX_SCHEMA, TX_KEY, last, columns=state, among=ever)
             kept = stored.select(*state).join(changed.select(*TX_KEY), TX_KEY, "left_anti")
             history = kept.unionByName(changed.select(*state)).join(stale, ACCOUNT, "left_semi")
             history = self.store.stage("history", history)
@@ -276,9 +294,13 @@ def scored_stream(payloads: DataFrame, as_of: str | None = None) -> DataFrame:
     return scoring.score_transactions(normalize.transactions(validate.valid(judged)))
 
 
-def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
-    """Key/value messages to a topic; needs the Spark Kafka connector on the class path."""
-    return (
-        messages.selectExpr("CAST(key AS STRING)", "CAST(value AS STRING)").writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).start()
-    )
+def topic_writer(format_: str = "kafka", **options: str) -> Callable[[DataFrame, int], None]:
+    """For ``emit_alerts`` and ``emit_enriched``: appends each batch of key/value messages to a topic, or to
+    any other batch sink. A topic needs the Spark Kafka connector on the class path and the options
+    ``kafka.bootstrap.servers`` and ``topic``; a repeated batch repeats its messages."""
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        rows = messages.selectExpr("CAST(key AS STRING)", "CAST(value AS STRING)")
+        rows.write.format(format_).options(**options).mode("append").save()
+
+    return write

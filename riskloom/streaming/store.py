@@ -7,6 +7,8 @@ read (the last batch wins); ``compact`` folds the batches so far into a base.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,7 @@ _MARK = T.StructType([
 class BatchStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._attempt = f"{self.root}/_stage/{uuid.uuid4().hex}"
 
     def _exists(self, path: str) -> bool:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -43,13 +46,23 @@ class BatchStore:
         Cuts the lineage on shared storage: a lost executor costs a re-read, not a recomputation,
         and the plans that follow stay small.
         """
-        path = f"{self.root}/_stage/{name}"
+        path = f"{self._attempt}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def commit(self, batch_id: int, query: str = "direct", source_batch: int = -1) -> None:
-        """Make the batch visible; remembers which micro-batch of which query it was."""
+        """Make the batch visible; remembers which micro-batch of which query it was. Working rows go.
+
+        A batch must have written all of its tables, empty ones too: what an earlier attempt under the same
+        number left behind is then overwritten.
+        """
         self._mark(_COMMITS, batch_id, query, source_batch)
+        self._delete(self._attempt)
+        self._attempt = f"{self.root}/_stage/{uuid.uuid4().hex}"
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
     def _mark(self, marks: str, batch_id: int, query: str, source_batch: int) -> None:
         row = self.spark.range(1).select(
@@ -59,17 +72,18 @@ class BatchStore:
 
     def _last(self, marks: str) -> int:
         """Highest marked batch, from the folder names alone. Folders without a marker do not count."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{marks}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return -1
-        names = [f.getPath().toString() for f in fs.listStatus(path)]
-        done = [int(n.rsplit("=", 1)[1]) for n in names if f"/{BATCH}=" in n]
-        for n in sorted(done, reverse=True):
+        for n in sorted(self._folders(marks), reverse=True):
             if self._exists(f"{self.root}/{marks}/{BATCH}={n}/_SUCCESS"):
                 return n
         return -1
 
+    def _folders(self, table: str) -> list[int]:
+        """Batch numbers that have a folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().toString() for f in fs.listStatus(path)] if fs.exists(path) else []
+        return [int(n.rsplit("=", 1)[1]) for n in names if f"/{BATCH}=" in n]
+
     def committed(self) -> int:
         return self._last(_COMMITS)
 
@@ -83,18 +97,36 @@ class BatchStore:
         last = self.committed() if upto is None else upto
         return self._load(table, schema).where(F.col(BATCH) <= last)
 
-    def current(self, table: str, schema: T.StructType, keys: list[str], upto: int | None = None) -> DataFrame:
-        """Latest row of each key."""
+    def base(self, table: str, schema: T.StructType) -> DataFrame:
+        """The rows of the last base, none before the first."""
+        return self._load(f"{table}_base", schema).where(F.col(BATCH) == self._last(f"{table}_base{_COMMITS}"))
+
+    def current(
+        self, table: str, schema: T.StructType, keys: list[str], upto: int | None = None,
+        columns: list[str] | None = None, among: DataFrame | None = None,
+    ) -> DataFrame:
+        """Latest row of each key: of ``columns`` only, and of the keys in ``among`` only.
+
+        Both narrow the rows before the aggregation, so a lookup reads the columns it asks for and shuffles
+        the rows of its keys.
+        """
         base_batch = self._last(f"{table}_base{_COMMITS}")
         rows = self.log(table, schema, upto)
         if base_batch >= 0:
-            base = self._load(f"{table}_base", schema).where(F.col(BATCH) == base_batch)
-            rows = rows.where(F.col(BATCH) > base_batch).unionByName(base)
+            rows = rows.where(F.col(BATCH) > base_batch).unionByName(self.base(table, schema))
+        if columns is not None:
+            rows = rows.select(*keys, *[c for c in columns if c not in keys], BATCH)
+        if among is not None:
+            rows = rows.join(among.select(*keys).distinct(), keys, "left_semi")
         return latest_by_key(rows, keys, [BATCH])
 
     def compact(self, table: str, schema: T.StructType, keys: list[str]) -> int:
-        """Write the current state as a new base; older batch folders may be removed afterwards."""
-        upto = self.committed()
+        """Write the current state as a new base. Folders that the base before it already covered go; those
+        since stay one generation longer, for readers that began earlier."""
+        upto, before = self.committed(), self._last(f"{table}_base{_COMMITS}")
         self.write(f"{table}_base", self.current(table, schema, keys, upto).drop(BATCH), upto)
         self._mark(f"{table}_base{_COMMITS}", upto, "compact", upto)
+        for n in self._folders(table):
+            if n <= before:
+                self._delete(f"{self.root}/{table}/{BATCH}={n}")
         return upto

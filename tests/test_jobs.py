@@ -24,7 +24,7 @@ def test_date_range():
 
 def test_high_risk_threshold(spark):
     tx = spark.createDataFrame([(1, 1, "A"), (2, 1, "A")], "id long, tenant_id long, account_id string")
-    al = spark.createDataFrame([(1, 1, 500, None), (2, 2, 499, None)], "alert_id long, transaction_id long, risk_score int, scored_at timestamp")
+    al = spark.createDataFrame([(1, 1, 1, 500, None), (2, 1, 2, 499, None)], "alert_id long, tenant_id long, transaction_id long, risk_score int, scored_at timestamp")
     assert features.alert_agg(tx, al).first().high_risk_tx_count == 1
 
 
