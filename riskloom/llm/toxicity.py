@@ -25,7 +25,7 @@ EXAMPLES = 8_000
 TERMS = 1_024
 MIN_DOCS = 4
 MIN_LIFT = 2.0
-MIN_CHI = 10.8
+MIN_CHI = 30.0
 NEAREST = 15
 BLOCK = 32
 _WORD = re.compile(r"[^\W\d_]+")
