@@ -11,6 +11,7 @@ k nearest. Their votes, weighted by closeness, pass a monotone calibration fitte
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -60,14 +61,26 @@ def choose_examples(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
     return records(docs).drop("rec").join(F.broadcast(chosen), "doc_id").select("doc_id", "text_key", "text", "toxic", aside)
 
 
+def family(text: str) -> int:
+    """The smallest checksum of three words running: near copies mostly share it, other texts hardly ever."""
+    w = text.lower().split()
+    return min((zlib.crc32(" ".join(w[k : k + 3]).encode()) for k in range(max(1, len(w) - 2))), default=0)
+
+
 def _example_terms(batches):
     for b in batches:
-        rows = [(t, y) for text, y in zip(b["text"].to_pylist(), b["toxic"].to_pylist()) for t in terms(text)]
-        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.string()), pa.array([y for _, y in rows], pa.int32())], ["term", "toxic"])
+        rows = [
+            (t, y, f) for text, y in zip(b["text"].to_pylist(), b["toxic"].to_pylist()) for f in (family(text),) for t in terms(text)
+        ]
+        kinds = (pa.string(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["term", "toxic", "family"])
 
 
 def choose_terms(examples: DataFrame, limit: int = TERMS) -> list[str]:
-    """The terms that part the classes best (chi-square), among those at least twice as common in one of them."""
+    """The terms that part the classes best (chi-square), among those at least twice as common in one of them.
+
+    Near copies count once, so that the chance words of a text with many copies do not become terms.
+    """
     size = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
     if len(size) < 2:
         return []
@@ -76,7 +89,7 @@ def choose_terms(examples: DataFrame, limit: int = TERMS) -> list[str]:
     n = pos + neg
     chi = n * F.pow(a * (neg - b) - b * (pos - a), 2) / ((a + b) * (n - a - b + 1e-9) * pos * neg)
     lift = F.abs(F.log2((a + 0.5) / (pos + 1)) - F.log2((b + 0.5) / (neg + 1)))
-    counted = examples.select("text", "toxic").mapInArrow(_example_terms, "term string, toxic int").groupBy("term").agg(
+    counted = examples.select("text", "toxic").mapInArrow(_example_terms, "term string, toxic int, family long").distinct().groupBy("term").agg(
         F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")
     )
     best = counted.where((a + b >= MIN_DOCS) & (lift >= float(np.log2(MIN_LIFT)))).withColumn("chi", chi).where(F.col("chi") >= MIN_CHI)
