@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import saved
 
 
+#: Links of one partition. Few links need few partitions, and with one no exchange.
+PARTITION_LINKS = 200_000
+
+
 def _both(links: DataFrame) -> DataFrame:
     return links.select(F.inline(F.array(
         F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other"))
@@ -27,6 +31,7 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         if (row.n, row.h) == mark:
             break
         mark = (row.n, row.h)
+        links = links.coalesce(max(1, -(-row.n // PARTITION_LINKS)))
         both = _both(links)
         least = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("m"))
         large = both.where("other > node").join(least, "node").select(F.col("other").alias("a"), F.col("m").alias("b")).distinct()

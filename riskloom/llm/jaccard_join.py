@@ -8,8 +8,8 @@ allow it, then when the prefixes under every further order also meet, and is the
 
 Pairs of a list are not written out. First each class is tried with the one smaller class it shares most lists
 with; links make components. Then only pairs across components are left to try, inside the lists that still
-span several: the best candidate per class and component while that still joins components, and at last all.
-Long lists are cut into blocks, and pairs of blocks are separate groups.
+span several: twice the nearest candidate of each class, and at last all that are left, each pair once. Long
+lists are cut into blocks, and pairs of blocks are separate groups.
 """
 
 from __future__ import annotations
@@ -28,10 +28,13 @@ from riskloom.llm.shingles import shingle_sets
 
 ORDERS = 3
 SKETCH_BITS = 18
+SKETCH_BLOCKS = 64
 #: Prefix tokens of one bucket, on average at most.
 BUCKET_TOKENS = 1_000_000
 #: Classes of a list that are worked on as one block.
 BLOCK = 1024
+#: Rounds that try each class's nearest in another component, before all that is left is tried.
+NEAREST_ROUNDS = 2
 _U8 = np.dtype("<u8")
 _MASK = np.uint64((1 << SKETCH_BITS) - 1)
 
@@ -51,21 +54,28 @@ def _sketch(width: int):
             for s in shingle_sets(_texts(b), width):
                 for row, at in zip(counts, _bins(s)):
                     np.add.at(row, at, 1)
-        flat = counts.reshape(-1, 256)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(list(flat), pa.list_(pa.int64()))], ["block", "counts"]
-        )
+        yield _blocks(counts.reshape(SKETCH_BLOCKS, -1))
 
     return go
 
 
+def _blocks(counts: np.ndarray, first: int = 0):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(first, first + len(counts), dtype=np.int32)), pa.array([r.tobytes() for r in counts], pa.binary())], ["block", "counts"]
+    )
+
+
+def _add(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, dtype=np.int64) for x in table["counts"].to_pylist())
+    return pa.Table.from_batches([_blocks(total[None], table["block"][0].as_py())])
+
+
 def token_sketch(rows: DataFrame, width: int) -> np.ndarray:
     """Two rows of 2**18 counts over the tokens of all documents: 4 MB, whatever the input."""
-    parts = rows.select("text").mapInArrow(_sketch(width), "block int, counts array<bigint>")
-    summed = parts.groupBy("block").agg(F.array(*[F.sum(F.get("counts", F.lit(i))) for i in range(256)]).alias("counts"))
-    out = np.zeros(((2 << SKETCH_BITS) // 256, 256), dtype=np.int64)
-    for r in summed.collect():
-        out[r["block"]] = r["counts"]
+    parts = rows.select("text").mapInArrow(_sketch(width), "block int, counts binary")
+    out = np.zeros((SKETCH_BLOCKS, (2 << SKETCH_BITS) // SKETCH_BLOCKS), dtype=np.int64)
+    for r in parts.groupBy("block").applyInArrow(_add, parts.schema).collect():
+        out[r["block"]] = np.frombuffer(r["counts"], dtype=np.int64)
     return out.reshape(2, -1)
 
 
@@ -84,7 +94,7 @@ def signature(s: np.ndarray) -> np.ndarray:
     """Parities of tokens per bit. Its size depends on the size of the set only roughly, so that near sizes
     compare: bits differing are at most the tokens not shared, after folding to the smaller size."""
     words = 4
-    while words * 128 < len(s):
+    while words * 32 < len(s):
         words *= 2
     bits = np.bincount((s >> np.uint64(40)).astype(np.int64) & (words * 64 - 1), minlength=words * 64) & 1
     return np.packbits(bits.astype(np.uint8))
@@ -169,46 +179,61 @@ def _lists(table: pa.Table) -> pa.Table:
     })
 
 
-def _may_link(n: np.ndarray, sigs: list[np.ndarray], i: int, js: np.ndarray, percent: int) -> np.ndarray:
-    """Which of js set i may still be linked with, by sizes and signatures; exact in what it leaves out."""
-    m = n[js]
-    js = js[100 * np.minimum(n[i], m) >= percent * np.maximum(n[i], m)]
-    keep = []
-    for j in js.tolist():
-        size = min(len(sigs[i]), len(sigs[j]))
-        apart = int(np.bitwise_count(fold(sigs[i], size) ^ fold(sigs[j], size)).sum())
-        # union - intersection <= (100 - percent) / (100 + percent) * (sum of sizes) for linked sets
-        if (100 + percent) * apart <= (100 - percent) * int(n[i] + n[j]):
-            keep.append((j, apart))
-    return np.array(keep, dtype=np.int64).reshape(-1, 2)
+def _close(n: int, m: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m tokens with ``apart`` differing signature bits may still be linked: the tokens not
+    shared are at least that many, and at most (100 - percent) / (100 + percent) of all for linked sets."""
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
-def _cross(percent: int, best: bool):
-    """Pairs across components of one block pair of a list. best: per class the nearest of each component."""
+def _cross(percent: int, nearest: bool):
+    """Pairs across components of one pair of blocks of a list, that sizes and signatures allow.
+
+    nearest: of each class only the nearest in another component, with its distance. Otherwise all, each only in
+    the first list that both classes are in.
+    """
 
     def go(table: pa.Table) -> pa.Table:
-        side, n = np.array(table["side"].to_pylist()), np.array(table["n"].to_pylist(), dtype=np.int64)
+        n = np.array(table["n"].to_pylist(), dtype=np.int64)
+        order = np.argsort(n, kind="stable")
+        n, table = n[order], table.take(pa.array(order))
+        side = np.array(table["side"].to_pylist())
         root = {r: k for k, r in enumerate(dict.fromkeys(table["root"].to_pylist()))}
         comp = np.array([root[r] for r in table["root"].to_pylist()])
         sigs = [np.frombuffer(x, dtype=np.uint8) for x in table["sig"].to_pylist()]
-        name = table["class"].to_pylist()
-        at, a, b = np.arange(len(n)), [], []
-        order = np.argsort(n, kind="stable")
-        sorted_n = n[order]
-        for i in at.tolist():
-            # Only sets of a size that can be linked, not smaller than this one.
-            low, high = np.searchsorted(sorted_n, n[i]), np.searchsorted(sorted_n, n[i] * 100 // percent, side="right")
-            js = order[low:high]
-            js = js[(comp[js] != comp[i]) & ((side[js] != side[i]) | (side[i] == 2)) & ((n[js] > n[i]) | (js > i))]
-            found = _may_link(n, sigs, i, js, percent) if len(js) else np.zeros((0, 2), dtype=np.int64)
-            if best and len(found):
-                found = found[np.lexsort((found[:, 1], comp[found[:, 0]]))]
-                found = found[np.concatenate(([True], np.diff(comp[found[:, 0]]) != 0))]
-            for j in found[:, 0].tolist():
-                x, y = sorted((name[i], name[j]))
-                a.append(x)
-                b.append(y)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        size = np.array([len(x) for x in sigs])  # grows with n
+        name, this = table["class"].to_pylist(), table["number"][0].as_py()
+        earlier = [] if nearest else [{x for x in ls if x < this} for ls in table["lists"].to_pylist()]
+        best, other = np.full(len(n), np.inf), np.full(len(n), -1)
+        a, b, apart_of = [], [], []
+        folded, first = None, 0
+        for i in range(len(n)):
+            if folded is None or size[i] != folded.shape[1]:
+                folded, first = np.array([fold(x, size[i]) for x in sigs[i:]]), i
+            high = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
+            js = np.arange(i + 1, high)
+            js = js[(comp[js] != comp[i]) & ((side[js] != side[i]) | (side[i] == 2))]
+            if not len(js):
+                continue
+            apart = np.bitwise_count(folded[js - first] ^ folded[i - first]).sum(axis=1, dtype=np.int64)
+            keep = _close(n[i], n[js], apart, percent)
+            js, apart = js[keep], apart[keep]
+            if nearest and len(js):
+                d = apart / (n[i] + n[js])
+                k = int(np.argmin(d))
+                if d[k] < best[i]:
+                    best[i], other[i] = d[k], js[k]
+                nearer = d < best[js]
+                best[js[nearer]], other[js[nearer]] = d[nearer], i
+            elif len(js):
+                for j in js.tolist():
+                    if earlier[i].isdisjoint(earlier[j]):
+                        a.append(name[i])
+                        b.append(name[j])
+                        apart_of.append(0.0)
+        if nearest:
+            some = np.flatnonzero(other >= 0).tolist()
+            a, b, apart_of = [name[i] for i in some], [name[other[i]] for i in some], best[some].tolist()
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "d": pa.array(apart_of, pa.float64())})
 
     return go
 
@@ -227,8 +252,9 @@ def _signs_allow(percent: int):
         for b in batches:
             keep = []
             for n, m, x, y in zip(*(b[c].to_pylist() for c in ("xn", "yn", "xs", "ys"))):
-                sigs = [np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)]
-                keep.append(len(_may_link(np.array([n, m]), sigs, 0, np.array([1]), percent)) > 0)
+                size = min(len(x), len(y))
+                apart = np.bitwise_count(fold(np.frombuffer(x, np.uint8), size) ^ fold(np.frombuffer(y, np.uint8), size)).sum(dtype=np.int64)
+                keep.append(bool(_close(n, m, apart, percent)))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return go
@@ -264,10 +290,8 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
     common = spark.sparkContext.broadcast(commonness(token_sketch(rows, width)))
     columns = "doc_id long, text_key long, class binary, short long, n int, sig binary" + "".join(f", p{k} binary" for k in range(ORDERS))
     known = saved(rows.mapInArrow(_describe(width, percent, common), columns))
-    data = known.where("n > 0").dropDuplicates(["class"]).select(
-        "class", "short", "n", "sig", *[f"p{k}" for k in range(ORDERS)]
-    )
-    data = saved(data)
+    row = F.struct("doc_id", "text_key", "short", "n", "sig", *[f"p{k}" for k in range(ORDERS)])
+    data = saved(known.where("n > 0").groupBy("class").agg(F.first(row).alias("row")).select("class", "row.*"))
     total = data.agg(F.sum(F.length("p0") / 8)).first()[0] or 0
     buckets = int(max(128, -(-total // BUCKET_TOKENS)))
     lists = saved(
@@ -283,7 +307,7 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
             pairs = pairs.join(more.select(F.col("class").alias(c), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]), c)
         left = saved(pairs.mapInArrow(_meets, "a binary, b binary"))
         wanted = left.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        one = known.join(wanted, "class").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("m")).select("class", "m.*")
+        one = data.select("class", "doc_id", "text_key").join(wanted, "class")
         texts = rows.join(one, same(rows, one, "doc_id", "text_key")).select("class", "text").dropDuplicates(["class"])
         sets = saved(texts.mapInArrow(_sets(width), "class binary, tokens binary"))
         both = left.join(sets.select(F.col("class").alias("a"), F.col("tokens").alias("x")), "a")
@@ -301,29 +325,34 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "xn", "yn", "xs", "ys"
     ).mapInArrow(_signs_allow(percent), "a binary, b binary")
     links = verified(pairs)
-    joined = links.count()
-    best = True
-    while True:
-        roots = saved(components(links))
+    roots = saved(components(links))
+    number = F.xxhash64("list")
+    member_of = lists.groupBy("short").agg(F.collect_list(number).alias("lists"))  # at most one per prefix token
+    for step in range(NEAREST_ROUNDS + 1):
+        last = step == NEAREST_ROUNDS
         rooted = small.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
         spread = lists.join(rooted, "short")
         open_ = spread.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
         k = F.ceil(F.col("size") / BLOCK).cast("int")
         block = F.pmod(F.xxhash64("class"), F.col("k")).cast("int")
-        cells = spread.join(open_.select("list", k.alias("k")), "list").withColumn("i", block).withColumn(
-            "j", F.explode(F.expr("sequence(0, k - 1)"))
-        ).select(
-            "list", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "class", "n", "sig", "root",
-            F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"),
+        cells = spread.join(open_.select("list", k.alias("k")), "list")
+        if last:
+            cells = cells.join(member_of, "short")
+        cells = cells.withColumn("i", block).withColumn("j", F.explode(F.expr("sequence(0, k - 1)"))).select(
+            "list", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "class", "n", "sig", "root", number.alias("number"),
+            F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"), *["lists"] * last,
         )
-        found = cells.groupBy("list", "lo", "hi").applyInArrow(_cross(percent, best), "a binary, b binary").distinct()
+        found = cells.groupBy("list", "lo", "hi").applyInArrow(_cross(percent, not last), "a binary, b binary, d double")
+        if not last:
+            found = found.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
+        found = saved(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if not found.count():
+            break  # nothing is left across components
         fresh = verified(found)
-        n = fresh.count()
-        links = links.unionByName(fresh)
-        if not best:
-            return known.select("doc_id", "text_key", "class", "n"), links, components(links) if n else roots
-        best = n > 0 and joined > 0 and n != joined
-        joined = n
+        if fresh.count():
+            links = links.unionByName(fresh)
+            roots = saved(components(links))
+    return known.select("doc_id", "text_key", "class", "n"), links, roots
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
