@@ -190,8 +190,9 @@ def _reaches(size: int):
         key = np.array(table["key"].to_pylist())
         by_key = np.argsort(key, kind="stable")
         key = key[by_key]
-        left, right, name = ([table[c].to_pylist()[k] for k in by_key] for c in ("left", "right", "name"))
-        many = np.array(table["n"].to_pylist())[by_key] > 1
+        table = table.take(pa.array(by_key))
+        left, right, name = (table[c].to_pylist() for c in ("left", "right", "name"))
+        many = np.array(table["n"].to_pylist()) > 1
         n, la, ra = len(key), np.array([len(x) for x in left]), np.array([len(x) for x in right])
         group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]).astype(np.int64))))
         data = np.frombuffer(b"".join(x + y for x, y in zip(left, right)), dtype=np.uint8)
