@@ -31,7 +31,7 @@ SAMPLES = 3
 ALPHA = 1.0
 SEED = 97
 #: Texts are sampled together up to about this many characters.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 2_000_000
 SPACE = 0x2581
 _ALL = (1 << 64) - 1
 _STEP, _UNIT, _ROUND = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -152,32 +152,43 @@ class Lattices:
         return which[order], edges[order]
 
 
-class _Path:
-    """One segmentation of one text: its edges, the word of each, and the nodes that open from it."""
-
-    def __init__(self, edges, units, share, gumbel, frozen=0, shut=None):
-        self.edges, self.units, self.gumbel = edges, units, gumbel
-        self.before = np.concatenate(([0.0], np.cumsum(share)))
-        self.shut = shut or {}  # piece number -> edges that earlier paths took there
-        self.frozen = frozen
-
-    def open(self, lattice: Lattices, keys: np.uint64, bound: float) -> None:
-        """Bounds of the nodes that leave this path at each piece from ``frozen`` on."""
-        t = np.arange(self.frozen, len(self.edges))
-        own = lattice.share[self.edges[t]]
+class _Paths:
+    """One new path for each of several texts, laid out one after the other, from the piece on where it leaves
+    an earlier path; with the bounds of the nodes that leave it in turn."""
+
+    def __init__(self, lattice: Lattices, tails, fork, base, bound, keys, shut):
+        """tails: (edges, units) of each text; fork: its first piece's number; base: log mass before that piece;
+        bound: the noise of the path; shut: other edges already taken at the fork."""
+        self.tails, self.fork, self.bound = tails, fork, bound
+        edges = np.concatenate([e for e, _ in tails]) if tails else np.zeros(0, np.int64)
+        size = np.array([len(e) for e, _ in tails], dtype=np.int64)
+        self.at = np.concatenate(([0], np.cumsum(size)))
+        heads, owner = self.at[:-1], np.repeat(np.arange(len(tails)), size)
+        own = lattice.share[edges]
+        sums = np.cumsum(own)
+        self.before = np.asarray(base)[owner] + sums - own - (sums[heads] - own[heads])[owner]
+        self.logp = (self.before + own)[self.at[1:] - 1] if tails else own
         taken = np.exp(own)
-        for k, shut in self.shut.items():
-            if k >= self.frozen:
-                taken[k - self.frozen] += np.exp(lattice.share[list(shut)]).sum()
-        others = lattice.first[lattice.source[self.edges[t]] + 1] - lattice.first[lattice.source[self.edges[t]]] - 1
-        for k, shut in self.shut.items():
-            if k >= self.frozen:
-                others[k - self.frozen] -= len(shut)
-        alone = others == 0
-        with np.errstate(divide="ignore", over="ignore"):
-            mass = self.before[t] + np.log(np.maximum(1 - taken, 1e-300))
-            noise = np.log(-np.log(uniform(keys + t.astype(np.uint64) * _STEP)))
-            self.bounds = np.where(alone, -np.inf, -np.logaddexp(-bound, noise - mass))
+        source = lattice.source[edges]
+        others = lattice.first[source + 1] - lattice.first[source] - 1
+        for h, x in zip(heads.tolist(), shut):
+            if x:
+                taken[h] += np.exp(lattice.share[x]).sum()
+                others[h] -= len(x)
+        number = np.arange(len(edges)) - heads[owner] + np.asarray(fork, dtype=np.int64)[owner]
+        with np.errstate(divide="ignore"):
+            mass = self.before + np.log(np.maximum(1 - taken, 1e-300))
+            noise = np.log(-np.log(uniform(np.asarray(keys, dtype=np.uint64)[owner] + number.astype(np.uint64) * _STEP)))
+        self.bounds = np.where(others == 0, -np.inf, -np.logaddexp(-np.asarray(bound)[owner], noise - mass))
+        self.best = np.maximum.reduceat(self.bounds, heads).tolist() if tails else []
+
+    def take(self, k: int) -> tuple[int, int]:
+        """Close text k's best node; its place in the layout and its piece number."""
+        a, b = int(self.at[k]), int(self.at[k + 1])
+        at = a + int(np.argmax(self.bounds[a:b]))
+        self.bounds[at] = -np.inf
+        self.best[k] = float(self.bounds[a:b].max())
+        return at, at - a + self.fork[k]
 
 
 def sample_texts(texts: list[str], seeds: np.ndarray, k: int, alpha: float):
@@ -221,51 +232,60 @@ def sample_texts(texts: list[str], seeds: np.ndarray, k: int, alpha: float):
         return [(edges[a:b], unit[a:b]) for a, b in zip(cut[:-1], cut[1:])]
 
     live = [d for d in range(len(texts)) if sizes[d]]
-    paths: list[list[_Path]] = [[] for _ in texts]
-    left: list[float] = [-np.inf] * len(texts)
-    for d, (edges, unit) in zip(live, walks(0, live, [0] * len(live), [int(origin[first_unit[d]]) for d in live])):
-        g = -np.log(-np.log(uniform(mix(seeds[d : d + 1])[:1] + _ROUND)[0]))
-        path = _Path(edges, unit, lattice.share[edges], g)
-        path.open(lattice, mix(seeds[d : d + 1] + _STEP)[0], g)
-        paths[d].append(path)
+    tails = walks(0, live, [0] * len(live), [int(origin[first_unit[d]]) for d in live])
+    noise = -np.log(-np.log(uniform(mix(seeds[live]) + _ROUND)))
+    none: list = [()] * len(live)
+    rounds_ = [_Paths(lattice, tails, [0] * len(live), np.zeros(len(live)), noise, mix(seeds[live] + _STEP), none)]
+    full = {d: [e] for d, (e, _) in zip(live, tails)}  # the edges of each path of a text
+    unit_of = {d: [u] for d, (_, u) in zip(live, tails)}
+    where = {d: [(0, n)] for n, d in enumerate(live)}  # round and place of each path
+    shut_at: dict[tuple[int, int, int], list[int]] = {}
+    left = dict.fromkeys(live, -np.inf)
     for rounds in range(1, k + 1):
         jobs = []
         for d in live:
-            if len(paths[d]) < rounds:
+            if len(where[d]) < rounds:
                 continue
-            best = max(paths[d], key=lambda p: p.bounds.max(initial=-np.inf))
-            bound = float(best.bounds.max(initial=-np.inf))
+            bounds = [rounds_[r].best[n] for r, n in where[d]]
+            bound = max(bounds)
             if bound == -np.inf or rounds == k:
                 left[d] = bound
                 continue
-            t = best.frozen + int(np.argmax(best.bounds))
-            e = int(best.edges[t])
-            shut = {*best.shut.get(t, ()), e}
+            which = bounds.index(bound)
+            r, n = where[d][which]
+            at, t = rounds_[r].take(n)
+            e = int(full[d][which][t])
+            shut = [*shut_at.get((d, which, t), ()), e]
             a = int(lattice.source[e])
-            free = np.array([x for x in range(lattice.first[a], lattice.first[a + 1]) if x not in shut])
-            weight = np.cumsum(np.exp(lattice.share[free]))
-            key = mix(seeds[d : d + 1] + np.uint64(rounds * int(_UNIT) & _ALL))
-            e = int(free[min(int(np.searchsorted(weight, uniform(key)[0] * weight[-1])), len(free) - 1)])
-            best.bounds[t - best.frozen] = -np.inf
-            after = a + int(lattice.length[e])
-            jobs.append((d, best, t, e, shut, bound, int(best.units[t]), after if after < lattice.stop[a] else -1, key[0]))
-        tails = walks(rounds, [j[0] for j in jobs], [j[6] for j in jobs], [j[7] for j in jobs])
-        for (d, best, t, e, shut, bound, unit, _, key), (edges, units) in zip(jobs, tails):
-            edges = np.concatenate((best.edges[:t], [e], edges))
-            path = _Path(edges, np.concatenate((best.units[: t + 1], units)), lattice.share[edges], bound, t, {t: shut})
-            path.open(lattice, mix(key[None] + _STEP)[0], bound)
-            paths[d].append(path)
+            free = [x for x in range(lattice.first[a], lattice.first[a + 1]) if x not in shut]
+            weight = np.exp(lattice.share[free[0] : free[-1] + 1])[[x - free[0] for x in free]].cumsum()
+            jobs.append((d, which, t, shut, bound, float(rounds_[r].before[at]), free, weight))
+        if not jobs:
+            continue
+        docs = [j[0] for j in jobs]
+        keys = mix(seeds[docs] + np.uint64(rounds * int(_UNIT) & _ALL))
+        chosen = [j[6][min(int(np.searchsorted(j[7], u * j[7][-1])), len(j[6]) - 1)] for j, u in zip(jobs, uniform(keys).tolist())]
+        source, size = lattice.source[chosen], lattice.length[chosen]
+        after = np.where(source + size < lattice.stop[source], source + size, -1).tolist()
+        rest = walks(rounds, docs, [int(unit_of[j[0]][j[1]][j[2]]) for j in jobs], after)
+        tails = []
+        for (d, which, t, shut, *_), e, (edges, units) in zip(jobs, chosen, rest):
+            tails.append((np.concatenate(([e], edges)), np.concatenate((unit_of[d][which][t : t + 1], units))))
+            full[d].append(np.concatenate((full[d][which][:t], tails[-1][0])))
+            unit_of[d].append(np.concatenate((unit_of[d][which][:t], tails[-1][1])))
+            shut_at[d, len(where[d]), t] = shut
+            where[d].append((rounds, len(tails) - 1))
+        rounds_.append(_Paths(lattice, tails, [j[2] for j in jobs], [j[5] for j in jobs], [j[4] for j in jobs], mix(keys + _STEP), [j[3] for j in jobs]))
     out = []
     for d in range(len(texts)):
         if not sizes[d]:
             out.append([(np.zeros(0, dtype="<u4"), 0.0, 0.0, 1.0)])
             continue
         rows = []
-        for p in paths[d]:
-            logp = float(p.before[-1])
-            with np.errstate(over="ignore"):
-                inclusion = 1.0 if left[d] == -np.inf else float(-np.expm1(-np.exp(min(logp - left[d], 50.0))))
-            rows.append((_ids(known, lattice.name[p.edges]), logp, float(p.gumbel), inclusion))
+        for edges, (r, n) in zip(full[d], where[d]):
+            logp = float(rounds_[r].logp[n])
+            inclusion = 1.0 if left[d] == -np.inf else float(-np.expm1(-np.exp(min(logp - left[d], 50.0))))
+            rows.append((_ids(known, lattice.name[edges]), logp, float(rounds_[r].bound[n]), inclusion))
         out.append(rows)
     return out
 
