@@ -115,9 +115,9 @@ CTES: dict[str, str] = {
         FROM (SELECT *, {_fuse('rule_score', 'ml_score', 'graph_score')} AS risk_score FROM engines)""",
     "alerts": "SELECT id AS alert_id, id AS transaction_id, tx_time AS scored_at, * EXCLUDE (id) FROM scored",
     "messy": f"""
-        SELECT alert_id, CASE WHEN alert_id % 211 = 0 THEN -1 ELSE transaction_id END AS transaction_id, risk_score, scored_at FROM alerts
+        SELECT alert_id, tenant_id, CASE WHEN alert_id % 211 = 0 THEN -1 ELSE transaction_id END AS transaction_id, risk_score, scored_at FROM alerts
         UNION ALL
-        SELECT alert_id + {SECOND_ALERT}, CASE WHEN alert_id % 211 = 0 THEN -1 ELSE transaction_id END, least(999, risk_score + 150), scored_at
+        SELECT alert_id + {SECOND_ALERT}, tenant_id, CASE WHEN alert_id % 211 = 0 THEN -1 ELSE transaction_id END, least(999, risk_score + 150), scored_at
         FROM alerts WHERE alert_id % 50 = 0""",
     "joined_messy": "SELECT t.tenant_id, t.account_id, m.risk_score FROM messy m JOIN tx t ON t.id = m.transaction_id",
     "plain_features": f"""
@@ -381,7 +381,7 @@ QUERIES: dict[str, str] = {
     "invoice_duplicates": """SELECT id, invoice_number, tenant_id::BIGINT AS tenant_id, vendor_id, subtotal_amount::DOUBLE AS subtotal_amount, CAST(invoice_date AS VARCHAR) AS invoice_date, CAST(p AS VARCHAR) AS previous_date FROM (
             SELECT *, lag(invoice_date) OVER (PARTITION BY tenant_id, vendor_id, subtotal_amount ORDER BY invoice_date, id) AS p FROM (
                 SELECT id, invoice_number, tenant_id, vendor_id, subtotal_amount, invoice_date FROM invoices
-                UNION ALL SELECT id + 1000000000000, invoice_number, tenant_id, vendor_id, subtotal_amount, CAST(invoice_date + CAST(CASE WHEN id % 2 = 0 THEN 100 ELSE 500 END AS INTEGER) AS DATE) FROM invoices WHERE id % 5 = 0))
+                UNION ALL SELECT id + 1000000000000, invoice_number, tenant_id, vendor_id, subtotal_amount, CAST(invoice_date + CAST(CASE WHEN (id // 10) % 2 = 0 THEN 100 ELSE 500 END AS INTEGER) AS DATE) FROM invoices WHERE id % 5 = 0))
         WHERE date_diff('day', p, invoice_date) <= 365""",
     "expense_patterns": f"""SELECT category, cost_center_code, grouping(category, cost_center_code)::BIGINT AS level, count(*) AS n_expenses, sum(amount)::DOUBLE AS amount_total, max(amount)::DOUBLE AS amount_max,
         count(DISTINCT employee_id) AS n_employees, {_half_up('sum(amount)', 'count(*)')} AS amount_avg

@@ -399,7 +399,7 @@ def invoice_duplicates(v: Views) -> DataFrame:
     cols = ["id", "invoice_number", "tenant_id", "vendor_id", "subtotal_amount", "invoice_date"]
     again = v.invoices.where("id % 5 = 0").withColumns({
         "id": F.col("id") + 1_000_000_000_000,
-        "invoice_date": F.expr("date_add(invoice_date, CASE WHEN id % 2 = 0 THEN 100 ELSE 500 END)"),
+        "invoice_date": F.expr("date_add(invoice_date, CASE WHEN (id DIV 10) % 2 = 0 THEN 100 ELSE 500 END)"),
     })
     return features.invoice_duplicates(v.invoices.select(*cols).unionByName(again.select(*cols)), days=365)
 
