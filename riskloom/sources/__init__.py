@@ -1 +1 @@
-"""Readers: event payloads, tables, the test-data adapter and the synthetic event generator."""
+"""Readers: event payloads, tables and the test-data adapter."""

@@ -3,13 +3,14 @@
 import datetime as dt
 
 import pytest
+import synthetic
 from pyspark.sql import functions as F
 
 from riskloom.config import ML_FEATURES
 from riskloom.operators import features, joins, normalize, quality, scoring, serving, training, upsert, validate
 from riskloom.plans import daily_batch
 from riskloom.plans.views import views
-from riskloom.sources import events, synthetic
+from riskloom.sources import events
 from riskloom.sources.tables import read_table
 from riskloom.sources.testdata import AS_OF
 
