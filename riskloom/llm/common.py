@@ -39,16 +39,25 @@ def records(docs: DataFrame) -> DataFrame:
 
 def saved(df: DataFrame) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back, which cuts lineage and survives
-    lost executors. The files go when the application ends."""
+    lost executors. The files go when the application ends; the shuffle files behind the table go now."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    jvm.System.gc()  # Spark removes shuffles that nothing refers to any more when its driver collects garbage
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(table: DataFrame) -> None:
+    """Delete the files of a saved table that nothing reads any more."""
+    spark = table.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Null-safe equality of the named columns."""
     cond = F.lit(True)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.bytehash import mix, prefixes, substring
-from riskloom.llm.common import documents, records, same, saved
+from riskloom.llm.common import documents, records, release, same, saved
 
 SIZE = 400
 KEY = 128
@@ -79,26 +79,31 @@ def _anchor_rows(size: int):
 
 def _surroundings(size: int):
     def go(batches):
+        seen: dict[bytes, int] = {}  # names of this task: copies cost a name, not their bytes
         for b in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(10)]
             for i, k, text, spots in zip(b["doc_id"].to_pylist(), b["text_key"].to_pylist(), _raw(b["text"]), b["spots"].to_pylist()):
                 for s in spots:
                     p = s["place"]
                     left, right = text[max(0, p - size + KEY) : p], text[p : p + size]
                     name = hashlib.blake2b(left + right, digest_size=16, salt=len(left).to_bytes(8, "little")).digest()
-                    for column, v in zip(out, (i, k, s["key"], p, name, left, right)):
+                    seen[name] = before = seen.get(name, 0) + 1
+                    first = before == 1
+                    row = (i, k, s["key"], p, name, left if first else None, right if first else None, len(left), len(right), before <= 2)
+                    for column, v in zip(out, row):
                         column.append(v)
                 if len(out[0]) >= 20_000:
                     yield _surrounding(out)
-                    out = [[] for _ in range(7)]
+                    out = [[] for _ in range(10)]
             yield _surrounding(out)
 
     return go
 
 
 def _surrounding(out):
-    kinds = [pa.int64()] * 4 + [pa.binary()] * 3
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], ["doc_id", "text_key", "key", "place", "name", "left", "right"])
+    kinds = [pa.int64()] * 4 + [pa.binary()] * 3 + [pa.int32()] * 2 + [pa.bool_()]
+    names = ["doc_id", "text_key", "key", "place", "name", "left", "right", "la", "ra", "shown"]
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names)
 
 
 class Suffixes:
@@ -183,6 +188,17 @@ class Suffixes:
         return np.array(out, dtype=np.int64)
 
 
+def _distinct(table: pa.Table):
+    """Equal surroundings as one: (left parts, right parts, names, rows seen of each key and name)."""
+    n_of: dict[tuple[int, bytes], int] = {}
+    left, right = {}, {}
+    for k, name, x, y in zip(*(table[c].to_pylist() for c in ("key", "name", "left", "right"))):
+        n_of[k, name] = n_of.get((k, name), 0) + 1
+        if x is not None:
+            left[k, name], right[k, name] = x, y
+    return [left[x] for x in n_of], [right[x] for x in n_of], list(n_of), n_of
+
+
 def _reaches(size: int):
     """Per surrounding the least and the greatest reach left of its anchor of a string that occurs twice."""
 
@@ -190,9 +206,9 @@ def _reaches(size: int):
         key = np.array(table["key"].to_pylist())
         by_key = np.argsort(key, kind="stable")
         key = key[by_key]
-        table = table.take(pa.array(by_key))
-        left, right, name = (table[c].to_pylist() for c in ("left", "right", "name"))
-        many = np.array(table["n"].to_pylist()) > 1
+        left, right, name, n_of = _distinct(table.take(pa.array(by_key)))
+        key = np.array([x[0] for x in n_of])
+        name, many = [x[1] for x in n_of], np.array(list(n_of.values())) > 1
         n, la, ra = len(key), np.array([len(x) for x in left]), np.array([len(x) for x in right])
         group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]).astype(np.int64))))
         data = np.frombuffer(b"".join(x + y for x, y in zip(left, right)), dtype=np.uint8)
@@ -246,29 +262,32 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     twice = all_anchors.groupBy("key").count().where("count > 1").select("key")
     spots = all_anchors.join(twice, "key").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("key", "place")).alias("spots"))
     around = rows.join(spots, same(rows, spots, "doc_id", "text_key")).select(rows["doc_id"], rows["text_key"], "text", "spots").mapInArrow(
-        _surroundings(size), "doc_id long, text_key long, key long, place long, name binary, left binary, right binary"
+        _surroundings(size),
+        "doc_id long, text_key long, key long, place long, name binary, left binary, right binary, la int, ra int, shown boolean",
     )
     around = saved(around)
-    each = around.groupBy("key", "name").agg(F.count("*").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
+    release(all_anchors)
     per_key = around.select("key", "name").distinct().groupBy("key").agg(F.count("*").alias("kinds"))
-    hot = per_key.where(F.col("kinds") > HOT_KEY).select("key")
-    total = per_key.agg(F.sum("kinds")).first()[0] or 0
-    # A key whose surroundings are all alike needs no sort.
-    alike = per_key.where("kinds = 1").select("key")
-    plain = each.join(alike, "key", "left_anti").join(hot, "key", "left_anti")
-    bucket = F.pmod(F.xxhash64("key"), F.lit(max(256, -(-total // BUCKET_ANCHORS))))
-    sorted_ = plain.groupBy(bucket.alias("bucket")).applyInArrow(_reaches(size), "key long, name binary, least int, most int")
-    strings = each.join(hot, "key").mapInArrow(_strings(size), "key long, name binary, reach int, n long, string binary")
-    often = strings.groupBy("key", "reach", "string").agg(F.sum("n").alias("all")).where("all > 1").drop("all")
-    counted = strings.join(often, ["key", "reach", "string"]).groupBy("key", "name").agg(F.min("reach").alias("least"), F.max("reach").alias("most"))
-    names = around.select("doc_id", "text_key", "key", "place", "name", F.length("left").alias("la"), F.length("right").alias("ra"))
-    same_all = names.join(alike, "key").select(  # the key occurs twice, so what surrounds it does
-        "doc_id", "text_key", "place", F.greatest(size - F.col("ra"), F.lit(0)).alias("least"), F.col("la").alias("most")
-    ).where("least <= most")
-    found = names.join(sorted_.unionByName(counted), ["key", "name"]).select("doc_id", "text_key", "place", "least", "most")
-    return found.unionByName(same_all).select(
+    total, most = per_key.agg(F.sum("kinds"), F.max("kinds")).first()
+    # At most two rows of a name from each task, one of them with the bytes.
+    shown = around.where("shown").select("key", "name", "left", "right")
+    names = around.select("doc_id", "text_key", "key", "place", "name")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(max(256, -(-(total or 0) // BUCKET_ANCHORS))))
+    reach = "key long, name binary, least int, most int"
+    if (most or 0) > HOT_KEY:
+        hot = per_key.where(F.col("kinds") > HOT_KEY).select("key")
+        each = shown.join(hot, "key").groupBy("key", "name").agg(F.first("left", True).alias("left"), F.first("right", True).alias("right"))
+        counts = names.join(hot, "key").groupBy("key", "name").agg(F.count("*").alias("n"))
+        strings = each.join(counts, ["key", "name"]).mapInArrow(_strings(size), "key long, name binary, reach int, n long, string binary")
+        often = strings.groupBy("key", "reach", "string").agg(F.sum("n").alias("all")).where("all > 1").drop("all")
+        counted = strings.join(often, ["key", "reach", "string"]).groupBy("key", "name").agg(F.min("reach").alias("least"), F.max("reach").alias("most"))
+        shown = shown.join(hot, "key", "left_anti")
+    found = shown.groupBy(bucket.alias("bucket")).applyInArrow(_reaches(size), reach)
+    if (most or 0) > HOT_KEY:
+        found = found.unionByName(counted)
+    return saved(names.join(found, ["key", "name"]).select(
         "doc_id", "text_key", (F.col("place") - F.col("most")).alias("start"), (F.col("place") - F.col("least") + size).alias("stop")
-    )
+    ))
 
 
 def _remove(batches):
