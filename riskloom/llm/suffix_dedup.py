@@ -259,7 +259,8 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """(doc_id, text_key, start, stop): byte ranges whose union is what repeated strings cover."""
     rows = records(docs).select("doc_id", "text_key", "text")
     all_anchors = saved(rows.mapInArrow(_anchor_rows(size), "doc_id long, text_key long, key long, place long"))
-    twice = all_anchors.groupBy("key").count().where("count > 1").select("key")
+    # A table of its own, so that the join has exchanges of its own and adaptive execution can split a hot key.
+    twice = saved(all_anchors.groupBy("key").count().where("count > 1").select("key"))
     spots = all_anchors.join(twice, "key").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("key", "place")).alias("spots"))
     around = rows.join(spots, same(rows, spots, "doc_id", "text_key")).select(rows["doc_id"], rows["text_key"], "text", "spots").mapInArrow(
         _surroundings(size),
