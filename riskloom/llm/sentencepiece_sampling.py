@@ -165,8 +165,9 @@ class _Paths:
         self.at = np.concatenate(([0], np.cumsum(size)))
         heads, owner = self.at[:-1], np.repeat(np.arange(len(tails)), size)
         own = lattice.share[edges]
-        sums = np.cumsum(own)
-        self.before = np.asarray(base)[owner] + sums - own - (sums[heads] - own[heads])[owner]
+        # Summed text by text, so that neighbours do not change the last digits.
+        sums = np.concatenate([np.concatenate(([0.0], np.cumsum(lattice.share[e])[:-1])) for e, _ in tails]) if tails else own
+        self.before = np.asarray(base)[owner] + sums
         self.logp = (self.before + own)[self.at[1:] - 1] if tails else own
         taken = np.exp(own)
         source = lattice.source[edges]
