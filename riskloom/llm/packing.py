@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
+import re
 import zlib
 
 import numpy as np
@@ -27,7 +29,10 @@ PART_ROWS = 1_000
 
 
 class ByteBpe:
-    """The byte-level vocabulary of 50k tokens; its rank file gives the same ids as its json file, faster."""
+    """The byte-level vocabulary of 50k tokens, with the ids of its json file; its rank file gives them faster.
+
+    The added tokens of the json file are found in the text first, as its own coder does, and keep their ids.
+    """
 
     def __init__(self):
         import public_tokenizers
@@ -35,8 +40,20 @@ class ByteBpe:
 
         with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+            raise ValueError("an added token takes more than its own characters")
         self._coder = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.encode = self._coder.encode_ordinary
+        self._added = {t["content"]: t["id"] for t in added}
+        # Parts are coded one by one: what comes before a token ends there, so spaces at its end stay together.
+        self._parts = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
+
+    def encode(self, text: str) -> list[int]:
+        parts = self._parts.split(text)
+        if len(parts) == 1:
+            return self._coder.encode_ordinary(text)
+        return [i for p in parts for i in ((self._added[p],) if p in self._added else self._coder.encode_ordinary(p))]
 
 
 def piece_bounds(n: int, size: int) -> list[tuple[int, int]]:

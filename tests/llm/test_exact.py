@@ -153,6 +153,25 @@ def test_packing(docs, rows, no_docs):
     assert packing.pack_documents(no_docs).count() == 0
 
 
+def test_added_tokens_have_the_ids_of_the_json(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"end {end} start", end, f"a{end}{end} b", f"  {end}\n x", f"x  {end}  y", f"é{end}'s 12{end}", "<|endoftext|", "<<|endoftext|>>", end.upper(), "", f"word {end} " * 900]
+    coder = packing.ByteBpe()
+    assert [coder.encode(x) for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert coder.encode(texts[0]) == [437, 220, 50256, 923]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.piece): r.ids_crc32 for r in packing.pack_documents(docs).collect()}
+    for n, x in enumerate(texts):
+        ids = np.array([*t.encode(x, add_special_tokens=False).ids, 2], dtype="<u4")
+        for k, (a, m) in enumerate(packing.piece_bounds(len(ids), 1024)):
+            assert got.pop((n, k)) == zlib.crc32(ids[a : a + m].tobytes())
+    assert not got
+
+
 def test_plan_is_best_fit():
     counts = {700: 3, 600: 2, 400: 2, 300: 4, 24: 5, 1024: 1}
     used: dict = {}
