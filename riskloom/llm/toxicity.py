@@ -1,11 +1,13 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and the first four letters of words; those that part the labelled examples are kept. Every
-document becomes a sparse vector over them in one pass; inverse document frequencies count all documents. The
-index holds a bounded number of labelled examples in blocks of similar ones, with the largest weight of each
-term in each block. For a document, products with these maxima bound the cosine inside each block from above;
-blocks are read from the highest bound down until no bound exceeds the k-th best cosine, which leaves the exact
-k nearest. Their votes, weighted by closeness, pass a monotone calibration fitted on examples kept aside.
+Terms are words and the first four letters of words. The vocabulary is every term of a bounded number of labelled
+examples; every document becomes a sparse vector of counts over it in one pass, and inverse document frequencies
+count all documents. A document's terms outside the vocabulary meet no example: they would divide all its cosines
+by one number, which changes neither their order nor the votes, so only they are left out.
+The index holds the examples in blocks of similar ones. Rare terms have postings and add up exactly for all
+examples; for common terms the largest weight of each block bounds what they add. Blocks are read from the highest
+bound down until no bound exceeds the k-th best cosine, which leaves the exact k nearest. Their votes, weighted by
+closeness, pass a monotone calibration fitted on examples kept aside.
 """
 
 from __future__ import annotations
@@ -23,12 +25,10 @@ from riskloom.llm.common import documents, records, saved
 
 #: Labelled examples used at most, half of them toxic where there are enough; a fifth of them calibrates.
 EXAMPLES = 8_000
-TERMS = 1_024
-MIN_DOCS = 4
-MIN_LIFT = 2.0
-MIN_CHI = 30.0
 NEAREST = 15
 BLOCK = 32
+#: Terms that a sixteenth of the examples hold, this many at most, lie in full rows; how a term lies changes no cosine.
+COMMON = 512
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -61,51 +61,46 @@ def choose_examples(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
     return records(docs).drop("rec").join(F.broadcast(chosen), "doc_id").select("doc_id", "text_key", "text", "toxic", aside)
 
 
-def family(text: str) -> int:
-    """The smallest checksum of three words running: near copies mostly share it, other texts hardly ever."""
-    w = text.lower().split()
-    return min((zlib.crc32(" ".join(w[k : k + 3]).encode()) for k in range(max(1, len(w) - 2))), default=0)
+def _terms_only(batches):
+    for b in batches:
+        found = sorted({t for text in b["text"].to_pylist() for t in terms(text)})
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["term"])
 
 
-def _example_terms(batches):
-    for b in batches:
-        rows = [
-            (t, y, f) for text, y in zip(b["text"].to_pylist(), b["toxic"].to_pylist()) for f in (family(text),) for t in terms(text)
-        ]
-        kinds = (pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["term", "toxic", "family"])
+def choose_terms(examples: DataFrame) -> list[str]:
+    """Every term of the examples, in order; none unless both classes are there."""
+    if examples.select("toxic").distinct().count() < 2:
+        return []
+    return sorted(examples.select("text").mapInArrow(_terms_only, "term string").distinct().toArrow()["term"].to_pylist())
 
 
-def choose_terms(examples: DataFrame, limit: int = TERMS) -> list[str]:
-    """The terms that part the classes best (chi-square), among those at least twice as common in one of them.
+def pack(row: list[tuple[int, int]]) -> bytes:
+    """Sorted (term, count) as bytes: gaps and counts, byte by byte of all, deflated. Nothing for no terms."""
+    if not row:
+        return b""
+    v = np.array(row, dtype="<u4")
+    v[1:, 0] = np.diff(v[:, 0])
+    return zlib.compress(np.ascontiguousarray(v.view(np.uint8).T).tobytes(), 1)
 
-    Near copies count once, so that the chance words of a text with many copies do not become terms.
-    """
-    size = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    if len(size) < 2:
-        return []
-    pos, neg = float(size[1]), float(size[0])
-    a, b = F.col("a"), F.col("b")
-    n = pos + neg
-    chi = n * F.pow(a * (neg - b) - b * (pos - a), 2) / ((a + b) * (n - a - b + 1e-9) * pos * neg)
-    lift = F.abs(F.log2((a + 0.5) / (pos + 1)) - F.log2((b + 0.5) / (neg + 1)))
-    counted = examples.select("text", "toxic").mapInArrow(_example_terms, "term string, toxic int, family long").distinct().groupBy("term").agg(
-        F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")
-    )
-    best = counted.where((a + b >= MIN_DOCS) & (lift >= float(np.log2(MIN_LIFT)))).withColumn("chi", chi).where(F.col("chi") >= MIN_CHI)
-    return [r["term"] for r in best.orderBy(F.desc("chi"), "term").limit(limit).collect()]
+
+def unpack(vector: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not vector:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    v = np.ascontiguousarray(np.frombuffer(zlib.decompress(vector), dtype=np.uint8).reshape(8, -1).T).view("<u4").astype(np.int64)
+    return np.cumsum(v[:, 0]), v[:, 1]
 
 
-def _vectors(number: dict[str, int]):
-    known = number.keys()
+def _vectors(number):
+    """``number``: a broadcast of the vocabulary's places."""
 
     def go(batches):
+        place = number.value
+        known = place.keys()
         for b in batches:
             out = []
             for text in b["text"].to_pylist():
                 found = terms(text)
-                row = sorted((number[t], found[t]) for t in found.keys() & known)
-                out.append(np.array(row, dtype="<u4").tobytes())
+                out.append(pack(sorted((place[t], found[t]) for t in found.keys() & known)))
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_key"], pa.array(out, pa.binary())], ["doc_id", "text_key", "vector"])
 
     return go
@@ -116,52 +111,74 @@ def _document_counts(size: int):
         n, counts = 0, np.zeros(size, dtype=np.int64)
         for b in batches:
             for v in b["vector"].to_pylist():
-                counts[np.frombuffer(v, dtype="<u4")[::2]] += 1
+                counts[unpack(v)[0]] += 1
                 n += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(np.arange(size), -1)), pa.array(np.append(counts, n))], ["term", "docs"]
-        )
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], n))], ["term", "docs"])
 
     return go
 
 
 def weigh(vector: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(terms, weights) of unit length."""
-    v = np.frombuffer(vector, dtype="<u4").reshape(-1, 2)
-    w = ((1 + np.log(v[:, 1])) * idf[v[:, 0]]).astype(np.float64)
-    return v[:, 0].astype(np.int64), w / (np.sqrt((w * w).sum()) or 1)
+    at, n = unpack(vector)
+    w = n * idf[at]
+    return at, w / (np.sqrt((w * w).sum()) or 1)
 
 
 class BlockMaxIndex:
     """Exact k nearest by cosine among examples with at least one term."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], ids: list[int], labels: list[int], size: int, k: int = NEAREST):
-        order = sorted((i for i, v in enumerate(vectors) if len(v[0])), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), labels[i], i))
-        self.k, n = k, len(order)
+        held = [i for i, v in enumerate(vectors) if len(v[0])]
+        self.k, n = k, len(held)
+        counts = np.bincount(np.concatenate([vectors[i][0] for i in held]), minlength=size) if n else np.zeros(size, dtype=np.int64)
+        common = np.argsort(-counts, kind="stable")[:COMMON]
+        common = common[counts[common] * 16 > n]
+        self.column = np.full(size, -1, dtype=np.int64)
+        self.column[common] = np.arange(len(common))
+
+        def kind(i):  # the common term that weighs most
+            at, w = vectors[i]
+            c = self.column[at]
+            return int(c[np.argmax(np.where(c >= 0, w, -1.0))])
+
+        order = sorted(held, key=lambda i: (kind(i), labels[i], i))
         blocks = -(-n // BLOCK)
-        self.rows = np.zeros((blocks * BLOCK, size), dtype=np.float32)
+        full = np.zeros((blocks * BLOCK, len(common)), dtype=np.float32)
+        rest = []
         for r, i in enumerate(order):
-            self.rows[r, vectors[i][0]] = vectors[i][1]
-        self.labels = np.zeros(len(self.rows), dtype=np.int64)
-        self.ids = np.full(len(self.rows), -1, dtype=np.int64)
+            at, w = vectors[i]
+            c = self.column[at]
+            full[r, c[c >= 0]] = w[c >= 0]
+            rest.append((at[c < 0], np.full(int((c < 0).sum()), r, dtype=np.int32), w[c < 0].astype(np.float32)))
+        self.labels = np.zeros(len(full), dtype=np.int64)
+        self.ids = np.full(len(full), -1, dtype=np.int64)
         self.labels[:n], self.ids[:n] = [labels[i] for i in order], [ids[i] for i in order]
-        self.rows = self.rows.reshape(blocks, BLOCK, size)
-        # Postings: for each term the blocks that hold it and its largest weight there.
-        peak = self.rows.max(axis=1) if blocks else np.zeros((0, size), np.float32)
-        self.postings = [(at := np.flatnonzero(peak[:, t]), peak[at, t]) for t in range(size)]
+        self.rows = full.reshape(blocks, BLOCK, len(common))
+        self.peak = self.rows.max(axis=1)
+        # Postings of the other terms, one after the other: rows and weights from start[t] to start[t + 1].
+        at, row, w = (np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, dtype=np.int64),) * 3
+        by = np.argsort(at, kind="stable")
+        self.start = np.append(0, np.cumsum(np.bincount(at, minlength=size)))
+        self.posting, self.weight = row[by], w[by]
 
     def nearest(self, at: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, cosines) of the k nearest with a cosine above zero, nearest first; ties by position."""
-        bound = np.zeros(len(self.rows))
-        for t, w in zip(at.tolist(), weight.tolist()):
-            blocks, peak = self.postings[t]
-            bound[blocks] += w * peak
+        c = self.column[at]
+        query = np.zeros(self.rows.shape[2], dtype=np.float32)
+        query[c[c >= 0]] = weight[c >= 0]
+        rare, w = at[c < 0], weight[c < 0]
+        first, n = self.start[rare], self.start[rare + 1] - self.start[rare]
+        taken = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        known = np.bincount(self.posting[taken], self.weight[taken] * np.repeat(w, n), minlength=len(self.ids)).reshape(-1, BLOCK)
+        bound = known.max(axis=1) + self.peak @ query
         order = np.argsort(-bound, kind="stable")
         order = order[: int(np.count_nonzero(bound > 0))]
         pos, cos, done, step = np.zeros(0, dtype=np.int64), np.zeros(0), 0, 4
-        while done < len(order) and (len(cos) < self.k or bound[order[done]] + 1e-6 >= cos[self.k - 1]):
+        while done < len(order) and (len(cos) < self.k or bound[order[done]] + 1e-5 >= cos[self.k - 1]):
             part = order[done : done + step]
-            got = (self.rows[part][:, :, at] @ weight).ravel()
+            got = (known[part] + self.rows[part] @ query).ravel()
             where = (part[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             pos, cos = np.concatenate((pos, where)), np.concatenate((cos, got))
             best = np.lexsort((pos, -cos))[: self.k]
@@ -192,8 +209,8 @@ def monotone(votes: list[float], labels: list[int], weights: list[float]) -> tup
 
 
 class Model:
-    def __init__(self, vocabulary, idf, index, steps, without):
-        self.vocabulary, self.idf, self.index, self.steps, self.without = vocabulary, idf, index, steps, without
+    def __init__(self, idf, index, steps, without):
+        self.idf, self.index, self.steps, self.without = idf, index, steps, without
 
     def score(self, vector: bytes) -> tuple[float, list[int]]:
         if self.index is None or not vector:
@@ -209,18 +226,19 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[M
     spark = docs.sparkSession
     chosen = saved(choose_examples(docs, labels, examples))
     vocabulary = choose_terms(chosen)
-    number = {t: n for n, t in enumerate(vocabulary)}
+    size = len(vocabulary)
+    number = spark.sparkContext.broadcast({t: n for n, t in enumerate(vocabulary)})
     rows = records(docs).select("doc_id", "text_key", "text")
     vectors = saved(rows.mapInArrow(_vectors(number), "doc_id long, text_key long, vector binary"))
     share = labels.where("toxic IN (0, 1)").where(learnable(F.col("doc_id"))).agg(F.avg("toxic"), F.count("*")).first()
     prior = float(share[0] or 0.0)
     if not vocabulary:
-        return Model([], None, None, None, prior), vectors
-    counts = {r["term"]: r["docs"] for r in vectors.mapInArrow(_document_counts(len(number)), "term long, docs long").groupBy("term").agg(
-        F.sum("docs").alias("docs")
-    ).collect()}
-    total = counts.pop(-1)
-    idf = np.array([np.log((1 + total) / (1 + counts.get(t, 0))) + 1 for t in range(len(number))])
+        return Model(None, None, None, prior), vectors
+    table = vectors.mapInArrow(_document_counts(size), "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).toArrow()
+    counts = np.zeros(size + 1)  # the number of documents comes last
+    counts[table["term"].to_numpy()] = table["docs"].to_numpy()
+    # Without a constant added, a term of nearly all documents weighs nearly nothing.
+    idf = np.log((1 + counts[-1]) / (1 + counts[:-1]))
     made = chosen.select("doc_id", "toxic", "aside", "text_key", "text").mapInArrow(
         _with_labels(number), "doc_id long, toxic int, aside boolean, vector binary"
     ).orderBy("doc_id", "toxic", "vector").collect()  # at most about EXAMPLES sparse vectors
@@ -228,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[M
     weight = {1: prior / have[1], 0: (1 - prior) / have[0]}
     scale = len(made)
     inside, aside = [r for r in made if not r["aside"]], [r for r in made if r["aside"]]
-    index = BlockMaxIndex([weigh(r["vector"], idf) for r in inside], [r["doc_id"] for r in inside], [r["toxic"] for r in inside], len(number))
+    index = BlockMaxIndex([weigh(r["vector"], idf) for r in inside], [r["doc_id"] for r in inside], [r["toxic"] for r in inside], size)
     votes, empty = [], [0.0, 0.0]
     for r in aside:
         w = weight[r["toxic"]] * scale
@@ -238,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[M
         else:
             votes.append((v, r["toxic"], w))
     steps = monotone(*zip(*votes)) if votes else ([0.0], [prior])
-    return Model(vocabulary, idf, index, steps, (empty[0] + prior) / (empty[1] + 1)), vectors
+    return Model(idf, index, steps, (empty[0] + prior) / (empty[1] + 1)), vectors
 
 
 def _with_labels(number):
@@ -273,7 +291,7 @@ def _scores(model):
 def score_documents(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """(doc_id, text_key, score, evidence) for every input row, in no order; evidence: ids of the nearest examples.
 
-    Texts without any chosen term, empty and null ones too, get the calibrated share of such examples. Equal
+    Texts without any term of the examples, empty and null ones too, get the calibrated share of such examples. Equal
     texts get equal scores. Empty input gives no rows.
     """
     model, vectors = fit(docs, labels, examples)

@@ -98,6 +98,29 @@ def test_toxicity_on_rows_held_out(spark):
     assert hit / sum(p for p, _ in told) >= 0.9 and hit / sum(t for _, t in told) >= 0.6
 
 
+def test_all_terms_of_the_examples_count(spark):
+    """Few examples and rare words: evidence and cosines are those of the full TF-IDF vectors, by brute force."""
+    rnd = random.Random(8)
+    texts = {n: " ".join(rnd.choices([f"w{chr(97 + k % 26)}{chr(97 + k // 26)}word" for k in range(300)], k=rnd.randint(3, 40))) + (" vile" if n % 2 else "") for n in range(160)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in texts], "doc_id long, toxic int")
+    found = {n: toxicity.terms(t) for n, t in texts.items()}
+    df = {t: sum(t in f for f in found.values()) for f in found.values() for t in f}
+    unit = {}
+    for n, f in found.items():
+        w = {t: c * np.log((1 + len(texts)) / (1 + df[t])) for t, c in f.items()}
+        unit[n] = {t: x / np.sqrt(sum(y * y for y in w.values())) for t, x in w.items()}
+    inside = [r.doc_id for r in toxicity.choose_examples(docs, labels).where("NOT aside").collect()]
+    assert len(inside) > 50
+    out = toxicity.score_documents(docs, labels).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        cos = {n: sum(x * unit[n].get(t, 0.0) for t, x in unit[r.doc_id].items()) for n in inside}
+        want = sorted((c for c in cos.values() if c > 1e-9), reverse=True)[:15]
+        assert np.allclose([cos[n] for n in r.evidence], want, atol=1e-5)
+    assert toxicity.unpack(toxicity.pack([(3, 1), (70_000, 300)]))[0].tolist() == [3, 70_000]
+
+
 def test_toxicity_of_awkward_rows(docs, labels, no_docs):
     out = toxicity.score_documents(docs, labels).collect()
     assert len(out) == docs.count() and all(0 <= r.score <= 1 for r in out)
