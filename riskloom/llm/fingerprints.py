@@ -3,7 +3,7 @@
 Over a text's words, a run of five is a closed syncmer when the smallest of its four inner two-word hashes is
 the first or the last. The choice depends on nothing outside the run, so an edit elsewhere leaves it alone.
 A fingerprint keeps the distinct syncmers with the smallest hashes, each with its first word position: anchors
-that match by hash and then by position. All work is built-in expressions over one row.
+that match by hash and then by the order of their positions. All work is built-in expressions over one row.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from riskloom.llm.common import documents, let, paired, records, words_of
 
 #: Anchors kept; a likeness then has a standard error of about 0.05.
 ANCHORS = 96
-#: Anchors match when their shift is this near to the middle shift, in words.
-SHIFT = 32
 ANCHOR = "array<struct<hash:bigint,place:int>>"
 RANGE_ROWS = 5_000
 MAX_RANGES = 2_000
@@ -63,18 +61,30 @@ def anchors(text: Column, keep: int = ANCHORS) -> Column:
     return let(words_of(text), chosen)
 
 
+def longest_rise(a: Column) -> Column:
+    """The length of the longest strictly rising subsequence of an array of int."""
+
+    def rises(s):
+        return F.forall(F.zip_with(s, F.slice(s, 2, F.size(s)), lambda x, y: F.coalesce(y > x, F.lit(True))), lambda v: v)
+
+    def put(ends, x):  # the least last element of a rise of each length; x ends one longer than those below it
+        return let(F.size(F.filter(ends, lambda y: y < x)), lambda n: F.concat(F.slice(ends, 1, n), F.array(x), F.slice(ends, n + 2, F.size(ends))))
+
+    return let(a, lambda s: F.when(rises(s), F.size(s)).otherwise(F.size(F.aggregate(s, F.array().cast("array<int>"), put))))
+
+
 def likeness(a: Column, b: Column, keep: int = ANCHORS) -> Column:
     """Of the smallest hashes of both, the share that both have at consistent places: 0 to 1.
 
-    Places are consistent when their shift is within SHIFT words of the middle shift. Two without anchors are
-    alike (1), one without and one with are not (0).
+    Places are consistent when they have one order in both: the longest rise of the places in ``b``, taken by place
+    in ``a``, however much was put in or left out in between. Two without anchors are alike (1), one without and
+    one with are not (0).
     """
 
     def shared(low):
         both = F.filter(a, lambda x: F.array_contains(low, x["hash"]) & F.exists(b, lambda y: y["hash"] == x["hash"]))
-        shifts = F.sort_array(F.transform(both, lambda x: F.filter(b, lambda y: y["hash"] == x["hash"])[0]["place"] - x["place"]))
-        near = lambda s: F.size(F.filter(s, lambda v: F.abs(v - F.get(s, F.floor(F.size(s) / 2).cast("int"))) <= SHIFT))
-        return let(shifts, near) / F.size(low)
+        places = F.sort_array(F.transform(both, lambda x: F.struct(x["place"].alias("here"), F.filter(b, lambda y: y["hash"] == x["hash"])[0]["place"].alias("there"))))
+        return longest_rise(F.transform(places, lambda x: x["there"])) / F.size(low)
 
     hashes = lambda c: F.transform(c, lambda x: x["hash"])
     low = F.slice(F.sort_array(F.array_union(hashes(a), hashes(b))), 1, keep)

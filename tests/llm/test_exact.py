@@ -251,6 +251,28 @@ def test_syncmers_are_context_free(spark):
     assert value[0, 1] > 0.9 and value[0, 2] == 0.0 and value[1, 1] == 1.0
 
 
+def test_likeness_of_texts_with_passages_put_in(spark):
+    w = [f"word{k}" for k in range(1000)]
+    new = lambda n: [f"new{n}x{k}" for k in range(40)]
+    copies = [w, w[:500] + new(1) + w[500:], w[:333] + new(1) + w[333:666] + new(2) + w[666:], w[:300] + w[350:700] + w[760:], w[500:] + w[:500]]
+    d = spark.createDataFrame([(n, " ".join(w), " ".join(c)) for n, c in enumerate(copies)], "n int, x string, y string")
+    got = {r.n: r.like for r in d.select("n", fingerprints.likeness(fingerprints.anchors(F.col("x")), fingerprints.anchors(F.col("y"))).alias("like")).collect()}
+    assert got[0] == 1 and got[1] > 0.85 and got[2] > 0.8 and got[3] > 0.75 and 0.3 < got[4] < 0.7
+
+
+def test_longest_rise(spark):
+    from bisect import bisect_left
+    from random import Random
+
+    rnd, lists = Random(4), [[], [3], [2, 1], [1, 2, 3]]
+    lists += [rnd.sample(range(200), rnd.randint(1, 60)) for _ in range(30)]
+    for r in spark.createDataFrame([(x,) for x in lists], "a array<int>").select("a", fingerprints.longest_rise(F.col("a")).alias("n")).collect():
+        ends: list = []
+        for x in r.a:
+            ends[(at := bisect_left(ends, x)) : at + 1] = [x]
+        assert r.n == len(ends)
+
+
 def brute_spans(t):
     out = []
     patterns = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
