@@ -298,6 +298,19 @@ def test_personal_data(spark, docs, rows, no_docs):
     assert pii.detect(no_docs).count() == 0
 
 
+def test_disguised_addresses_are_added(spark):
+    texts = [f"please write to user{n}@host{n % 7}.org for more of it" if n % 2 else f"the mail user{n}@host{n % 7}.example.com. Then nothing" for n in range(200)]
+    planted = {1000: ("write to john @ example.com for more", "john @ example.com"), 1001: ("write to anna (at) example (dot) com for more", "anna (at) example (dot) com"),
+               1002: ("write to eve [at] example.org for more", "eve [at] example.org"), 1003: ("write to bob@example.com for more", "bob@example.com")}
+    others = {1004: "meet me @ home. Later we go", 1005: "nothing here"}
+    rows = [*enumerate(texts), *((i, t) for i, (t, _) in planted.items()), *others.items()]
+    got = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (t, m) in planted.items():
+        assert got[i] == [("email", t.index(m), t.index(m) + len(m))], (t, got[i])
+    assert got[1004] == [] and got[1005] == []
+    assert all(got[n] == [("email", *re.search(r"\S+@[a-z0-9]+(\.[a-z]+)+", t).span())] for n, t in enumerate(texts))
+
+
 def test_redaction(spark):
     d = spark.createDataFrame([("mail a@b.co or 10.0.0.1!", [("email", 5, 11), ("ip", 15, 23)]), ("abcdef", [("x", 1, 4), ("y", 2, 5)]), ("", [])],
                               "text string, spans array<struct<kind:string,start:int,stop:int>>")
