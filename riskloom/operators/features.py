@@ -11,6 +11,7 @@ from riskloom.config import HIGH_RISK_THRESHOLD, VELOCITY_24H_THRESHOLD
 from riskloom.functions.columns import exact_avg
 from riskloom.operators.joins import lookup_join
 from riskloom.operators.sequences import current_run, previous_instant, rolling_sums, run_lengths, running_totals
+from riskloom.operators.stored import stored
 from riskloom.operators.validate import as_of_column
 
 ACCOUNT = ["tenant_id", "account_id"]
@@ -121,9 +122,10 @@ def daily_summary(
     With ``dedupe_alerts`` a transaction counts once, with the score of its latest alert. Without,
     it counts once per alert, as a plain join of transactions and alerts would have it.
     """
-    in_range = in_utc_dates(tx, from_date, to_date)
+    # The range is read and computed once; it picks the alerts and then meets them.
+    in_range = stored(with_tenant(in_utc_dates(tx, from_date, to_date)).select("id", *ACCOUNT, "amount", "tx_time", "direction"))
     # Alerts of other days leave before they are aggregated.
-    wanted = with_tenant(in_range).select("tenant_id", F.col("id").alias("transaction_id"))
+    wanted = in_range.select("tenant_id", F.col("id").alias("transaction_id"))
     near = alerts.join(wanted, ["tenant_id", "transaction_id"], "left_semi")
     rows = _with_alert_stats(in_range, near, "left", "amount", "tx_time", "direction")
     if dedupe_alerts:
@@ -224,7 +226,7 @@ def high_risk_runs(scored: DataFrame) -> DataFrame:
     """Per transaction: consecutive high-risk transactions of the account up to it."""
     rows = with_tenant(scored).select("id", *ACCOUNT, "tx_time", "tx_id", "risk_score")
     return run_lengths(
-        rows, ACCOUNT, "tx_time", ["tx_time", "tx_id"], _is_high(F.col("risk_score")), "consecutive_high_risk"
+        rows, ACCOUNT, ["tx_time", "tx_id"], _is_high(F.col("risk_score")), "consecutive_high_risk"
     )
 
 
@@ -249,7 +251,7 @@ def latest_state(scored: DataFrame) -> DataFrame:
 def running_risk_avg(scored: DataFrame) -> DataFrame:
     rows = with_tenant(scored).select("id", *ACCOUNT, "tx_time", "tx_id", "risk_score")
     totals = running_totals(
-        rows, ACCOUNT, "tx_time", ["tx_time", "tx_id"],
+        rows, ACCOUNT, ["tx_time", "tx_id"],
         {"tx_count": F.lit(1).cast("bigint"), "score_total": F.col("risk_score").cast("bigint")},
     )
     return totals.select(
@@ -329,8 +331,8 @@ def expense_linkage(expenses: DataFrame, invoices: DataFrame, tx: DataFrame) ->
         F.min(F.struct("total_amount", "vendor_id")).alias("_inv")
     )
     payment = tx.select("tenant_id", F.col("id").alias("transaction_id"), F.col("amount").alias("payment_amount"), F.lit(True).alias("_paid"))
-    linked = lookup_join(expenses, one_invoice, ["tenant_id", "invoice_id"], "id", max_rows=None)
-    linked = lookup_join(linked, payment, ["tenant_id", "transaction_id"], "id", max_rows=None)
+    linked = lookup_join(expenses, one_invoice, ["tenant_id", "invoice_id"], "id", max_bytes=None)
+    linked = lookup_join(linked, payment, ["tenant_id", "transaction_id"], "id", max_bytes=None)
     missing_invoice = F.col("invoice_id").isNotNull() & F.col("_inv").isNull()
     missing_payment = F.col("transaction_id").isNotNull() & F.col("_paid").isNull()
     return linked.select(

@@ -9,15 +9,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.features import ACCOUNT
 from riskloom.operators.joins import lookup_join
 from riskloom.operators.scoring import graph_motifs, graph_score
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.operators.stored import release, stored
 
 NODE = ["tenant_id", "node"]
+#: Edges of one node that stay together; a node with more is split into that many parts more.
+HUB_EDGES = 100_000
 
 
 def node(kind: str, column: str) -> Column:
@@ -53,7 +56,7 @@ def degrees(e: DataFrame) -> DataFrame:
 def _star(pairs: DataFrame) -> DataFrame:
     """One contraction round over (node, other): hang every larger neighbour on the smallest one."""
     least = pairs.groupBy(*NODE).agg(F.min("other").alias("m")).withColumn("m", F.least("m", "node"))
-    return lookup_join(pairs, least, NODE, "other", "inner", max_rows=None)
+    return lookup_join(pairs, least, NODE, "other", "inner", max_bytes=None)
 
 
 def components(e: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -63,18 +66,18 @@ def components(e: DataFrame, max_rounds: int = 64) -> DataFrame:
     rounds grows with the logarithm of the longest chain. Runs until nothing changes; reaching
     ``max_rounds`` is an error, never a partial answer.
     """
-    ensure_checkpoint_dir(e.sparkSession)
     # (node, other) with other < node: every node points to a smaller one.
-    links = e.select("tenant_id", F.col("dst").alias("node"), F.col("src").alias("other")).checkpoint()
+    links = stored(e.select("tenant_id", F.col("dst").alias("node"), F.col("src").alias("other")))
     mark = None
     for _ in range(max_rounds):
         both = both_ways(links.select("tenant_id", F.col("other").alias("src"), F.col("node").alias("dst")))
         large = _star(both).where(F.col("other") > F.col("node")).select("tenant_id", F.col("other").alias("node"), F.col("m").alias("other")).distinct()
         # Small star: a node and its smaller neighbours all hang on the smallest of them.
         least = large.groupBy(*NODE).agg(F.min("other").alias("m"))
-        hung = lookup_join(large, least, NODE, "other", "inner", max_rows=None).where(F.col("other") != F.col("m")).select("tenant_id", F.col("other").alias("node"), F.col("m").alias("other"))
+        hung = lookup_join(large, least, NODE, "other", "inner", max_bytes=None).where(F.col("other") != F.col("m")).select("tenant_id", F.col("other").alias("node"), F.col("m").alias("other"))
         own = least.select("tenant_id", "node", F.col("m").alias("other"))
-        links = hung.unionByName(own).where(F.col("node") != F.col("other")).distinct().checkpoint()
+        before, links = links, stored(hung.unionByName(own).where(F.col("node") != F.col("other")).distinct())
+        release(before)
         row = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*links.columns).cast("decimal(38,0)")).alias("h")).first()
         if (row.n, row.h) == mark:
             break
@@ -85,31 +88,62 @@ def components(e: DataFrame, max_rounds: int = 64) -> DataFrame:
     members = links.select("tenant_id", "node", F.col("other").alias("component")).unionByName(roots)
     sizes = members.groupBy("tenant_id", "component").agg(F.count("*").alias("community_size"))
     # One component may hold most nodes, hence the balanced join.
-    return lookup_join(members, sizes, ["tenant_id", "component"], "node", "inner", max_rows=None).select(*NODE, "component", "community_size")
+    return lookup_join(members, sizes, ["tenant_id", "component"], "node", "inner", max_bytes=None).select(*NODE, "component", "community_size")
 
 
-def pagerank(e: DataFrame, iterations: int = 10, damping: float = 0.85, checkpoint_every: int = 5) -> DataFrame:
-    """Rank per tenant graph after a fixed number of iterations; the ranks of a tenant sum to 1."""
-    spark = e.sparkSession
-    ensure_checkpoint_dir(spark)
-    links = both_ways(e).checkpoint()
+def placed_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges dealt once by source node, a hub's edges over its ``parts``, and kept in that place.
+
+    A join on (tenant_id, node, part) finds them where they are: only the ranks move between rounds.
+    """
+    n = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of_node = lookup_join(links, nodes.select(*NODE, "parts"), NODE, "other", "inner", max_bytes=None)
+    part = F.pmod(F.xxhash64("other"), F.col("parts")).cast("int")
+    return of_node.select(*NODE, "other", part.alias("part")).repartition(n, *NODE, "part").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def rank_round(links: DataFrame, nodes: DataFrame, ranks: DataFrame, damping: float) -> DataFrame:
+    """One round: each node passes its rank on in equal shares. Adds the change of the rank as ``moved``."""
+    shares = ranks.select(
+        *NODE, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), (F.col("pagerank") / F.col("degree")).alias("share")
+    )
+    received = links.join(shares, [*NODE, "part"]).groupBy("tenant_id", F.col("other").alias("node")).agg(F.sum("share").alias("got"))
+    # Every node has an edge, hence a neighbour to receive from.
+    after = nodes.join(received, NODE).select(
+        *NODE, "degree", "n_nodes", "parts", ((1.0 - damping) / F.col("n_nodes") + damping * F.col("got")).alias("pagerank")
+    )
+    before = ranks.select(*NODE, F.col("pagerank").alias("_before"))
+    return after.join(before, NODE).withColumn("moved", F.abs(F.col("pagerank") - F.col("_before"))).drop("_before")
+
+
+def pagerank(
+    e: DataFrame, iterations: int = 10, damping: float = 0.85, tolerance: float | None = None, store_every: int = 4,
+    hub_edges: int = HUB_EDGES,
+) -> DataFrame:
+    """Rank per tenant graph; the ranks of a tenant sum to 1.
+
+    Runs ``iterations`` rounds, or fewer when ``tolerance`` is given and no rank moved by more in a round. Lineage is
+    cut every ``store_every`` rounds; tables of earlier rounds are deleted.
+    """
+    links = stored(both_ways(e))
     degree = links.groupBy(*NODE).agg(F.count("*").alias("degree"))
     n = degree.groupBy("tenant_id").agg(F.count("*").alias("n_nodes"))
-    nodes = lookup_join(degree, n, ["tenant_id"], "node", "inner", max_rows=None).checkpoint()
-    ranks = nodes.select(*NODE, "degree", "n_nodes", (F.lit(1.0) / F.col("n_nodes")).alias("pagerank"))
+    parts = F.ceil(F.col("degree") / F.lit(hub_edges)).cast("int").alias("parts")
+    nodes = stored(lookup_join(degree, n, ["tenant_id"], "node", "inner", max_bytes=None).select(*NODE, "degree", "n_nodes", parts))
+    kept = placed_links(links, nodes)
+    ranks = nodes.select("*", (F.lit(1.0) / F.col("n_nodes")).alias("pagerank"))
+    tables: list[DataFrame] = []
     for i in range(iterations):
-        shares = ranks.select(*NODE, (F.col("pagerank") / F.col("degree")).alias("share"))
-        received = (
-            lookup_join(links, shares, NODE, "other", "inner", max_rows=None)
-            .groupBy("tenant_id", F.col("other").alias("node")).agg(F.sum("share").alias("got"))
-        )
-        # Every node has an edge, hence a neighbour to receive from.
-        ranks = nodes.join(received, NODE).select(
-            *NODE, "degree", "n_nodes",
-            ((1.0 - damping) / F.col("n_nodes") + damping * F.col("got")).alias("pagerank"),
-        )
-        if (i + 1) % checkpoint_every == 0:
-            ranks = ranks.checkpoint()
+        ranks = rank_round(kept, nodes, ranks, damping)
+        if (i + 1) % store_every == 0 or i + 1 == iterations:
+            ranks = stored(ranks)
+            for table in tables:
+                release(table)
+            tables = [ranks]
+            if tolerance is not None and (ranks.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+                break
+    kept.unpersist()
+    release(links)
     return ranks.select(*NODE, "pagerank")
 
 
@@ -123,13 +157,12 @@ def node_risk(alerts: DataFrame) -> DataFrame:
 def neighbor_risk(e: DataFrame, risk: DataFrame) -> DataFrame:
     """Average risk of the neighbours of each node; neighbours without alerts count as 0."""
     of_other = risk.select("tenant_id", F.col("node").alias("other"), "node_risk")
-    joined = lookup_join(both_ways(e), of_other, ["tenant_id", "other"], "node", max_rows=None)
+    joined = lookup_join(both_ways(e), of_other, ["tenant_id", "other"], "node", max_bytes=None)
     return joined.groupBy(*NODE).agg(F.avg(F.coalesce("node_risk", F.lit(0.0))).alias("avg_neighbor_risk"))
 
 
 def node_metrics(e: DataFrame, alerts: DataFrame, iterations: int = 10) -> DataFrame:
-    ensure_checkpoint_dir(e.sparkSession)
-    e = e.checkpoint()
+    e = stored(e)
     parts = [degrees(e), components(e).drop("component"), pagerank(e, iterations), neighbor_risk(e, node_risk(alerts))]
     return reduce(lambda a, b: a.join(b, NODE), parts)
 
@@ -140,7 +173,7 @@ def score_with_metrics(tx: DataFrame, metrics: DataFrame) -> DataFrame:
     own = metrics.where(F.col("node").startswith("ACCOUNT:")).select(
         "tenant_id", F.substr("node", F.lit(len("ACCOUNT:") + 1)).alias("account_id"), *names
     )
-    joined = lookup_join(tx.select("id", *ACCOUNT), own, ACCOUNT, "id", max_rows=None)
+    joined = lookup_join(tx.select("id", *ACCOUNT), own, ACCOUNT, "id", max_bytes=None)
     cols = {c: F.col(c) for c in names}
     return joined.select(
         "id", *ACCOUNT, graph_score(cols).alias("graph_score"), graph_motifs(cols).alias("graph_motifs")

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 10 << 20
 NULL_SALTS = 256
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows; stops reading beyond the bound."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of the result by the optimizer's statistics (file and column sizes); no job runs for it.
+
+    It is the size of the files for a scan, and an upper bound above filters and joins.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def lookup_join(
@@ -20,13 +23,13 @@ def lookup_join(
     on: list[str],
     spread: str | None = None,
     how: str = "left",
-    max_rows: int | None = BROADCAST_ROWS,
+    max_bytes: int | None = BROADCAST_BYTES,
     salts: int = 1,
 ) -> DataFrame:
     """Join a large table to a table with one row per key.
 
-    The right side is broadcast only after counting that it is within ``max_rows``; ``None`` skips
-    the count where it would cost a full pass. Otherwise it is a shuffle join made safe for skew:
+    The right side is broadcast only when the optimizer's statistics put it within ``max_bytes``; ``None``
+    never asks for it. Otherwise it is a shuffle join made safe for skew:
 
     * left rows with a null key match nothing and are spread by a hash of ``spread`` (all columns
       by default) instead of piling up in one task;
@@ -36,7 +39,7 @@ def lookup_join(
     * ``salts`` above 1 splits every key that many ways up front, at the price of that many copies
       of the right side.
     """
-    if max_rows is not None and fits(right, max_rows):
+    if max_bytes is not None and estimated_bytes(right) <= max_bytes:
         return left.join(F.broadcast(right), on, how)
     mix = F.xxhash64(*([spread] if spread else left.columns))
     no_key = F.lit(False)
@@ -50,4 +53,4 @@ def lookup_join(
 
 def semi_lookup(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys``: the batch form of many point lookups."""
-    return lookup_join(df, keys.select(*on).distinct(), on, how="left_semi", max_rows=None)
+    return lookup_join(df, keys.select(*on).distinct(), on, how="left_semi", max_bytes=None)

@@ -24,7 +24,13 @@ TX_COLUMNS = [
 # What scoring needs beyond the record itself.
 CONTEXT_COLUMNS = [
     "transaction_id", "transaction_reference", "vendor_code", "employee_id", "amount_raw",
-    "direction_raw", "event_wall",
+    "direction_raw", "status_raw", "event_version", "event_wall",
+]
+# The enriched event as it is sent on: exactly these fields. The last three are null without a vendor lookup.
+ENRICHED_FIELDS = [
+    "event_version", "transaction_id", "tenant_id", "transaction_reference", "account_id", "amount", "currency",
+    "direction", "status", "timestamp", "vendor_code", "employee_id",
+    "vendor_risk_level", "vendor_country_code", "is_high_risk_country",
 ]
 
 RULE_RESULT = "struct<rule_name:string,triggered:boolean,score:double,reasons:array<string>>"
@@ -67,10 +73,29 @@ def transactions(valid_events: DataFrame, *keep: str) -> DataFrame:
         "employee_id",
         F.col("amount").alias("amount_raw"),
         F.col("direction").alias("direction_raw"),
+        F.col("status").alias("status_raw"),
+        "event_version",
         "event_wall",
     )
 
 
+def enriched_events(tx: DataFrame) -> DataFrame:
+    """The declared enriched event of each transaction, direction and status as they were sent."""
+    given = {
+        "direction": F.col("direction_raw"), "status": F.col("status_raw"), "timestamp": F.col("tx_time"),
+        **{c: F.col(c) if c in tx.columns else F.lit(None).cast(t) for c, t in (
+            ("vendor_risk_level", "string"), ("vendor_country_code", "string"), ("is_high_risk_country", "boolean"),
+        )},
+    }
+    return tx.select(*[given.get(f, F.col(f)).alias(f) for f in ENRICHED_FIELDS])
+
+
+def enriched_messages(tx: DataFrame) -> DataFrame:
+    """Enriched events as (key, value) messages; every declared field is there, null ones too."""
+    body = F.to_json(F.struct(*ENRICHED_FIELDS), {"ignoreNullFields": "false"})
+    return enriched_events(tx).select(F.col("transaction_reference").alias("key"), body.alias("value"))
+
+
 def transaction_reference(description: str = "description", tx_id: str = "tx_id", id_: str = "id") -> Column:
     """Text after the first ``ref=``, else the transaction id, else the row id."""
     text = strip(F.coalesce(F.col(description), F.lit("")))

@@ -39,10 +39,51 @@ def _violations(df: DataFrame, table: str, checks: Sequence[tuple[str, Column]])
     return counted.select(F.inline(rows))
 
 
-def length_violations(df: DataFrame, table: str, limits: Mapping[str, int], required: Sequence[str] = ()) -> DataFrame:
+def null_or_longer(limits: Mapping[str, int], required: Sequence[str] = ()) -> list[tuple[str, Column]]:
     checks = [(f"{c}<={n}", F.coalesce(F.length(c) > n, F.lit(False))) for c, n in limits.items()]
-    checks += [(f"{c} not null", F.col(c).isNull()) for c in required]
-    return _violations(df, table, checks)
+    return checks + [(f"{c} not null", F.col(c).isNull()) for c in required]
+
+
+def outside_domain(domains: Mapping[str, Sequence[str]]) -> list[tuple[str, Column]]:
+    return [(f"{c} in domain", F.col(c).isNotNull() & ~F.col(c).isin(list(values))) for c, values in domains.items()]
+
+
+def outside_range(ranges: Mapping[str, tuple[float, float]]) -> list[tuple[str, Column]]:
+    return [(f"{c} in {lo}..{hi}", F.col(c).isNotNull() & ~F.col(c).between(lo, hi)) for c, (lo, hi) in ranges.items()]
+
+
+def constraint_report(
+    df: DataFrame, table: str, keys: Sequence[Sequence[str]] = (), checks: Sequence[tuple[str, Column]] = ()
+) -> DataFrame:
+    """(table_name, check_name, n_rows): all constraints of a table in one scan.
+
+    A row gives one record with all its row checks and one per key. The records are counted by key value, map-side
+    combined, so a value that most rows share costs a row per task; row checks ride along as sums. A key check counts
+    the rows beyond the first of each value. An empty table gives zeros.
+    """
+    flags = [F.when(bad, 1).otherwise(0).cast("bigint") for _, bad in checks]
+    zero = F.lit(0).cast("bigint")
+
+    def record(number: int, value: Column, counted: list[Column]) -> Column:
+        return F.struct(F.lit(number).alias("_check"), value.alias("_value"), *[c.alias(f"_f{i}") for i, c in enumerate(counted)])
+
+    of_row = record(-1, F.lit(None).cast("array<string>"), flags)
+    of_keys = [record(i, F.array(*[F.col(c).cast("string") for c in k]), [zero] * len(flags)) for i, k in enumerate(keys)]
+    rows = df.select(F.inline(F.array(of_row, *of_keys)))
+    values = rows.groupBy("_check", "_value").agg(F.count("*").alias("_n"), *[F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(flags))])
+    extra = [F.sum(F.when(F.col("_check") == i, F.col("_n") - 1)) for i in range(len(keys))]
+    total = values.agg(
+        *[F.coalesce(x, zero).alias(f"_k{i}") for i, x in enumerate(extra)],
+        *[F.coalesce(F.sum(f"_f{i}"), zero).alias(f"_f{i}") for i in range(len(flags))],
+    )
+    named = [(f"unique {','.join(k)}", f"_k{i}") for i, k in enumerate(keys)] + [(n, f"_f{i}") for i, (n, _) in enumerate(checks)]
+    return total.select(F.inline(F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(n).alias("check_name"), F.col(c).alias("n_rows")) for n, c in named
+    ])))
+
+
+def length_violations(df: DataFrame, table: str, limits: Mapping[str, int], required: Sequence[str] = ()) -> DataFrame:
+    return _violations(df, table, null_or_longer(limits, required))
 
 
 def domain_violations(df: DataFrame, table: str, domains: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -74,7 +115,7 @@ def null_orphan_alerts(alerts: DataFrame, tx: DataFrame) -> DataFrame:
     refs = alerts.where(F.col("transaction_id").isNotNull()).select("tenant_id", "transaction_id").distinct()
     ids = tx.select("tenant_id", F.col("id").alias("transaction_id"))
     lost = refs.join(ids, ["tenant_id", "transaction_id"], "left_anti").withColumn("_lost", F.lit(True))
-    return lookup_join(alerts, lost, ["tenant_id", "transaction_id"], "alert_id", max_rows=None).select(
+    return lookup_join(alerts, lost, ["tenant_id", "transaction_id"], "alert_id", max_bytes=None).select(
         *[
             F.when(F.col("_lost").isNull(), F.col(c)).alias(c) if c == "transaction_id" else F.col(c)
             for c in alerts.columns

@@ -1,12 +1,14 @@
 """Analyst queries: filtered and paged lists, searches, KPIs and histograms.
 
 Filters sit on raw columns so that they reach the scan. A page is ordered with a unique tie-break
-and planned as a top-k: each task keeps ``offset + limit`` rows.
+and planned as a top-k. Pages that follow one another seek by the place of the last row (``page_token``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from riskloom.config import KPI_CRITICAL, KPI_HIGH, PAGE_DEFAULT, PAGE_MAX
@@ -15,15 +17,58 @@ from riskloom.operators.features import ACCOUNT, FEATURE_COLUMNS
 from riskloom.operators.joins import lookup_join
 
 
-def page(df: DataFrame, order: list[Column], limit: int = PAGE_DEFAULT, offset: int = 0) -> DataFrame:
+#: Column and whether it sorts descending.
+Order = list[tuple[str, bool]]
+
+
+def page(df: DataFrame, order: Order, limit: int = PAGE_DEFAULT, offset: int = 0, after: str | None = None) -> DataFrame:
+    """One page in ``order``, whose last column must be unique. Nulls are the smallest values.
+
+    ``after`` is the token of the last row of the page before (``page_token``): the page starts behind that row, the
+    scan gets a range filter on the first column, and tasks keep ``limit`` rows however far in the list the page is.
+    With ``offset`` instead they keep ``offset + limit`` rows.
+    """
     if not 1 <= limit <= PAGE_MAX:
         raise ValueError(f"limit must be between 1 and {PAGE_MAX}")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    ordered = df.orderBy(*order)
+    if after is not None:
+        if offset:
+            raise ValueError("give after or offset, not both")
+        df = df.where(_behind(df, order, after))
+    ordered = df.orderBy(*[F.desc(c) if down else F.asc(c) for c, down in order])
     return (ordered.offset(offset) if offset else ordered).limit(limit)
 
 
+def page_token(row: Row, order: Order) -> str:
+    """The place of a row in a list, as text; it stays right when rows come and go."""
+    return json.dumps([None if row[c] is None else str(row[c]) for c, _ in order])
+
+
+def _behind(df: DataFrame, order: Order, token: str) -> Column:
+    """Rows that come after the token's row."""
+    values = json.loads(token)
+    if not isinstance(values, list) or len(values) != len(order):
+        raise ValueError("the token belongs to another list")
+    out, tie = F.lit(False), F.lit(True)
+    for (c, down), v in zip(order, values):
+        if v is None:  # nulls are last when descending, first when ascending
+            later = F.lit(False) if down else F.col(c).isNotNull()
+            same = F.col(c).isNull()
+        else:
+            value = F.lit(v).cast(df.schema[c].dataType)
+            later = (F.col(c) < value) | F.col(c).isNull() if down else F.col(c) > value
+            same = F.col(c) == value
+        out, tie = out | (tie & later), tie & same
+    (c, down), v = order[0], values[0]
+    if v is None:
+        return out
+    value = F.lit(v).cast(df.schema[c].dataType)
+    # Implied by the rest, and alone simple enough for the scan to skip files by.
+    bound = (F.col(c) <= value) | F.col(c).isNull() if down else F.col(c) >= value
+    return bound & out
+
+
 def _where(df: DataFrame, *conds: Column | None) -> DataFrame:
     cond = all_of(*conds)
     return df if cond is None else df.where(cond)
@@ -42,9 +87,13 @@ def _at_most(column: str, value, kind: str | None = None) -> Column | None:
 
 
 # ------------------------------------------------------------------ alerts
+ALERT_ORDER: Order = [("risk_score", True), ("scored_at", True), ("alert_id", True)]
+TX_ORDER: Order = [("tx_time", True), ("id", True)]
+
+
 def list_alerts(alerts: DataFrame, min_risk: int | None = None, severity: str | None = None, **paging) -> DataFrame:
     found = _where(alerts, _at_least("risk_score", min_risk), _eq("severity", severity))
-    return page(found, [F.desc("risk_score"), F.desc("scored_at"), F.desc("alert_id")], **paging)
+    return page(found, ALERT_ORDER, **paging)
 
 
 def latest_alerts(alerts: DataFrame, n: int = 5) -> DataFrame:
@@ -54,8 +103,7 @@ def latest_alerts(alerts: DataFrame, n: int = 5) -> DataFrame:
 def sorted_alerts(alerts: DataFrame, key: str = "scored_at", descending: bool = True, **paging) -> DataFrame:
     if key not in ("scored_at", "risk_score"):
         raise ValueError("alerts sort by scored_at or risk_score")
-    first = F.col(key).desc() if descending else F.col(key).asc()
-    return page(alerts, [first, F.col("alert_id").asc()], **paging)
+    return page(alerts, [(key, descending), ("alert_id", False)], **paging)
 
 
 def search_alerts(alerts: DataFrame, text: str) -> DataFrame:
@@ -109,7 +157,7 @@ def list_transactions(
         tx, _eq("account_id", account_id), _eq("customer_id", customer_id),
         _at_least("tx_time", min_time, "timestamp"), _at_most("tx_time", max_time, "timestamp"),
     )
-    return page(found, [F.desc("tx_time"), F.desc("id")], **paging)
+    return page(found, TX_ORDER, **paging)
 
 
 def list_invoices(
@@ -120,8 +168,8 @@ def list_invoices(
         invoices, _eq("vendor_id", vendor_id), _eq("employee_id", employee_id),
         _at_least("invoice_date", from_date, "date"), _at_most("invoice_date", to_date, "date"),
     )
-    ties = [F.desc(c) for c in ("id", "vendor_id", "subtotal_amount") if c in invoices.columns]
-    return page(found, [F.desc("invoice_date"), *ties], **paging)
+    ties = [(c, True) for c in ("id", "vendor_id", "subtotal_amount") if c in invoices.columns]
+    return page(found, [("invoice_date", True), *ties], **paging)
 
 
 def list_expenses(
@@ -134,7 +182,7 @@ def list_expenses(
         _at_least("expense_date", from_date, "date"), _at_most("expense_date", to_date, "date"),
         _at_least("amount", min_amount), _at_most("amount", max_amount),
     )
-    return page(found, [F.desc("expense_date"), F.desc("id")], **paging)
+    return page(found, [("expense_date", True), ("id", True)], **paging)
 
 
 def list_vendors(
@@ -145,14 +193,14 @@ def list_vendors(
         vendors, _eq("vendor_code", vendor_code), _eq("country_code", country_code), _eq("risk_level", risk_level),
         _at_least("onboarding_date", onboarding_from, "date"), _at_most("onboarding_date", onboarding_to, "date"),
     )
-    return page(found, [F.asc("name"), F.asc("vendor_code")], **paging)
+    return page(found, [("name", False), ("vendor_code", False)], **paging)
 
 
 # ------------------------------------------------------------------ entities
 def list_entities(entities: DataFrame, q: str | None = None, **paging) -> DataFrame:
     """Case-sensitive substring of name or entity id."""
     hit = None if not q else F.col("name").contains(q) | F.col("entity_id").contains(q)
-    return page(_where(entities, hit), [F.asc("id")], **{"limit": 50, **paging})
+    return page(_where(entities, hit), [("id", False)], **{"limit": 50, **paging})
 
 
 def filter_entities(
@@ -184,7 +232,7 @@ def entity_feature_view(entities: DataFrame, features: DataFrame, tenant_id: int
     own = features.where(F.col("tenant_id") == tenant_id).select(
         F.col("account_id").alias("entity_id"), F.lit(True).alias("_found"), *FEATURE_COLUMNS
     )
-    joined = lookup_join(entities.select("id", "entity_id", "risk_score"), own, ["entity_id"], "id", max_rows=None)
+    joined = lookup_join(entities.select("id", "entity_id", "risk_score"), own, ["entity_id"], "id", max_bytes=None)
     found = F.coalesce("_found", F.lit(False))
 
     def column(c: str) -> Column:
@@ -207,8 +255,3 @@ def top_entities(features: DataFrame, n: int = 10) -> DataFrame:
         *ACCOUNT, "tx_count_total", "tx_count_24h", "tx_count_7d", "amount_avg", "latest_risk_score",
         "is_velocity_flagged",
     )
-
-
-def with_account_features(tx: DataFrame, features: DataFrame) -> DataFrame:
-    """Transactions with the feature snapshot of their account."""
-    return lookup_join(tx, features, ACCOUNT, "id")

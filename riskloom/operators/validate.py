@@ -39,13 +39,14 @@ def _instant_text(ts: Column) -> Column:
 
 
 def parse_fields(events: DataFrame) -> DataFrame:
-    """Add the typed form of each field; every text is parsed once per row."""
+    """Add the typed form of each field; every text is parsed once per row. The number of an id that was not sent
+    as text (``tenant_number``, ``transaction_number``) counts before its text."""
     spelled = events.withColumn("_iso", iso_text(F.col("timestamp")))
     texts = ("transaction_id", "transaction_reference", "account_id", "amount", "timestamp")
     return add_once(
         spelled,
-        _tenant=to_long(F.col("tenant_id")),
-        _tx=to_long(F.col("transaction_id")),
+        _tenant=_id(events, "tenant"),
+        _tx=_id(events, "transaction"),
         _amount=to_double(F.col("amount")),
         _time=F.col("_iso").try_cast("timestamp"),
         _wall=F.col("_iso").try_cast("timestamp_ntz"),
@@ -54,6 +55,11 @@ def parse_fields(events: DataFrame) -> DataFrame:
     ).drop("_iso")
 
 
+def _id(events: DataFrame, name: str) -> Column:
+    read = to_long(F.col(f"{name}_id"))
+    return F.coalesce(F.col(f"{name}_number"), read) if f"{name}_number" in events.columns else read
+
+
 def _code(as_of: Column) -> Column:
     """Rejection code of the first failing check."""
     newest = as_of + F.expr(f"INTERVAL '{MAX_FUTURE_SECONDS}' SECOND")

@@ -59,6 +59,14 @@ def apply_risk_changes(entities: DataFrame, changes: DataFrame) -> DataFrame:
     return entities.join(new, "id", "left").withColumn("risk_score", score).select(*entities.columns)
 
 
+def entities_of(store: BatchStore, source: DataFrame) -> DataFrame:
+    """The entity table with the risk scores of the last committed run; before the first, as it is in the source."""
+    known = store.batch("entities", T.StructType([source.schema["id"], source.schema["risk_score"]]), store.committed())
+    if known is None:
+        return source
+    return apply_risk_changes(source, known)
+
+
 def date_range(
     today: dt.date, days: int | None = None, from_date: str | None = None, to_date: str | None = None
 ) -> tuple[dt.date, dt.date]:
@@ -82,10 +90,12 @@ def run(
     """Write the three outputs under ``out``; a rerun of the same range gives the same tables.
 
     All outputs go through the batch store and appear with its commit. Features keep the columns that the
-    stream owns and become the new base; summaries replace every date of the range, empty ones too; risk
-    changes are written per run (``apply_risk_changes``).
+    stream owns and become the new base; summaries replace every date of the range, empty ones too; the entity
+    table is written anew with its changed scores (``entities_of``) next to the list of changes. Its version
+    before stays for readers that began earlier.
     """
     store = BatchStore(spark, out)
+    entities = entities_of(store, entities)
     run_id = store.committed() + 1
     known = store.current("entity_features", FEATURE_SCHEMA, features.ACCOUNT).drop("batch_id")
     fresh = features.entity_features(tx, alerts, as_of)
@@ -101,8 +111,11 @@ def run(
     store.write("entity_daily_summary", typed.repartitionByRange("summary_date", "account_id").sortWithinPartitions("summary_date"), run_id)
     store.write("summary_ranges", spark.createDataFrame([(start, end)], RANGE_SCHEMA), run_id)
 
-    store.write("entity_risk_changes", features.entity_risk_changes(entities, current, tenant_id), run_id)
+    changes = store.stage("entity_risk_changes", features.entity_risk_changes(entities, current, tenant_id))
+    store.write("entity_risk_changes", changes, run_id)
+    store.write("entities", apply_risk_changes(entities, changes), run_id)
     store.commit(run_id)
+    store.drop_batch("entities", run_id - 2)
     store.compact("entity_features", FEATURE_SCHEMA, features.ACCOUNT)
     return store
 
@@ -137,8 +150,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     else:
         p.error("give --store, or --transactions and --alerts")
     if a.dry_run:
-        known = BatchStore(spark, a.out).current("entity_features", FEATURE_SCHEMA, features.ACCOUNT)
-        print(dry_run(tx, entities, known, start, end))
+        store = BatchStore(spark, a.out)
+        known = store.current("entity_features", FEATURE_SCHEMA, features.ACCOUNT)
+        print(dry_run(tx, entities_of(store, entities), known, start, end))
         return
     top, extent = report(spark, run(spark, tx, alerts, entities, a.out, start, end))
     top.show(truncate=False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from riskloom import config as C
-from riskloom.plans.queries import DESCRIPTIONS, PAGERANK_ROUNDS, PREVIOUS_RUN, RULE_TEXTS
+from riskloom.plans.queries import DESCRIPTIONS, PAGERANK_ROUNDS, PLANTED, PREVIOUS_RUN, RULE_TEXTS
 from riskloom.plans.views import SECOND_ALERT
 from riskloom.sources.testdata import AS_OF, view_sql
 
@@ -258,17 +258,56 @@ _LATEST_ALERT = "(SELECT transaction_id, arg_max(risk_score, alert_id) AS score
 
 _graph_cols = """d.degree AS degree, c.community_size AS size, k.pr AS pr, nb.avg_neighbor_risk AS nr"""
 
+# Events whose tenant is sent as 1.0, "1.0" or true.
+_RESPELLED = "(event_id % 149 IN (3, 4, 5) AND regexp_full_match(coalesce(tenant_id, ''), '[1-9]'))"
+
+
+def _planted(name: str, source: str) -> str:
+    return f"(SELECT * REPLACE ({', '.join(f'{x} AS {c}' for c, x in PLANTED[name].items())}) FROM {source})"
+
+
+def _report(name: str, source: str, keys: list[str], checks: dict[str, str]) -> list[str]:
+    rows = _planted(name, source)
+    out = [f"SELECT '{name}' AS table_name, 'unique {k}' AS check_name, coalesce(sum(n - 1), 0)::BIGINT AS n_rows FROM (SELECT count(*) AS n FROM {rows} GROUP BY {k})" for k in keys]
+    return out + [f"SELECT '{name}', '{n}', count(*) FILTER (WHERE {bad}) FROM {rows}" for n, bad in checks.items()]
+
+
+def _outside(column: str, values) -> dict[str, str]:
+    return {f"{column} in domain": f"{column} NOT IN {_in(values)}"}
+
+
+def _beyond(columns, low: int, high: int) -> dict[str, str]:
+    return {f"{c} in {low}..{high}": f"{c} < {low} OR {c} > {high}" for c in columns}
+
+
+def _longer(limits: dict[str, int]) -> dict[str, str]:
+    return {f"{c}<={n}": f"length({c}) > {n}" for c, n in limits.items()}
+
+
+def _missing(*columns: str) -> dict[str, str]:
+    return {f"{c} not null": f"{c} IS NULL" for c in columns}
+
+
+def _two_tenants(source: str, columns: str, ids: str, keep: str = "true") -> str:
+    return f"""(SELECT 1 AS tenant_id, {ids}, {columns} FROM {source}
+        UNION ALL SELECT 2, CASE WHEN {ids} % 3 = 1 THEN {ids} + 1000000000 ELSE {ids} END, {columns} FROM {source} WHERE {keep})"""
+
+
 QUERIES: dict[str, str] = {
-    "decode_payload": """SELECT event_id, event_id % 137 <> 3 AS parse_ok, tenant_id, CASE WHEN event_id % 139 = 3 THEN 'T' || transaction_id ELSE transaction_id END AS transaction_id,
+    "decode_payload": f"""SELECT event_id, event_id % 137 <> 3 AS parse_ok, CASE WHEN NOT {_RESPELLED} THEN tenant_id WHEN event_id % 149 = 5 THEN 'true' ELSE tenant_id || '.0' END AS tenant_id,
+            CASE WHEN {_RESPELLED} AND event_id % 149 = 3 THEN CAST(tenant_id AS BIGINT) WHEN {_RESPELLED} AND event_id % 149 = 5 THEN 1 END AS tenant_number, CASE WHEN event_id % 139 = 3 THEN 'T' || transaction_id ELSE transaction_id END AS transaction_id,
         transaction_reference, account_id, amount, currency, direction, status, event_ts, vendor_code, employee_id FROM raw_events WHERE event_id % 137 <> 3
-        UNION ALL SELECT event_id, false, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM raw_events WHERE event_id % 137 = 3""",
+        UNION ALL SELECT event_id, false, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM raw_events WHERE event_id % 137 = 3""",
     "validate_events": "SELECT event_id, code IS NULL AS valid, code AS rejection_code, reason AS rejection_reason FROM reasons",
     "rejected_events": f"SELECT {_REJECTED} FROM judged j JOIN reasons r ON r.event_id = j.event_id WHERE j.code IS NOT NULL",
     "valid_events": """SELECT CAST(tenant_id AS BIGINT) AS tenant_id, event_id AS transaction_id, transaction_reference, account_id, CAST(amount AS DOUBLE) AS amount,
         upper(currency) AS currency, direction, status, event_ts AS event_time, vendor_code, employee_id FROM judged WHERE code IS NULL""",
     "schema_errors": """SELECT event_id AS source_id, 'SCHEMA_ERROR' AS rejection_code,
         CASE WHEN event_id % 137 = 3 THEN 'payload is not a JSON object' ELSE 'transaction_id is not a valid integer: ''T' || transaction_id || '''' END AS rejection_reason
-        FROM judged WHERE event_id % 137 = 3 OR (code IS NULL AND event_id % 139 = 3)""",
+        FROM judged WHERE event_id % 137 = 3 OR (code IS NULL AND event_id % 139 = 3 AND event_id % 149 <> 4)""",
+    "typed_ids": f"""SELECT event_id, CASE WHEN event_id % 137 = 3 OR ({_RESPELLED} AND event_id % 149 = 4) THEN NULL WHEN {_RESPELLED} AND event_id % 149 = 5 THEN 1 ELSE TRY_CAST(tenant_id AS BIGINT) END AS tenant_id,
+            CASE WHEN event_id % 137 = 3 THEN 'SCHEMA_ERROR' WHEN {_RESPELLED} AND event_id % 149 = 4 THEN 'INVALID_TENANT' WHEN code IS NULL AND event_id % 139 = 3 THEN 'SCHEMA_ERROR' ELSE code END AS rejection_code
+        FROM judged""",
     "reject_profile": "SELECT 'raw' AS pipeline_stage, code AS rejection_code, count(*) AS n_events FROM judged WHERE code IS NOT NULL GROUP BY code",
     "rejects_latest": """SELECT j.event_id AS source_id, r.code AS rejection_code, r.reason AS rejection_reason, j.account_id
         FROM judged j JOIN reasons r ON r.event_id = j.event_id WHERE j.code IS NOT NULL ORDER BY j.event_id DESC LIMIT 10""",
@@ -389,7 +428,7 @@ QUERIES: dict[str, str] = {
     "expense_linkage": """SELECT e.id, e.employee_id, e.amount::DOUBLE AS amount, e.invoice_id, e.transaction_id, i.vendor_code AS vendor_id, i.amount::DOUBLE AS invoice_amount, t.amount::DOUBLE AS payment_amount,
         CASE WHEN e.invoice_id IS NOT NULL AND i.id IS NULL AND e.transaction_id IS NOT NULL AND t.id IS NULL THEN 'BOTH_MISSING'
              WHEN e.invoice_id IS NOT NULL AND i.id IS NULL THEN 'INVOICE_MISSING' WHEN e.transaction_id IS NOT NULL AND t.id IS NULL THEN 'PAYMENT_MISSING' ELSE 'OK' END AS link_status
-        FROM expenses e LEFT JOIN one_invoice i ON i.id = e.invoice_id LEFT JOIN tx t ON t.id = e.transaction_id AND t.tenant_id = e.tenant_id""",
+        FROM expenses e LEFT JOIN one_invoice i ON i.id = e.invoice_id AND i.tenant_id = e.tenant_id LEFT JOIN tx t ON t.id = e.transaction_id AND t.tenant_id = e.tenant_id""",
     "enrich_vendor": """SELECT t.id, t.vendor_code, v.risk_level AS vendor_risk_level, v.country_code AS vendor_country_code, v.vendor_risk_score, v.country_code = 'US' AS is_high_risk_country
         FROM tx t LEFT JOIN vendors v ON v.tenant_id = t.tenant_id AND v.vendor_code = t.vendor_code""",
     "seed_entities": """SELECT 'ACC:' || a AS entity_id, 'Account ' || a AS name, 'ACCOUNT' AS type, 0::BIGINT AS risk_score FROM (
@@ -478,6 +517,31 @@ QUERIES: dict[str, str] = {
         + [_check("ml_scores", "scored", "xgb_score", "xgb_score NOT BETWEEN 0 AND 1"), _check("ml_scores", "scored", "ae_score", "xgb_score * 0.5::DOUBLE NOT BETWEEN 0 AND 0.4::DOUBLE")]
         + [_check("entities", "entities", "risk_score", "risk_score NOT BETWEEN 0 AND 99")]
     ),
+    "dq_report": _union([
+        *_report("transactions", "tx", ["tenant_id,tx_id"], {
+            **_longer({"currency": 3, "country_code": 2, "merchant_category": 8, "channel": 32}), **_missing("tx_id", "account_id", "tx_time", "amount"),
+            **_outside("direction", C.DIRECTIONS), **_outside("status", C.STATUSES)}),
+        *_report("alerts", "alerts", [], _beyond(("risk_score", "rule_score", "ml_score", "graph_score"), 0, 999)),
+        *_report("ml_scores", "(SELECT id, xgb_score, xgb_score / 2 AS ae_score FROM scored)", [], _beyond(("xgb_score", "ae_score"), 0, 1)),
+        *_report("entity_features", "features", ["tenant_id,account_id"], {}),
+        *_report("invoices", "invoices", ["tenant_id,invoice_number"], _outside("status", C.INVOICE_STATUSES)),
+        *_report("vendors", "vendors", ["tenant_id,vendor_code"], {
+            **_longer({"country_code": 2}), **_missing("vendor_code", "name"), **_outside("risk_level", C.VENDOR_RISK_LEVELS)}),
+        *_report("employee_expenses", "expenses", [], {**_outside("status", C.EXPENSE_STATUSES), **_outside("category", C.EXPENSE_CATEGORIES)}),
+        *_report("entities", "entities", ["entity_id"], {**_outside("type", C.ENTITY_TYPES), **_beyond(("risk_score",), 0, 999)}),
+    ]),
+    "tenants_linkage": f"""SELECT e.tenant_id || ':' || e.id AS id, i.amount::DOUBLE AS invoice_amount, t.amount::DOUBLE AS payment_amount,
+        CASE WHEN e.invoice_id IS NOT NULL AND i.id IS NULL AND e.transaction_id IS NOT NULL AND t.id IS NULL THEN 'BOTH_MISSING'
+             WHEN e.invoice_id IS NOT NULL AND i.id IS NULL THEN 'INVOICE_MISSING' WHEN e.transaction_id IS NOT NULL AND t.id IS NULL THEN 'PAYMENT_MISSING' ELSE 'OK' END AS link_status
+        FROM {_two_tenants('expenses', 'invoice_id, transaction_id', 'id')} e
+        LEFT JOIN (SELECT tenant_id, id, min((total_amount, vendor_id))[1] AS amount FROM {_two_tenants('invoices', 'total_amount, vendor_id', 'id', 'id % 2 = 0')} GROUP BY ALL) i
+            ON i.id = e.invoice_id AND i.tenant_id = e.tenant_id
+        LEFT JOIN {_two_tenants('tx', 'amount', 'id', 'id % 4 = 0')} t ON t.id = e.transaction_id AND t.tenant_id = e.tenant_id""",
+    "tenants_alerts": f"""SELECT * FROM (WITH t2 AS {_two_tenants('tx', 'account_id', 'id', 'id % 4 = 0')}, a2 AS {_two_tenants('messy', 'risk_score', 'transaction_id', 'transaction_id % 3 = 0')},
+        j AS (SELECT a2.tenant_id, t2.account_id, a2.risk_score FROM a2 JOIN t2 ON t2.id = a2.transaction_id AND t2.tenant_id = a2.tenant_id),
+        lost AS (SELECT tenant_id, count(*) AS n_lost FROM a2 WHERE NOT EXISTS (SELECT 1 FROM t2 WHERE t2.id = a2.transaction_id AND t2.tenant_id = a2.tenant_id) GROUP BY tenant_id)
+        SELECT j.tenant_id::BIGINT AS tenant_id, account_id, {_half_up('sum(risk_score)', 'count(*)')} AS risk_score_avg, max(risk_score)::BIGINT AS latest_risk_score,
+            count(*) FILTER (WHERE risk_score >= 500) AS high_risk_tx_count, n_lost FROM j JOIN lost ON lost.tenant_id = j.tenant_id GROUP BY ALL)""",
     "graph_edges": "SELECT tenant_id, src, dst FROM edges",
     "graph_degree": "SELECT tenant_id, node, degree FROM degree",
     "graph_components": "SELECT tenant_id, node, component, community_size FROM component",

@@ -26,7 +26,7 @@ from riskloom.operators import (
     upsert,
     validate,
 )
-from riskloom.plans.views import Views, views
+from riskloom.plans.views import Views, scored_once, views
 from riskloom.sources.testdata import AS_OF
 
 FROM_DATE, TO_DATE = "2024-01-01", "2024-01-31"
@@ -62,7 +62,7 @@ def query(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
 @query
 def decode_payload(v: Views) -> DataFrame:
     return v.decoded.select(
-        "event_id", "parse_ok", "tenant_id", "transaction_id", "transaction_reference", "account_id", "amount",
+        "event_id", "parse_ok", "tenant_id", "tenant_number", "transaction_id", "transaction_reference", "account_id", "amount",
         "currency", "direction", "status", F.col("timestamp").alias("event_ts"), "vendor_code", "employee_id",
     )
 
@@ -72,6 +72,11 @@ def validate_events(v: Views) -> DataFrame:
     return validate.verdicts(v.judged, "event_id", as_of=AS_OF)
 
 
+@query
+def typed_ids(v: Views) -> DataFrame:
+    return validate.validate(v.decoded, AS_OF).select("event_id", F.col("_tenant").alias("tenant_id"), "rejection_code")
+
+
 @query
 def rejected_events(v: Views) -> DataFrame:
     r = validate.rejected(v.judged, F.col("event_id").alias("source_id"), as_of=AS_OF)
@@ -125,6 +130,7 @@ def risk_bands_all(v: Views) -> DataFrame:
 
 @query
 def entity_bands(v: Views) -> DataFrame:
+    v = scored_once(v)
     f = upsert.replace_columns(
         _stream_features(v), features.entity_features(v.tx, v.alerts, AS_OF), features.ACCOUNT, features.STREAM_OWNED
     )
@@ -205,6 +211,7 @@ def score_type_repair(v: Views) -> DataFrame:
 
 @query
 def entity_features_view(v: Views) -> DataFrame:
+    v = scored_once(v)
     f = features.entity_features(v.tx, v.alerts, AS_OF)
     return serving.entity_feature_view(v.entities, f, tenant_id=1)
 
@@ -309,26 +316,31 @@ def _stream_features(v: Views) -> DataFrame:
 
 @query
 def entity_features_batch(v: Views) -> DataFrame:
+    v = scored_once(v)
     return features.entity_features(v.tx, v.alerts_messy, AS_OF)
 
 
 @query
 def alert_agg(v: Views) -> DataFrame:
+    v = scored_once(v)
     return features.alert_agg(v.tx, v.alerts_messy)
 
 
 @query
 def daily_summary(v: Views) -> DataFrame:
+    v = scored_once(v)
     return features.daily_summary(v.tx, v.alerts_messy, FROM_DATE, TO_DATE)
 
 
 @query
 def daily_summary_fanout(v: Views) -> DataFrame:
+    v = scored_once(v)
     return features.daily_summary(v.tx, v.alerts_messy, FROM_DATE, TO_DATE, dedupe_alerts=False)
 
 
 @query
 def entity_risk_sync(v: Views) -> DataFrame:
+    v = scored_once(v)
     return features.entity_risk_changes(v.entities, features.entity_features(v.tx, v.alerts, AS_OF), tenant_id=1)
 
 
@@ -457,6 +469,7 @@ def alerts_search(v: Views) -> DataFrame:
 
 @query
 def alert_detail(v: Views) -> DataFrame:
+    v = scored_once(v)
     return serving.alert_details(v.alerts_messy, v.tx).select(
         "alert_id", "transaction_id", "risk_score", "tx_id", "tx_time", "amount", "direction", "status", "description"
     )
@@ -464,6 +477,7 @@ def alert_detail(v: Views) -> DataFrame:
 
 @query
 def alerts_detached(v: Views) -> DataFrame:
+    v = scored_once(v)
     return serving.alerts_without_transaction(v.alerts_messy, v.tx).select("alert_id", "transaction_id")
 
 
@@ -547,6 +561,7 @@ def tx_upsert(v: Views) -> DataFrame:
 
 @query
 def features_upsert(v: Views) -> DataFrame:
+    v = scored_once(v)
     new = features.entity_features(v.tx, v.alerts, AS_OF)
     return upsert.replace_columns(_stream_features(v), new, features.ACCOUNT, features.STREAM_OWNED)
 
@@ -574,11 +589,13 @@ def dedupe_keep_first(v: Views) -> DataFrame:
 
 @query
 def orphan_alerts(v: Views) -> DataFrame:
+    v = scored_once(v)
     return quality.null_orphan_alerts(v.alerts_messy, v.tx).select("alert_id", "transaction_id", "risk_score")
 
 
 @query
 def dq_duplicates(v: Views) -> DataFrame:
+    v = scored_once(v)
     f = features.entity_features(v.tx, v.alerts, AS_OF)
     d = features.daily_summary(v.tx, v.alerts, FROM_DATE, TO_DATE)
     parts = [
@@ -595,6 +612,7 @@ def dq_duplicates(v: Views) -> DataFrame:
 
 @query
 def dq_orphans(v: Views) -> DataFrame:
+    v = scored_once(v)
     out = quality.orphans(v.alerts_messy, "transaction_id", v.tx, "id", "alerts->transactions")
     out = out.unionByName(quality.orphans(v.expenses, "invoice_id", v.invoices, "id", "expenses->invoices"))
     out = out.unionByName(quality.orphans(v.expenses, "transaction_id", v.tx, "id", "expenses->transactions"))
@@ -632,6 +650,111 @@ def dq_ranges(v: Views) -> DataFrame:
     return out.unionByName(quality.range_violations(v.entities, "entities", {"risk_score": (0, 99)}))
 
 
+# Rows of each table that break one constraint each, as SQL that both engines read; the report must count them.
+PLANTED = {
+    "transactions": {
+        "tx_id": "CASE WHEN id % 43 = 5 THEN 'TWICE' WHEN id % 43 = 6 THEN NULL ELSE tx_id END",
+        "account_id": "CASE WHEN id % 47 = 5 THEN NULL ELSE account_id END",
+        "tx_time": "CASE WHEN id % 53 = 5 THEN NULL ELSE tx_time END",
+        "amount": "CASE WHEN id % 59 = 5 THEN NULL ELSE amount END",
+        "currency": "CASE WHEN id % 61 = 5 THEN concat(currency, 'X') ELSE currency END",
+        "country_code": "CASE WHEN id % 67 = 5 THEN concat(country_code, 'X') ELSE country_code END",
+        "merchant_category": "CASE WHEN id % 71 = 5 THEN concat(merchant_category, '89') ELSE merchant_category END",
+        "channel": "CASE WHEN id % 73 = 5 THEN repeat('K', 33) ELSE repeat('K', 32) END",
+        "direction": "CASE WHEN id % 79 = 5 THEN 'SIDEWAYS' ELSE direction END",
+        "status": "CASE WHEN id % 83 = 5 THEN 'BOGUS' ELSE status END",
+    },
+    "alerts": {
+        "risk_score": "CASE WHEN alert_id % 43 = 5 THEN 1000 ELSE risk_score END",
+        "rule_score": "CASE WHEN alert_id % 47 = 5 THEN -1 ELSE rule_score END",
+        "ml_score": "CASE WHEN alert_id % 53 = 5 THEN 1000 ELSE ml_score END",
+        "graph_score": "CASE WHEN alert_id % 59 = 5 THEN -1 ELSE graph_score END",
+    },
+    "ml_scores": {
+        "xgb_score": "CASE WHEN id % 43 = 5 THEN xgb_score + 1.5 ELSE xgb_score END",
+        "ae_score": "CASE WHEN id % 47 = 5 THEN -0.25 ELSE 0.25 END",
+    },
+    "entity_features": {"account_id": "CASE WHEN tx_count_total % 3 = 0 THEN 'TWICE' ELSE account_id END"},
+    "invoices": {
+        "invoice_number": "CASE WHEN id % 43 = 5 THEN 'TWICE' ELSE invoice_number END",
+        "status": "CASE WHEN id % 47 = 5 THEN 'LOST' ELSE status END",
+    },
+    "vendors": {
+        "vendor_code": "CASE WHEN vendor_code LIKE '%3' THEN 'TWICE' WHEN vendor_code LIKE '%4' THEN NULL ELSE vendor_code END",
+        "name": "CASE WHEN vendor_code LIKE '%5' THEN NULL ELSE name END",
+        "country_code": "CASE WHEN vendor_code LIKE '%6' THEN 'USA' ELSE country_code END",
+        "risk_level": "CASE WHEN vendor_code LIKE '%7' THEN 'SEVERE' ELSE risk_level END",
+    },
+    "employee_expenses": {
+        "status": "CASE WHEN id % 43 = 5 THEN 'LOST' ELSE status END",
+        "category": "CASE WHEN id % 47 = 5 THEN 'YACHT' ELSE category END",
+    },
+    "entities": {
+        "entity_id": "CASE WHEN id % 43 = 5 THEN 'TWICE' ELSE entity_id END",
+        "type": "CASE WHEN id % 47 = 5 THEN 'ROBOT' ELSE type END",
+        "risk_score": "CASE WHEN id % 53 = 5 THEN 1000 ELSE risk_score END",
+    },
+}
+
+
+@query
+def dq_report(v: Views) -> DataFrame:
+    """All constraints of each table in one scan of it."""
+    v = scored_once(v)
+    f = features.entity_features(v.tx, v.alerts, AS_OF)
+    score = (0, 999)
+    plan = [
+        ("transactions", v.tx, [["tenant_id", "tx_id"]], [
+            *quality.null_or_longer({"currency": 3, "country_code": 2, "merchant_category": 8, "channel": 32}, ["tx_id", "account_id", "tx_time", "amount"]),
+            *quality.outside_domain({"direction": C.DIRECTIONS, "status": C.STATUSES}),
+        ]),
+        ("alerts", v.alerts, [], quality.outside_range(dict.fromkeys(("risk_score", "rule_score", "ml_score", "graph_score"), score))),
+        ("ml_scores", v.scored, [], quality.outside_range({"xgb_score": (0, 1), "ae_score": (0, 1)})),
+        ("entity_features", f, [features.ACCOUNT], []),
+        ("invoices", v.invoices, [["tenant_id", "invoice_number"]], quality.outside_domain({"status": C.INVOICE_STATUSES})),
+        ("vendors", v.vendors, [["tenant_id", "vendor_code"]], [
+            *quality.null_or_longer({"country_code": 2}, ["vendor_code", "name"]), *quality.outside_domain({"risk_level": C.VENDOR_RISK_LEVELS}),
+        ]),
+        ("employee_expenses", v.expenses, [], quality.outside_domain({"status": C.EXPENSE_STATUSES, "category": C.EXPENSE_CATEGORIES})),
+        ("entities", v.entities, [["entity_id"]], [*quality.outside_domain({"type": C.ENTITY_TYPES}), *quality.outside_range({"risk_score": score})]),
+    ]
+    out = None
+    for name, df, keys, checks in plan:
+        broken = df.select(*[F.expr(PLANTED[name][c]).alias(c) if c in PLANTED[name] else F.col(c) for c in df.columns])
+        one = quality.constraint_report(broken, name, keys, checks)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def two_tenants(df: DataFrame, ids: str, keep: str = "true") -> DataFrame:
+    """A second tenant beside the first, with the same ids where ``keep`` holds and every third id moved."""
+    first = df.withColumn("tenant_id", F.lit(1).cast("bigint"))
+    other = df.where(keep).withColumns({
+        "tenant_id": F.lit(2).cast("bigint"), ids: F.expr(f"CASE WHEN {ids} % 3 = 1 THEN {ids} + 1000000000 ELSE {ids} END"),
+    })
+    return first.unionByName(other)
+
+
+@query
+def tenants_linkage(v: Views) -> DataFrame:
+    """Expenses, invoices and payments of two tenants that use the same ids."""
+    expenses, invoices = two_tenants(v.expenses, "id"), two_tenants(v.invoices, "id", "id % 2 = 0")
+    tx = two_tenants(v.tx.select("id", "tenant_id", "amount"), "id", "id % 4 = 0")
+    own = F.concat(F.col("tenant_id"), F.lit(":"), F.col("id"))
+    linked = features.expense_linkage(expenses.withColumn("id", own), invoices, tx)
+    return linked.select("id", "invoice_amount", "payment_amount", "link_status")
+
+
+@query
+def tenants_alerts(v: Views) -> DataFrame:
+    """Alerts and transactions of two tenants that use the same ids: measures per account, and lost references."""
+    v = scored_once(v)
+    tx = two_tenants(v.tx, "id", "id % 4 = 0")
+    alerts = two_tenants(v.alerts_messy, "transaction_id", "transaction_id % 3 = 0")
+    lost = quality.null_orphan_alerts(alerts, tx).groupBy("tenant_id").agg(F.count_if(F.col("transaction_id").isNull()).alias("n_lost"))
+    return features.alert_agg(tx, alerts).join(lost, "tenant_id")
+
+
 # ------------------------------------------------------------------ graph
 def _edges(v: Views) -> DataFrame:
     return graph.edges(v.tx, v.expenses, v.invoices)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import normalize, scoring, validate
+from riskloom.operators.stored import stored
 from riskloom.sources import events, testdata
 from riskloom.sources.testdata import AS_OF
 
@@ -19,6 +20,14 @@ def views(spark: SparkSession, sf_dir: str) -> Views:
     return Views(spark, sf_dir)
 
 
+def scored_once(v: Views) -> Views:
+    """The same views over scored transactions that were computed and written once, for a query that reads
+    transactions or alerts several times."""
+    once = Views(v.spark, v.dir)
+    once.tx = once.scored = stored(v.scored)
+    return once
+
+
 class Views:
     """Lazy views over one test-data folder. Plans are kept and shared, data never is."""
 

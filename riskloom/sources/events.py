@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +13,32 @@ _BROKEN = "_broken"
 TEXT_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in [*EVENT_FIELDS, _BROKEN]])
 
 
+_PLAIN_INTEGER = r"^\s*[+-]?\d+\s*$"
+
+
+def _typed_integer(payload: Column, field: str, whole_only: bool) -> Column:
+    """A JSON number or boolean as a whole number; null for a text, which is read as text elsewhere.
+
+    The text form of a field cannot tell 1.0 from "1.0" or true from "true", the variant form can. Only fields that
+    do not read as a plain integer come here, so few payloads are parsed twice.
+    """
+    value = F.try_variant_get(F.try_parse_json(payload), f"$.{field}", "variant")
+    kind = F.schema_of_variant(value)
+    number = F.try_variant_get(value, "$", "double")
+    towards_zero = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+    whole = F.when(number == towards_zero, number) if whole_only else towards_zero
+    return (
+        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint"))
+        .when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)") & (F.abs(number) < 9e18), whole.cast("bigint"))
+    )
+
+
 def decode_payloads(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add the event fields as text, the payload itself and ``parse_ok``.
+    """Add the event fields as text, the payload itself, ``parse_ok``, and ``tenant_number`` and
+    ``transaction_number`` for ids that are JSON numbers or booleans of another form than a plain integer.
 
-    Anything that is not one JSON object (broken text, list, scalar, null) has ``parse_ok`` false.
+    Anything that is not one JSON object (broken text, list, scalar, null) has ``parse_ok`` false. A tenant is cut
+    to a whole number (1.9 is 1), a transaction id must be one.
     """
     text = F.col(value).cast("string")
     keep = [c for c in df.columns if c != value]
@@ -29,7 +51,11 @@ def decode_payloads(df: DataFrame, value: str = "value") -> DataFrame:
         F.col("e").isNotNull() & F.col(f"e.{_BROKEN}").isNull() & F.ltrim(F.col("raw_payload")).startswith("{"),
         F.lit(False),
     )
-    return parsed.select(*keep, "raw_payload", ok.alias("parse_ok"), *[F.col(f"e.{f}").alias(f) for f in EVENT_FIELDS])
+    typed = [
+        F.when(~F.col(f"e.{f}").rlike(_PLAIN_INTEGER), _typed_integer(F.col("raw_payload"), f, whole)).alias(name)
+        for name, f, whole in (("tenant_number", "tenant_id", False), ("transaction_number", "transaction_id", True))
+    ]
+    return parsed.select(*keep, "raw_payload", ok.alias("parse_ok"), *[F.col(f"e.{f}").alias(f) for f in EVENT_FIELDS], *typed)
 
 
 def with_payload(raw: DataFrame) -> DataFrame:

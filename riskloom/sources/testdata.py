@@ -92,6 +92,9 @@ ENTITIES = {
     "risk_score": "CAST(c_custkey % 101 AS INT)",
 }
 
+# Residue of the event id modulo 149 -> how its tenant is written.
+TENANT_KINDS = {3: "$1.0", 4: '"$1.0"', 5: "true"}
+
 VIEWS = {
     "raw_events": ("events", RAW_EVENTS),
     "vendors": ("supplier", VENDORS),
@@ -116,12 +119,15 @@ def view_sql(view: str) -> str:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON text, with some broken texts and some ids of the wrong type mixed in."""
+    """Events as JSON text, with some broken texts, some ids of the wrong type, and some tenants that are sent as
+    1.0, "1.0" or true."""
     raw = load(spark, sf_dir, "raw_events").withColumn(
         "transaction_id",
         F.when(F.expr("event_id % 139 = 3"), F.concat(F.lit("T"), "transaction_id")).otherwise(F.col("transaction_id")),
     )
     body = F.to_json(F.struct(*[c for c in raw.columns if c != "event_id"]))
+    for residue, typed in TENANT_KINDS.items():
+        body = F.when(F.expr(f"event_id % 149 = {residue}"), F.regexp_replace(body, '"tenant_id":"([1-9])"', f'"tenant_id":{typed}')).otherwise(body)
     return raw.select(
         "event_id", F.when(F.expr("event_id % 137 = 3"), F.lit("{bad")).otherwise(body).alias("value")
     )

@@ -62,7 +62,7 @@ def test_arrival_order_wins_wherever_batches_are_cut(spark, tmp_path, cuts):
     assert (account.n, float(account.amount_total), float(account.amount_last), account.run) == (3, 70026.0, 20.0, 0)
 
 
-@pytest.mark.parametrize("table", ["transactions", "alerts", "account_state"])
+@pytest.mark.parametrize("table", ["transactions", "alerts", "account_days"])
 def test_a_crash_before_the_commit_leaves_nothing(spark, tmp_path, monkeypatch, table):
     s = RiskStream(spark, str(tmp_path), AS_OF)
     s.process(payloads(spark, e(1, 10)), 0)
@@ -107,6 +107,28 @@ def test_a_moved_transaction_leaves_its_old_day(spark, tmp_path):
     assert {r.id: r.risk_score for r in daily_batch.apply_risk_changes(entities, changes).collect()} == want
 
 
+def test_the_daily_job_updates_entities(spark, tmp_path):
+    s = RiskStream(spark, str(tmp_path / "t"), AS_OF)
+    s.process(payloads(spark, e(1, 60000), e(2, 20, account_id="B")), 0)
+    source = spark.createDataFrame([(1, "A", "a", "COMPANY", 0), (2, "B", "b", "COMPANY", None), (3, "C", "c", "COMPANY", 7)], ENTITIES)
+    args = str(tmp_path / "d"), *JAN, AS_OF
+    store = daily_batch.run(spark, s.transactions(), s.alerts(), source, *args)
+    scores = {r.transaction_id: r.risk_score for r in s.alerts().collect()}
+    want = {1: round(scores[1] / 10 + 1e-9), 2: round(scores[2] / 10 + 1e-9), 3: 7}
+    assert {r.id: r.risk_score for r in daily_batch.entities_of(store, source).collect()} == want
+    changed = "id long, entity_id string, old_risk_score int, risk_score int"
+    for run, n in ((0, 2), (1, 0)):
+        if run:
+            daily_batch.run(spark, s.transactions(), s.alerts(), source, *args)
+        assert store.batch("entity_risk_changes", changed, run).count() == n
+    assert {r.id: r.risk_score for r in daily_batch.entities_of(store, source).collect()} == want
+    # A run that fails before its commit leaves the scores of the one before.
+    store.write("entities", source, 2)
+    assert {r.id: r.risk_score for r in daily_batch.entities_of(store, source).collect()} == want
+    more = source.unionByName(spark.createDataFrame([(9, "Z", "z", "COMPANY", 3)], ENTITIES))
+    assert daily_batch.entities_of(store, more).where("id = 9").first().risk_score == 3
+
+
 def test_alerts_of_other_days_leave_before_the_aggregation(spark):
     tx = spark.range(10).select("id", F.lit(1).cast("long").alias("tenant_id"), F.lit("A").alias("account_id"), F.lit(1).cast("decimal(18,2)").alias("amount"),
                                 F.lit("2024-01-02").cast("timestamp").alias("tx_time"), F.lit("DEBIT").alias("direction"))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators import graph
 
@@ -56,6 +57,56 @@ def test_pagerank_sums_to_one_and_ranks_the_hub_first(spark):
     assert got[(2, "x")] == pytest.approx(0.5)
 
 
+def plain_ranks(pairs, rounds, damping=0.85):
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    rank = {n: 1 / len(near) for n in near}
+    for _ in range(rounds):
+        rank = {n: (1 - damping) / len(near) + damping * sum(rank[m] / len(near[m]) for m in near[n]) for n in near}
+    return rank
+
+
+@pytest.mark.parametrize(("rounds", "hub_edges"), [(1, 1000), (7, 3), (8, 1)])
+def test_split_hubs_rank_as_whole_ones(spark, rounds, hub_edges):
+    pairs = [("hub", f"n{i}") for i in range(40)] + [(f"n{i}", f"n{i + 1}") for i in range(20)]
+    got = graph.pagerank(spark.createDataFrame([(1, min(p), max(p)) for p in pairs], EDGE), rounds, hub_edges=hub_edges)
+    assert {r.node: r.pagerank for r in got.collect()} == {n: pytest.approx(v) for n, v in plain_ranks(pairs, rounds).items()}
+
+
+def test_rounds_end_when_ranks_rest(spark):
+    pairs = [("a", "b"), ("b", "c"), ("c", "a")]
+    df = spark.createDataFrame([(1, min(p), max(p)) for p in pairs], EDGE)
+    got = graph.pagerank(df, 10_000, tolerance=1e-12, store_every=2)  # would not end in time otherwise
+    assert [r.pagerank for r in got.collect()] == [pytest.approx(1 / 3)] * 3
+
+
+def test_edges_stay_in_place_between_rounds(spark):
+    """No exchange below a round's join on the side of the edges."""
+    edges = spark.createDataFrame([(1, f"n{i % 50:02d}", f"n{50 + i}") for i in range(400)], EDGE)
+    links = graph.both_ways(edges)
+    nodes = links.groupBy(*graph.NODE).count().select(
+        *graph.NODE, F.col("count").alias("degree"), F.lit(450).cast("long").alias("n_nodes"), F.lit(1).alias("parts")).checkpoint()
+    kept = graph.placed_links(links, nodes)
+    kept.count()
+    ranks = nodes.withColumn("pagerank", F.lit(1.0))
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = graph.rank_round(kept, nodes, ranks, 0.85)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
+    lines = plan.splitlines()
+    at = next(i for i, x in enumerate(lines) if "InMemoryTableScan" in x and "part" in x)
+    indent = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    join = max(i for i in range(at) if "SortMergeJoin" in lines[i] and len(lines[i]) - len(lines[i].lstrip(" :+-")) < indent)
+    assert not any("Exchange" in x for x in lines[join:at])
+    kept.unpersist()
+
+
 def test_neighbor_risk(spark):
     edges = spark.createDataFrame([(1, "ACCOUNT:A", "VENDOR:V"), (1, "ACCOUNT:B", "VENDOR:V")], EDGE)
     alerts = spark.createDataFrame([(1, "A", "V", None, 999), (1, "B", "V", "", 0)], "tenant_id long, account_id string, vendor_code string, employee_id string, risk_score int")

@@ -94,19 +94,34 @@ def test_lookup_join_beyond_the_bound_equals_broadcast(spark):
     left = spark.range(2000).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("V"), (F.col("id") % 7).cast("string"))).alias("k"))
     right = spark.range(5).select(F.concat(F.lit("V"), F.col("id").cast("string")).alias("k"), F.col("id").alias("x"))
     a = joins.lookup_join(left, right, ["k"], "id")
-    b = joins.lookup_join(left, right, ["k"], "id", max_rows=3)
+    b = joins.lookup_join(left, right, ["k"], "id", max_bytes=3)
     assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(repr, a.select("id", "k", "x").collect())) == sorted(map(repr, b.select("id", "k", "x").collect()))
     assert b.count() == 2000
 
 
+def test_broadcast_is_chosen_without_a_job(spark, sf_dir, tmp_path):
+    v = views(spark, sf_dir)
+    v.vendors.write.parquet(str(tmp_path / "vendors"))
+    spark.range(3_000_000).select(F.lit(1).alias("tenant_id"), F.concat(F.lit("V"), "id").alias("vendor_code"), F.lit("US").alias("country_code"),
+                                  F.lit("LOW").alias("risk_level"), F.rand(1).alias("vendor_risk_score")).write.parquet(str(tmp_path / "many"))
+    tracker, tx = spark.sparkContext.statusTracker(), v.tx
+    for name, broadcast in (("vendors", True), ("many", False)):
+        vendors = read_table(spark, str(tmp_path / name))
+        spark.sparkContext.setJobGroup(f"plan-{name}", "")
+        joined = features.enrich_vendor(tx, vendors)
+        assert not tracker.getJobIdsForGroup(f"plan-{name}")
+        assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) == broadcast
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_salted_lookup_equals_plain_join(spark, how):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("k"))
     right = spark.range(6).select(F.col("id").alias("k"), *([] if how == "left_semi" else [(F.col("id") * 2).alias("x")]))
     want = sorted(map(repr, left.join(right, ["k"], how).select("id", "k").collect()))
     for salts in (1, 8):
-        got = joins.lookup_join(left, right, ["k"], "id", how, max_rows=None, salts=salts)
+        got = joins.lookup_join(left, right, ["k"], "id", how, max_bytes=None, salts=salts)
         assert sorted(map(repr, got.select("id", "k").collect())) == want
 
 
@@ -123,7 +138,7 @@ def test_hot_key_is_split_by_adaptive_execution(spark):
             spark.conf.set(k, x)
         left = spark.range(300000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).cast("long").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
         right = left.groupBy("k").agg(F.count("*").alias("n"))
-        df = joins.lookup_join(left.repartition(8), right, ["k"], "id", max_rows=None)
+        df = joins.lookup_join(left.repartition(8), right, ["k"], "id", max_bytes=None)
         df.write.format("noop").mode("overwrite").save()
         assert df.groupBy("n").count().agg(F.sum("count")).first()[0] == 300000
         df.collect()
@@ -142,6 +157,34 @@ def test_page_limits(spark):
     assert "TakeOrderedAndProject" in serving.list_alerts(df)._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("descending", [True, False])
+def test_seek_paging_equals_offset_paging(spark, descending):
+    """Ties, nulls and equal moments at page ends."""
+    rows = [(i, [None, 5, 5, 7][i % 4], dt.datetime(2024, 1, 1 + i % 3) if i % 5 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "alert_id long, risk_score int, scored_at timestamp").withColumn("severity", F.lit("LOW"))
+    order = [("scored_at", descending), ("alert_id", False)]
+    for listed, by in ((serving.list_alerts, serving.ALERT_ORDER), (lambda d, **k: serving.sorted_alerts(d, "scored_at", descending, **k), order)):
+        token, seen = None, []
+        for n in range(9):
+            rows_ = listed(df, limit=14, after=token).collect()
+            assert rows_ == listed(df, limit=14, offset=14 * n).collect()
+            seen += rows_
+            token = serving.page_token(rows_[-1], by) if rows_ else token
+        assert len(seen) == 120
+    with pytest.raises(ValueError):
+        serving.list_alerts(df, after="[1]")
+    with pytest.raises(ValueError):
+        serving.list_alerts(df, after=token, offset=3)
+
+
+def test_seek_reaches_the_scan(spark, sf_dir, tmp_path):
+    views(spark, sf_dir).tx.write.parquet(str(tmp_path / "tx"))
+    tx = read_table(spark, str(tmp_path / "tx"))
+    last = serving.list_transactions(tx, limit=5).collect()[-1]
+    plan = serving.list_transactions(tx, after=serving.page_token(last, serving.TX_ORDER))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=100" in plan and "LessThanOrEqual(tx_time" in plan
+
+
 def test_filters_reach_the_scan(spark, tmp_path, sf_dir):
     views(spark, sf_dir).tx.write.parquet(str(tmp_path / "tx"))
     tx = read_table(spark, str(tmp_path / "tx"))

@@ -35,10 +35,10 @@ def by_account(rows):
     return out
 
 
-@pytest.mark.parametrize("bucket", [60, 3600, 7 * 86400])
-def test_running_totals(tx, rows, bucket):
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_running_totals(tx, rows, partitions):
     got = sequences.running_totals(
-        tx, features.ACCOUNT, "tx_time", ["tx_time", "tx_id"], {"s": F.col("risk_score"), "k": F.lit(1)}, bucket
+        tx, features.ACCOUNT, ["tx_time", "tx_id"], {"s": F.col("risk_score"), "k": F.lit(1)}, partitions
     )
     got = {r.id: (r.s, r.k) for r in got.collect()}
     for group in by_account(rows).values():
@@ -49,9 +49,9 @@ def test_running_totals(tx, rows, bucket):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("bucket", [60, 3600, 7 * 86400])
-def test_run_lengths(tx, rows, bucket):
-    got = sequences.run_lengths(tx, features.ACCOUNT, "tx_time", ["tx_time", "tx_id"], F.col("risk_score") >= 500, bucket_seconds=bucket)
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_run_lengths(tx, rows, partitions):
+    got = sequences.run_lengths(tx, features.ACCOUNT, ["tx_time", "tx_id"], F.col("risk_score") >= 500, partitions=partitions)
     got = {r.id: r.run_length for r in got.collect()}
     for group in by_account(rows).values():
         run = 0
@@ -63,7 +63,7 @@ def test_run_lengths(tx, rows, bucket):
 def test_long_runs_cross_buckets(spark):
     data = [(i, 1, "A", T0 + dt.timedelta(hours=3 * i), f"{i:05d}", 900 if i > 4 else 100) for i in range(40)]
     df = spark.createDataFrame(data, "id long, tenant_id long, account_id string, tx_time timestamp, tx_id string, risk_score int")
-    got = sequences.run_lengths(df, features.ACCOUNT, "tx_time", ["tx_time", "tx_id"], F.col("risk_score") >= 500)
+    got = sequences.run_lengths(df, features.ACCOUNT, ["tx_time", "tx_id"], F.col("risk_score") >= 500, partitions=5)
     assert [r.run_length for r in got.orderBy("id").collect()] == [0] * 5 + list(range(1, 36))
     cur = features.consecutive_high_risk(df).first()
     assert cur.consecutive_high_risk == 35
@@ -78,11 +78,11 @@ def test_current_run(tx, rows):
         assert got[account] == run
 
 
-@pytest.mark.parametrize("bucket", [600, 3600, 86400])
-def test_rolling_sums(tx, rows, bucket):
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_rolling_sums(tx, rows, partitions):
     got = sequences.rolling_sums(
         tx.select("id", *features.ACCOUNT, "tx_time", "amount"), features.ACCOUNT, "tx_time", "amount",
-        {"24h": "24 HOURS", "7d": "7 DAYS"}, bucket,
+        {"24h": "24 HOURS", "7d": "7 DAYS"}, partitions,
     )
     got = {r.id: (r.count_24h, float(r.sum_24h), r.count_7d, float(r.sum_7d)) for r in got.collect()}
     for group in by_account(rows).values():
@@ -108,9 +108,48 @@ def test_tx_duplicates(tx, rows, minutes):
     assert got == want
 
 
-def test_hot_account_is_cut_into_buckets(tx):
-    plan = sequences.running_totals(tx, features.ACCOUNT, "tx_time", ["tx_time", "tx_id"], {"k": F.lit(1)})._jdf.queryExecution().executedPlan().toString()
-    assert "_bucket" in plan.split("Window")[1]
+@pytest.mark.parametrize("partitions", [2, 7, 40])
+def test_every_row_after_the_first_partition_continues(spark, partitions):
+    """Whole partitions of one key, with and without misses, pass their totals on."""
+    data = [(i, 1, "A" if i < 300 else "B", i % 290 != 289) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, tenant_id long, account_id string, high boolean")
+    got = sequences.prefix_scan(df, features.ACCOUNT, ["id"], {"n": F.lit(1), "v": F.col("id")}, {"run": F.col("high")}, partitions)
+    n, v, run = {}, {}, {}
+    want = []
+    for i, _, a, high in data:
+        n[a], v[a], run[a] = n.get(a, 0) + 1, v.get(a, 0) + i, run.get(a, 0) + 1 if high else 0
+        want.append((i, n[a], v[a], run[a]))
+    assert [(r.id, r.n, r.v, r.run) for r in got.orderBy("id").collect()] == want
+
+
+def test_an_account_on_one_instant_is_split(spark):
+    df = spark.range(20_000).select(
+        "id", F.lit(1).cast("long").alias("tenant_id"), F.lit("A").alias("account_id"), F.lit(T0).alias("tx_time"),
+        F.format_string("%06d", "id").alias("tx_id"), F.lit(1).cast("decimal(18,2)").alias("amount"),
+    )
+    sizes = [r["count"] for r in sequences.ranged(df, features.ACCOUNT, ["tx_time", "tx_id"], 8).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 5000
+    totals = sequences.running_totals(df, features.ACCOUNT, ["tx_time", "tx_id"], {"n": F.lit(1)}, 8)
+    assert totals.where("n <> id + 1").count() == 0
+    rolled = features.rolling_velocity(df)
+    assert {(r.count_24h, r.count_7d, float(r.sum_7d)) for r in rolled.select("count_24h", "count_7d", "sum_7d").distinct().collect()} == {(20_000, 20_000, 20_000.0)}
+
+
+def test_null_keys_empty_tables_and_overflow(spark):
+    schema = "id long, tenant_id long, account_id string, v long"
+    df = spark.createDataFrame([(1, None, None, 5), (2, None, None, None), (3, 1, None, 7), (4, 1, "", 1)], schema)
+    got = sequences.running_totals(df, features.ACCOUNT, ["id"], {"t": F.col("v")}, 3)
+    assert {r.id: r.t for r in got.collect()} == {1: 5, 2: 5, 3: 7, 4: 1}
+    assert sequences.running_totals(df.limit(0), features.ACCOUNT, ["id"], {"t": F.col("v")}).count() == 0
+    big = spark.createDataFrame([(n, 1, "A", 2**61) for n in range(9)], schema)
+    with pytest.raises(Exception, match="64 bits"):
+        sequences.running_totals(big, features.ACCOUNT, ["id"], {"t": F.col("v")}, 1).count()
+
+
+def test_rows_are_exchanged_once(tx):
+    rows = tx.select("id", *features.ACCOUNT, "tx_time", "tx_id")
+    plan = sequences.ranged(rows, features.ACCOUNT, ["tx_time", "tx_id"], 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(tenant_id" in plan
 
 
 def test_velocity_threshold_is_strict(spark):

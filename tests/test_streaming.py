@@ -92,8 +92,10 @@ def test_a_new_checkpoint_replays_everything_and_changes_nothing(spark, stream,
     before = {t: rows(getattr(stream, t)()) for t in ("transactions", "features")}
     n_alerts, last = stream.alerts().count(), stream.store.committed()
     again = RiskStream(spark, stream.store.root, AS_OF)
+    counted = stream.metrics
     again.start(events.file_stream(spark, payload_dir), str(tmp_path / "ckpt"), available_now=True).awaitTermination()
-    assert again.metrics.tx_inserted == again.metrics.tx_updated == 0 and again.metrics.tx_unchanged > 0
+    m = again.metrics  # goes on from what the store has counted
+    assert (m.tx_inserted, m.tx_updated) == (counted.tx_inserted, 0) and m.tx_unchanged > counted.tx_unchanged
     assert again.store.committed() == last + 1
     assert {t: rows(getattr(again, t)()) for t in ("transactions", "features")} == before
     assert again.alerts().count() == n_alerts
@@ -129,12 +131,13 @@ def test_corrections_and_late_rows_are_exact(spark, tmp_path):
     # An older low-risk row arrives late, another account gets a newer one.
     s.process(_payloads(spark, e(4, "A", 10, 1), e(5, "B", 70000, 4)), 1)
     assert {r.account_id: (r.n, r.run) for r in s.account_summaries().collect()} == {"A": (3, 2), "B": (2, 1)}
-    assert s.metrics.accounts_recomputed == 1
+    assert s.metrics.days_recomputed == 0  # another day of A, so nothing of A is read
     # A correction lowers one amount and moves one transaction to another account.
     s.process(_payloads(spark, e(2, "A", 20, 3), e(3, "C", 10, 3)), 2)
     got = {r.account_id: (r.n, r.run, float(r.amount_total), r.amount_last and float(r.amount_last)) for r in s.account_summaries().collect()}
     assert got == {"A": (3, 0, 50030.0, 20.0), "B": (1, 1, 70000.0, 70000.0), "C": (1, 0, 10.0, 10.0)}
     assert s.metrics.tx_updated == 2
+    assert s.metrics.days_recomputed == 3  # A, and B and C, each on the third
     # Another correction empties account C; a later transaction starts it afresh.
     s.process(_payloads(spark, e(3, "B", 10, 3)), 3)
     assert {r.account_id: r.n for r in s.account_summaries().collect()} == {"A": 3, "B": 2}
@@ -157,6 +160,110 @@ def test_uncommitted_batch_is_invisible(spark, tmp_path):
     assert s.transactions().count() == 1 and s.store.committed() == 0
 
 
+def pruned_scans(df, part):
+    """The scans of a plan that leave out folders by ``part``."""
+    old = df.sparkSession.conf.get("spark.sql.adaptive.enabled")
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", old)
+    return [x for x in text.splitlines() if "FileScan" in x and "PartitionFilters: [" in x and f"{part}#" in x.split("PartitionFilters: [")[1].split("]")[0]]
+
+
+def test_lookups_read_the_folders_of_their_keys(spark, tmp_path):
+    """A batch's keys pick slices of the base, late rows pick days; other folders are not read at all."""
+    s = RiskStream(spark, str(tmp_path), AS_OF, fold_every=1, slices=8)
+    first = [{"transaction_id": i, "account_id": f"A{i % 3}", "amount": 5 + i, "timestamp": f"2024-01-{1 + i % 20:02d}T12:00:00"} for i in range(1, 61)]
+    s.process(_payloads(spark, *first), 0)
+    base = tmp_path / "transactions_base" / "batch_id=0"
+    assert len(list(base.glob("slice=*"))) == 8 and len(list((tmp_path / "account_rows_base" / "batch_id=0").glob("day=*"))) == 20
+    newest = spark.createDataFrame([(1, "7")], "tenant_id long, tx_id string").selectExpr("*", "CAST(pmod(xxhash64(tenant_id, tx_id), 8) AS INT) AS slice")
+    wanted = newest.first().slice
+    found = s.stored_versions(newest, [wanted])
+    scans = pruned_scans(found, "slice")
+    assert scans and all(f"({wanted})" in x or f"= {wanted}" in x for x in scans)
+    assert [float(r.amount) for r in found.collect()] == [12.0]
+    # With every other folder gone the answer is the same.
+    for folder in base.glob("slice=*"):
+        if folder.name != f"slice={wanted}":
+            for f in folder.iterdir():
+                f.unlink()
+    assert [float(r.amount) for r in s.stored_versions(newest, [wanted]).collect()] == [12.0]
+    # A late row of one day needs that day only: the rows of the others are gone.
+    for folder in (tmp_path / "account_rows_base" / "batch_id=0").glob("day=*"):
+        if folder.name != "day=2024-01-03":
+            for f in folder.iterdir():
+                f.unlink()
+    s2 = RiskStream(spark, str(tmp_path), AS_OF, fold_every=0, slices=8)
+    s2.process(_payloads(spark, {"transaction_id": 900, "account_id": "A2", "amount": 70000, "timestamp": "2024-01-03T01:00:00"}), 1)
+    assert s2.metrics.days_recomputed == 1
+    day = {(r.account_id, str(r.day)): (r.n, r.run, float(r.amount_total)) for r in s2.account_days().collect()}
+    # Transactions 2, 22 and 42 fall on the third, 2 of A2.
+    assert day["A2", "2024-01-03"] == (2, 0, 70007.0) and len(day) == 60 and day["A1", "2024-01-03"][0] == 1
+
+
+def test_counters_survive_restart_and_retry(spark, tmp_path, monkeypatch):
+    e = lambda i, **m: {"transaction_id": i, "account_id": "A", "amount": 5, "timestamp": "2024-01-02", **m}
+    s = RiskStream(spark, str(tmp_path), AS_OF)
+    s.process(_payloads(spark, e(1), e(2), e(3, amount=-1)), 0)
+    commit = s.store.commit
+    monkeypatch.setattr(s.store, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        s.process(_payloads(spark, e(4)), 1)
+    monkeypatch.setattr(s.store, "commit", commit)
+    assert (s.metrics.processed, s.metrics.errors) == (2, 1)
+    again = RiskStream(spark, str(tmp_path), AS_OF)
+    again.process(_payloads(spark, e(4), e(1, amount=6)), 1)
+    m = again.metrics
+    assert (m.processed, m.rejected, m.errors) == (4, 1, 1)
+    assert (m.tx_inserted, m.tx_updated, m.alerts_inserted) == (3, 1, 3)
+    assert m.features_upserted >= 2 and m.rate(0)["errors"] == 1
+
+
+def test_messages_are_sent_after_the_commit(spark, tmp_path, monkeypatch):
+    sent = []
+    e = lambda i: {"transaction_id": i, "account_id": "A", "amount": 5, "timestamp": "2024-01-02"}
+
+    def stream():
+        take = lambda kind: lambda df, n: sent.append((kind, n, sorted(r.key for r in df.collect())))
+        return RiskStream(spark, str(tmp_path), AS_OF, emit_alerts=take("alert"), emit_enriched=take("enriched"))
+
+    s = stream()
+    commit = s.store.commit
+    monkeypatch.setattr(s.store, "commit", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        s.process(_payloads(spark, e(1)), 0)
+    assert sent == []  # written, not committed: nothing goes out, not even later
+    s = stream()
+    s.process(_payloads(spark, e(2)), 0)
+    assert sent == [("enriched", 0, ["R2"]), ("alert", 0, ["A"])]
+    # Cut off between commit and sending: sent by the next start, once.
+    monkeypatch.setattr(s, "publish", lambda: None)
+    s.process(_payloads(spark, e(3)), 1)
+    assert len(sent) == 2
+    again = stream()
+    again.publish()
+    again.publish()
+    assert sent[2:] == [("enriched", 1, ["R3"]), ("alert", 1, ["A"])]
+    assert again.store.notes("published") == ["1"]
+
+
+def test_enriched_events_have_the_declared_fields(spark, tmp_path):
+    import json
+
+    got = []
+    vendors = spark.createDataFrame([(1, "V1", "HIGH", "US", 0.5)], "tenant_id long, vendor_code string, risk_level string, country_code string, vendor_risk_score double")
+    e = {"transaction_id": 1, "account_id": "A", "amount": 5.5, "timestamp": "2024-01-02T03:04:05", "vendor_code": "V1", "direction": "DR", "status": "BOOKED"}
+    for n, enrich in enumerate((None, lambda tx: features.enrich_vendor(tx, vendors, ["US"]))):
+        s = RiskStream(spark, str(tmp_path / str(n)), AS_OF, enrich=enrich, emit_enriched=lambda df, _: got.extend(json.loads(r.value) for r in df.collect()))
+        s.process(_payloads(spark, e), 0)
+    plain, full = got
+    assert list(plain) == normalize.ENRICHED_FIELDS == list(full)
+    assert (plain["direction"], plain["status"], plain["amount"], plain["employee_id"], plain["vendor_risk_level"]) == ("DR", "BOOKED", 5.5, None, None)
+    assert (full["vendor_risk_level"], full["vendor_country_code"], full["is_high_risk_country"]) == ("HIGH", "US", True)
+
+
 def test_native_streams(spark, payload_dir, expected):
     _, scored = expected
     source = events.file_stream(spark, payload_dir)

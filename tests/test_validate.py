@@ -42,6 +42,12 @@ CASES = [
     ({"timestamp": "2024-06-15T12:00:00Z"}, None), ({"timestamp": "2024-06-15T20:04:00+08:00"}, None),
     ({"timestamp": "2024-06-15T12:04:00-08:00"}, "INVALID_TIMESTAMP"),
     ({"transaction_id": "T1"}, "SCHEMA_ERROR"),
+    ({"tenant_id": 1.0}, None), ({"tenant_id": 1.9}, None), ({"tenant_id": True}, None), ({"tenant_id": 2e0}, None),
+    ({"tenant_id": "1"}, None), ({"tenant_id": " 1 "}, None), ({"tenant_id": "1.0"}, "INVALID_TENANT"), ({"tenant_id": "true"}, "INVALID_TENANT"),
+    ({"tenant_id": 0.9}, "INVALID_TENANT"), ({"tenant_id": False}, "INVALID_TENANT"), ({"tenant_id": -1.5}, "INVALID_TENANT"),
+    ({"tenant_id": [1]}, "INVALID_TENANT"), ({"tenant_id": {"a": 1}}, "INVALID_TENANT"), ({"tenant_id": None}, "INVALID_TENANT"),
+    ({"tenant_id": 1e300}, "INVALID_TENANT"),
+    ({"transaction_id": 12.0}, None), ({"transaction_id": 12.5}, "SCHEMA_ERROR"), ({"transaction_id": "12"}, None),
 ]
 
 
@@ -90,6 +96,12 @@ def test_offset_keeps_wall_clock(spark):
     assert (r.t, r.w) == ("2024-06-15 11:30:00", "2024-06-15 19:30:00")
 
 
+def test_typed_ids_keep_their_numbers(spark):
+    rows = [(json.dumps(event({"tenant_id": t, "transaction_id": x})),) for t, x in ((2.7, 5.0), (True, 6), ("3", "7"))]
+    good = validate.valid(validate.validate(decode_payloads(spark.createDataFrame(rows, "value string")), NOW))
+    assert sorted((r.tenant_id, r.transaction_id) for r in good.collect()) == [(1, 6), (2, 5), (3, 7)]
+
+
 def test_valid_and_rejected_split_everything(judged):
     n = judged.count()
     assert validate.valid(judged).count() + validate.rejected(judged, as_of=NOW).count() == n
