@@ -145,8 +145,8 @@ CTES: dict[str, str] = {
         SELECT f.* REPLACE (coalesce(r.last_amount, f.amount_last) AS amount_last, coalesce(r.run, f.consecutive_high_risk) AS consecutive_high_risk)
         FROM features f LEFT JOIN earlier_run r USING (tenant_id, account_id)""",
     "one_invoice": """
-        SELECT id, amount, vendor_code FROM (SELECT id, total_amount AS amount, vendor_id AS vendor_code,
-            row_number() OVER (PARTITION BY id ORDER BY total_amount, vendor_id) AS k FROM invoices) WHERE k = 1""",
+        SELECT tenant_id, id, amount, vendor_code FROM (SELECT tenant_id, id, total_amount AS amount, vendor_id AS vendor_code,
+            row_number() OVER (PARTITION BY tenant_id, id ORDER BY total_amount, vendor_id) AS k FROM invoices) WHERE k = 1""",
     "graded": """
         SELECT i.id, i.amount, v.vendor_risk_score AS vr, i.amount >= 100000 AS t1,
             CASE WHEN i.amount >= 100000 THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END AS s1,
