@@ -103,17 +103,21 @@ def placed_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def rank_round(links: DataFrame, nodes: DataFrame, ranks: DataFrame, damping: float) -> DataFrame:
-    """One round: each node passes its rank on in equal shares. Adds the change of the rank as ``moved``."""
+    """One round: each node passes its rank on in equal shares. ``nodes`` and ``links`` are tables of their own, so a
+    round adds one step to the plan of the ranks."""
     shares = ranks.select(
         *NODE, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), (F.col("pagerank") / F.col("degree")).alias("share")
     )
     received = links.join(shares, [*NODE, "part"]).groupBy("tenant_id", F.col("other").alias("node")).agg(F.sum("share").alias("got"))
     # Every node has an edge, hence a neighbour to receive from.
-    after = nodes.join(received, NODE).select(
+    return nodes.join(received, NODE).select(
         *NODE, "degree", "n_nodes", "parts", ((1.0 - damping) / F.col("n_nodes") + damping * F.col("got")).alias("pagerank")
     )
-    before = ranks.select(*NODE, F.col("pagerank").alias("_before"))
-    return after.join(before, NODE).withColumn("moved", F.abs(F.col("pagerank") - F.col("_before"))).drop("_before")
+
+
+def _largest_move(before: DataFrame, after: DataFrame) -> float:
+    both = before.select(*NODE, F.col("pagerank").alias("_before")).join(after, NODE)
+    return both.agg(F.max(F.abs(F.col("pagerank") - F.col("_before")))).first()[0] or 0.0
 
 
 def pagerank(
@@ -122,8 +126,8 @@ def pagerank(
 ) -> DataFrame:
     """Rank per tenant graph; the ranks of a tenant sum to 1.
 
-    Runs ``iterations`` rounds, or fewer when ``tolerance`` is given and no rank moved by more in a round. Lineage is
-    cut every ``store_every`` rounds; tables of earlier rounds are deleted.
+    Runs ``iterations`` rounds, or fewer when ``tolerance`` is given and no rank moved by more between two stored
+    rounds. Lineage is cut every ``store_every`` rounds; tables of earlier rounds are deleted.
     """
     links = stored(both_ways(e))
     degree = links.groupBy(*NODE).agg(F.count("*").alias("degree"))
@@ -132,15 +136,16 @@ def pagerank(
     nodes = stored(lookup_join(degree, n, ["tenant_id"], "node", "inner", max_bytes=None).select(*NODE, "degree", "n_nodes", parts))
     kept = placed_links(links, nodes)
     ranks = nodes.select("*", (F.lit(1.0) / F.col("n_nodes")).alias("pagerank"))
-    tables: list[DataFrame] = []
+    before = None
     for i in range(iterations):
         ranks = rank_round(kept, nodes, ranks, damping)
         if (i + 1) % store_every == 0 or i + 1 == iterations:
             ranks = stored(ranks)
-            for table in tables:
-                release(table)
-            tables = [ranks]
-            if tolerance is not None and (ranks.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+            rest = tolerance is not None and before is not None and _largest_move(before, ranks) <= tolerance
+            if before is not None:
+                release(before)
+            before = ranks
+            if rest:
                 break
     kept.unpersist()
     release(links)
