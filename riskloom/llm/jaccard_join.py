@@ -8,8 +8,14 @@ allow it, then when the prefixes under every further order also meet, and is the
 
 Pairs of a list are not written out. First each class is tried with the one smaller class it shares most lists
 with; links make components. Then only pairs across components are left to try, inside the lists that still
-span several: twice the nearest candidate of each class, and at last all that are left, each pair once. Long
-lists are cut into blocks, and pairs of blocks are separate groups.
+span several: twice the nearest candidate of each class, and at last all that are left. Long lists are cut into
+blocks, and pairs of blocks are separate cells; the component that holds most of a list is never paired with
+itself, so its classes go out once for each block of the others. A task streams its cells in order and works on
+the small ones many at a time.
+
+Prefixes under the further orders and whole sets are made again from the texts of the few classes in candidate
+pairs; what is kept of every class is its size, signature and first prefix, and the prefix only until the lists
+are made.
 """
 
 from __future__ import annotations
@@ -18,11 +24,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.bytehash import mix
-from riskloom.llm.common import documents, records, same, saved
+from riskloom.llm.common import documents, records, release, same, saved
 from riskloom.llm.components import components
 from riskloom.llm.shingles import shingle_sets
 
@@ -33,6 +40,8 @@ SKETCH_BLOCKS = 64
 BUCKET_TOKENS = 1_000_000
 #: Classes of a list that are worked on as one block.
 BLOCK = 1024
+#: Rows of cells that a task works on together; a cell of more rows is worked on alone.
+STEP_ROWS = 1 << 14
 #: Rounds that try each class's nearest in another component, before all that is left is tried.
 NEAREST_ROUNDS = 2
 _U8 = np.dtype("<u8")
@@ -107,28 +116,35 @@ def fold(sig: np.ndarray, size: int) -> np.ndarray:
     return sig
 
 
+def _ranks(s: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """What comes first in every order of tokens: the classes of how common they are."""
+    x, y = _bins(s)
+    return np.minimum(table[0][x], table[1][y]).astype(np.uint64) << np.uint64(56)
+
+
+def _prefix(s: np.ndarray, rank: np.ndarray, k: int, left: int) -> np.ndarray:
+    """The first ``left`` tokens of a set under order ``k``, sorted by value."""
+    if left >= len(s):
+        return s
+    order = rank | (mix(s + np.uint64(k * 0x51ED27)) >> np.uint64(8))
+    return np.sort(s[np.argpartition(order, left - 1)[:left]])
+
+
 def _describe(width: int, percent: int, common):
     def go(batches):
         table = common.value
         for b in batches:
-            out: list[list] = [[] for _ in range(4 + ORDERS)]
+            out: list[list] = [[] for _ in range(5)]
             for s in shingle_sets(_texts(b), width):
-                raw = s.astype(_U8).tobytes()
-                name = hashlib.blake2b(raw, digest_size=16).digest() if len(s) else None
-                row = [name, name and int.from_bytes(name[:8], "little", signed=True), len(s), signature(s).tobytes()]
-                left = prefix_length(len(s), percent) if len(s) else 0
-                x, y = _bins(s)
-                rank = np.minimum(table[0][x], table[1][y]).astype(np.uint64) << np.uint64(56)
-                for k in range(ORDERS):
-                    order = rank | (mix(s + np.uint64(k * 0x51ED27)) >> np.uint64(8))
-                    at = np.argpartition(order, left - 1)[:left] if 0 < left < len(s) else slice(None, left)
-                    row.append(np.sort(s[at]).astype(_U8).tobytes() if k == 0 else np.sort((s[at] >> np.uint64(32)).astype("<u4")).tobytes())
+                name = hashlib.blake2b(s.astype(_U8).tobytes(), digest_size=16).digest() if len(s) else None
+                first = _prefix(s, _ranks(s, table), 0, prefix_length(len(s), percent)) if len(s) else s
+                row = (name, name and int.from_bytes(name[:8], "little", signed=True), len(s), signature(s).tobytes(), first.astype(_U8).tobytes())
                 for column, v in zip(out, row):
                     column.append(v)
-            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.binary()] + [pa.binary()] * ORDERS
+            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["text_key"], *[pa.array(v, t) for v, t in zip(out, kinds)]],
-                ["doc_id", "text_key", "class", "short", "n", "sig", *[f"p{k}" for k in range(ORDERS)]],
+                ["doc_id", "text_key", "class", "short", "n", "sig", "p0"],
             )
 
     return go
@@ -185,66 +201,102 @@ def _close(n: int, m: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray
     return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
-def _cross(percent: int, nearest: bool):
-    """Pairs across components of one pair of blocks of a list, that sizes and signatures allow.
-
-    nearest: of each class only the nearest in another component, with its distance. Otherwise all, each only in
-    the first list that both classes are in.
+def _folds(sigs: list[bytes], size: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each signature size: (row of each signature that is as long or longer, these folded to it)."""
+    out, held = {}, None
+    for step in np.unique(size)[::-1].tolist():
+        own = np.flatnonzero(size == step)
+        rows = np.frombuffer(b"".join(sigs[i] for i in own.tolist()), dtype=np.uint8).reshape(-1, step)
+        if held is not None:
+            at, longer = held
+            while longer.shape[1] > step:
+                half = longer.shape[1] // 2
+                longer = longer[:, :half] ^ longer[:, half:]
+            own, rows = np.concatenate((own, at)), np.concatenate((rows, longer))
+        held = own, rows
+        place = np.full(len(size), -1)
+        place[own] = np.arange(len(own))
+        out[step] = place, rows
+    return out
+
+
+def _allowed(cell, n, comp, side, sigs, percent: int):
+    """(i, j, signature bits apart) of the pairs across components within a cell that sizes and signatures allow.
+
+    Rows come by cell, smaller sets first. Step k pairs every row with the one k places on; a row drops out when that
+    lies in another cell or is too large, and so are all further ones.
     """
+    size = np.array([len(x) for x in sigs])
+    folds = _folds(sigs, size)
+    active, k = np.arange(len(n) - 1), 1
+    while len(active):
+        active = active[active + k < len(n)]
+        j = active + k
+        active = active[(cell[j] == cell[active]) & (n[j] * percent <= n[active] * 100)]
+        i, j = active, active + k
+        pick = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] == 2))
+        i, j = i[pick], j[pick]
+        for step in np.unique(size[i]).tolist():
+            place, rows = folds[step]
+            at = size[i] == step
+            x, y = i[at], j[at]
+            apart = np.bitwise_count(rows[place[x]] ^ rows[place[y]]).sum(axis=1, dtype=np.int64)
+            keep = _close(n[x], n[y], apart, percent)
+            yield x[keep], y[keep], apart[keep]
+        k += 1
 
-    def go(table: pa.Table) -> pa.Table:
-        n = np.array(table["n"].to_pylist(), dtype=np.int64)
-        order = np.argsort(n, kind="stable")
-        n, table = n[order], table.take(pa.array(order))
-        side = np.array(table["side"].to_pylist())
-        root = {r: k for k, r in enumerate(dict.fromkeys(table["root"].to_pylist()))}
-        comp = np.array([root[r] for r in table["root"].to_pylist()])
-        sigs = [np.frombuffer(x, dtype=np.uint8) for x in table["sig"].to_pylist()]
-        size = np.array([len(x) for x in sigs])  # grows with n
-        name, this = table["class"].to_pylist(), table["number"][0].as_py()
-        earlier = [] if nearest else [{x for x in ls if x < this} for ls in table["lists"].to_pylist()]
-        best, other = np.full(len(n), np.inf), np.full(len(n), -1)
-        a, b, apart_of = [], [], []
-        folded, first = None, 0
-        for i in range(len(n)):
-            if folded is None or size[i] != folded.shape[1]:
-                folded, first = np.array([fold(x, size[i]) for x in sigs[i:]]), i
-            high = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-            js = np.arange(i + 1, high)
-            js = js[(comp[js] != comp[i]) & ((side[js] != side[i]) | (side[i] == 2))]
-            if not len(js):
-                continue
-            apart = np.bitwise_count(folded[js - first] ^ folded[i - first]).sum(axis=1, dtype=np.int64)
-            keep = _close(n[i], n[js], apart, percent)
-            js, apart = js[keep], apart[keep]
-            if nearest and len(js):
-                d = apart / (n[i] + n[js])
-                k = int(np.argmin(d))
-                if d[k] < best[i]:
-                    best[i], other[i] = d[k], js[k]
-                nearer = d < best[js]
-                best[js[nearer]], other[js[nearer]] = d[nearer], i
-            elif len(js):
-                for j in js.tolist():
-                    if earlier[i].isdisjoint(earlier[j]):
-                        a.append(name[i])
-                        b.append(name[j])
-                        apart_of.append(0.0)
-        if nearest:
-            some = np.flatnonzero(other >= 0).tolist()
-            a, b, apart_of = [name[i] for i in some], [name[other[i]] for i in some], best[some].tolist()
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "d": pa.array(apart_of, pa.float64())})
 
-    return go
+def _cross(percent: int, nearest: bool):
+    """Candidate pairs (a, b, d) of a partition of cells, sorted by cell and size. nearest: of each class only the
+    nearest in another component, with its distance, once per step; otherwise all, once per step."""
+    names = ["a", "b", "d"]
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        n, side, number = (table[c].to_numpy().astype(np.int64) for c in ("n", "side", "cell"))
+        comp = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+        who = table["class"].combine_chunks().dictionary_encode()
+        known = who.indices.to_numpy().astype(np.int64)
+        found = list(_allowed(number, n, comp, side, table["sig"].to_pylist(), percent))
+        i, j, apart = (np.concatenate([f[x] for f in found]) if found else np.zeros(0, np.int64) for x in range(3))
+        d = apart / np.maximum(1, n[i] + n[j])
+        a, b = known[i], known[j]
+        if nearest:
+            a, b, d = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((d, d))
+            order = np.lexsort((b, d, a))
+            order = order[np.concatenate(([True], np.diff(a[order]) != 0))] if len(order) else order
+        else:
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            order = np.unique(low * (len(who.dictionary) + 1) + high, return_index=True)[1]
+        return pa.RecordBatch.from_arrays(
+            [who.dictionary.take(pa.array(a[order])), who.dictionary.take(pa.array(b[order])), pa.array(d[order])], names
+        )
 
+    def go(batches):
+        held, rows = [], 0
+        for b in batches:
+            while b.num_rows:
+                last = held[-1]["cell"][-1].as_py() if held else None
+                # A step ends only where a cell does.
+                if rows >= STEP_ROWS:
+                    ends = pc.index(pc.not_equal(b["cell"], last), True).as_py()
+                    take = b.num_rows if ends < 0 else ends
+                    if take:
+                        held.append(b.slice(0, take))
+                        rows += take
+                    b = b.slice(take)
+                    if ends >= 0:
+                        yield work(pa.Table.from_batches(held))
+                        held, rows = [], 0
+                    continue
+                part = b.slice(0, STEP_ROWS - rows)
+                held.append(part)
+                rows += part.num_rows
+                b = b.slice(part.num_rows)
+        if held:
+            yield work(pa.Table.from_batches(held))
 
-def _meets(batches):
-    for b in batches:
-        keep = [
-            all(len(np.intersect1d(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))) > 0 for x, y in zip(r[::2], r[1::2]))
-            for r in zip(*(b[f"{side}{k}"].to_pylist() for k in range(1, ORDERS) for side in "xy"))
-        ]
-        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return go
 
 
 def _signs_allow(percent: int):
@@ -260,38 +312,82 @@ def _signs_allow(percent: int):
     return go
 
 
-def _sets(width: int):
+def _sets(width: int, percent: int, common):
+    """Whole sets, and the prefixes under the further orders as 32-bit numbers."""
+
     def go(batches):
         for b in batches:
-            sets = [s.astype(_U8).tobytes() for s in shingle_sets(_texts(b), width)]
-            yield pa.RecordBatch.from_arrays([b["class"], pa.array(sets, pa.binary())], ["class", "tokens"])
+            sets, more = [], [[] for _ in range(ORDERS - 1)]
+            for s in shingle_sets(_texts(b), width):
+                sets.append(s.astype(_U8).tobytes())
+                rank, left = _ranks(s, common.value), prefix_length(len(s), percent)
+                for k, column in enumerate(more, 1):
+                    column.append(np.sort((_prefix(s, rank, k, left) >> np.uint64(32)).astype("<u4")).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b["class"], pa.array(sets, pa.binary()), *[pa.array(m, pa.binary()) for m in more]],
+                ["class", "tokens", *[f"p{k}" for k in range(1, ORDERS)]],
+            )
 
     return go
 
 
 def _linked(percent: int):
+    """Pairs whose prefixes meet under every further order, and then whose whole sets are alike."""
+
     def go(batches):
         for b in batches:
+            columns = [b[f"{side}{k}"].to_pylist() for k in range(1, ORDERS) for side in "xy"]
             keep = []
-            for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist()):
-                x, y = np.frombuffer(x, _U8), np.frombuffer(y, _U8)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            for x, y, *prefix in zip(b["x"].to_pylist(), b["y"].to_pylist(), *columns):
+                met = all(len(np.intersect1d(np.frombuffer(p, "<u4"), np.frombuffer(q, "<u4"))) for p, q in zip(prefix[::2], prefix[1::2]))
+                if met:
+                    x, y = np.frombuffer(x, _U8), np.frombuffer(y, _U8)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    met = 100 * both >= percent * (len(x) + len(y) - both)
+                keep.append(met)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return go
 
 
+def _cells(lists: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The lists that span components as rows (cell, class, n, sig, root, side), cut into pairs of blocks.
+
+    A list of up to ``BLOCK`` classes is one cell. In a longer one the classes of its largest component make blocks of
+    their own, and these meet only the blocks of the others. ``side`` tells the two blocks of a cell apart, 2 where it
+    is one block.
+    """
+    spread = lists.join(rooted, "short")
+    parts = spread.groupBy("list", "root").agg(F.count("*").alias("c"))
+    whole = parts.groupBy("list").agg(F.sum("c").alias("size"), F.max_by("root", F.struct("c", "root")).alias("big"), F.max("c").alias("most"))
+    whole = whole.where("size > most")
+    blocks = lambda c: F.ceil(c / F.lit(BLOCK)).cast("int")
+    short = F.col("size") <= BLOCK
+    k1 = F.when(short, 1).otherwise(blocks(F.col("most"))).alias("k1")
+    k2 = F.when(short, 0).otherwise(blocks(F.col("size") - F.col("most"))).alias("k2")
+    rows = spread.join(whole.select("list", "big", k1, k2), "list")
+    in_big = (F.col("root") == F.col("big")) | (F.col("k2") == 0)
+    spot = F.xxhash64("class")
+    own = F.when(in_big, F.pmod(spot, F.col("k1"))).otherwise(F.col("k1") + F.pmod(spot, F.greatest("k2", F.lit(1)))).cast("int")
+    first = F.when(in_big & (F.col("k2") > 0), F.col("k1")).otherwise(0)
+    rows = rows.withColumn("i", own).withColumn("j", F.explode(F.sequence(first, F.greatest(F.col("k1") + F.col("k2") - 1, first))))
+    side = F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1)
+    cell = F.xxhash64("list", F.least("i", "j"), F.greatest("i", "j"))
+    return rows.select(cell.alias("cell"), "class", "n", "sig", "root", side.cast("int").alias("side"))
+
+
 def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, links, roots): members (doc_id, text_key, class, n) of every row; links (a, b), enough of the
     links between classes to connect all that are connected; roots (node, root) of the linked classes."""
     spark = docs.sparkSession
     rows = records(docs).select("doc_id", "text_key", "text")
     common = spark.sparkContext.broadcast(commonness(token_sketch(rows, width)))
-    columns = "doc_id long, text_key long, class binary, short long, n int, sig binary" + "".join(f", p{k} binary" for k in range(ORDERS))
+    columns = "doc_id long, text_key long, class binary, short long, n int, sig binary, p0 binary"
     known = saved(rows.mapInArrow(_describe(width, percent, common), columns))
-    row = F.struct("doc_id", "text_key", "short", "n", "sig", *[f"p{k}" for k in range(ORDERS)])
+    row = F.struct("doc_id", "text_key", "short", "n", "sig", "p0")
     data = saved(known.where("n > 0").groupBy("class").agg(F.first(row).alias("row")).select("class", "row.*"))
+    members = saved(known.select("doc_id", "text_key", "class", "n"))
+    release(known)
     total = data.agg(F.sum(F.length("p0") / 8)).first()[0] or 0
     buckets = int(max(128, -(-total // BUCKET_TOKENS)))
     lists = saved(
@@ -299,20 +395,27 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
         .groupBy("bucket").applyInArrow(_lists, "list binary, short long, weight long")
         .groupBy("list", "short").agg(F.sum("weight").alias("weight"))
     )
-    small = data.select("class", "short", "n", "sig")
+    # Only classes in a list can have a candidate; the first prefixes have done their work.
+    listed = lists.select("short").distinct()
+    small = saved(data.drop("p0").join(listed, "short", "left_semi"))
+    release(data)
+    made = "class binary, tokens binary" + "".join(f", p{k} binary" for k in range(1, ORDERS))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        more = data.select("class", *[f"p{k}" for k in range(1, ORDERS)])
-        for side, c in (("x", "a"), ("y", "b")):
-            pairs = pairs.join(more.select(F.col("class").alias(c), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]), c)
-        left = saved(pairs.mapInArrow(_meets, "a binary, b binary"))
-        wanted = left.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        one = data.select("class", "doc_id", "text_key").join(wanted, "class")
+        pairs = saved(pairs)
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        # Saved, its size is known: while it is small no text is shuffled to meet it.
+        one = saved(small.select("class", "doc_id", "text_key").join(wanted, "class"))
         texts = rows.join(one, same(rows, one, "doc_id", "text_key")).select("class", "text").dropDuplicates(["class"])
-        sets = saved(texts.mapInArrow(_sets(width), "class binary, tokens binary"))
-        both = left.join(sets.select(F.col("class").alias("a"), F.col("tokens").alias("x")), "a")
-        both = both.join(sets.select(F.col("class").alias("b"), F.col("tokens").alias("y")), "b")
-        return saved(both.mapInArrow(_linked(percent), "a binary, b binary"))
+        sets = saved(texts.mapInArrow(_sets(width, percent, common), made))
+        both = pairs
+        for side, c in (("x", "a"), ("y", "b")):
+            renamed = [F.col("class").alias(c), F.col("tokens").alias(side), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]]
+            both = both.join(sets.select(*renamed), c)
+        out = saved(both.mapInArrow(_linked(percent), "a binary, b binary"))
+        for table in (pairs, one, sets):
+            release(table)
+        return out
 
     # The smaller class that a class shares most prefix tokens with.
     heads = lists.groupBy("list").agg(F.min("short").alias("head"))
@@ -326,23 +429,12 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
     ).mapInArrow(_signs_allow(percent), "a binary, b binary")
     links = verified(pairs)
     roots = saved(components(links))
-    number = F.xxhash64("list")
-    member_of = lists.groupBy("short").agg(F.collect_list(number).alias("lists"))  # at most one per prefix token
     for step in range(NEAREST_ROUNDS + 1):
         last = step == NEAREST_ROUNDS
         rooted = small.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-        spread = lists.join(rooted, "short")
-        open_ = spread.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-        k = F.ceil(F.col("size") / BLOCK).cast("int")
-        block = F.pmod(F.xxhash64("class"), F.col("k")).cast("int")
-        cells = spread.join(open_.select("list", k.alias("k")), "list")
-        if last:
-            cells = cells.join(member_of, "short")
-        cells = cells.withColumn("i", block).withColumn("j", F.explode(F.expr("sequence(0, k - 1)"))).select(
-            "list", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "class", "n", "sig", "root", number.alias("number"),
-            F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side"), *["lists"] * last,
-        )
-        found = cells.groupBy("list", "lo", "hi").applyInArrow(_cross(percent, not last), "a binary, b binary, d double")
+        cells = _cells(lists.select("list", "short"), rooted.select("short", "class", "n", "sig", "root"))
+        dealt = cells.repartition("cell").sortWithinPartitions("cell", "n")
+        found = dealt.mapInArrow(_cross(percent, not last), "a binary, b binary, d double")
         if not last:
             found = found.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
         found = saved(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -351,8 +443,12 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
         fresh = verified(found)
         if fresh.count():
             links = links.unionByName(fresh)
-            roots = saved(components(links))
-    return known.select("doc_id", "text_key", "class", "n"), links, roots
+            before, roots = roots, saved(components(links))
+            release(before)
+        release(found)
+    release(lists)
+    release(small)
+    return members, links, roots
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
