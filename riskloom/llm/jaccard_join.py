@@ -40,6 +40,8 @@ SKETCH_BLOCKS = 64
 BUCKET_TOKENS = 1_000_000
 #: Classes of a list that are worked on as one block.
 BLOCK = 1024
+#: Bytes that a signature is folded to at most inside cells; candidates are tried on whole signatures after that.
+COARSE_BYTES = 128
 #: Rows of cells that a task works on together; a cell of more rows is worked on alone.
 STEP_ROWS = 1 << 14
 #: Rounds that try each class's nearest in another component, before all that is left is tried.
@@ -134,17 +136,18 @@ def _describe(width: int, percent: int, common):
     def go(batches):
         table = common.value
         for b in batches:
-            out: list[list] = [[] for _ in range(5)]
+            out: list[list] = [[] for _ in range(6)]
             for s in shingle_sets(_texts(b), width):
                 name = hashlib.blake2b(s.astype(_U8).tobytes(), digest_size=16).digest() if len(s) else None
                 first = _prefix(s, _ranks(s, table), 0, prefix_length(len(s), percent)) if len(s) else s
-                row = (name, name and int.from_bytes(name[:8], "little", signed=True), len(s), signature(s).tobytes(), first.astype(_U8).tobytes())
+                sig = signature(s)
+                row = (name, name and int.from_bytes(name[:8], "little", signed=True), len(s), sig.tobytes(), fold(sig, COARSE_BYTES).tobytes(), first.astype(_U8).tobytes())
                 for column, v in zip(out, row):
                     column.append(v)
-            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["text_key"], *[pa.array(v, t) for v, t in zip(out, kinds)]],
-                ["doc_id", "text_key", "class", "short", "n", "sig", "p0"],
+                ["doc_id", "text_key", "class", "short", "n", "sig", "coarse", "p0"],
             )
 
     return go
@@ -257,7 +260,7 @@ def _cross(percent: int, nearest: bool):
         comp = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
         who = table["class"].combine_chunks().dictionary_encode()
         known = who.indices.to_numpy().astype(np.int64)
-        found = list(_allowed(number, n, comp, side, table["sig"].to_pylist(), percent))
+        found = list(_allowed(number, n, comp, side, table["coarse"].to_pylist(), percent))
         i, j, apart = (np.concatenate([f[x] for f in found]) if found else np.zeros(0, np.int64) for x in range(3))
         d = apart / np.maximum(1, n[i] + n[j])
         a, b = known[i], known[j]
@@ -350,14 +353,14 @@ def _linked(percent: int):
     return go
 
 
-def _cells(lists: DataFrame, rooted: DataFrame) -> DataFrame:
-    """The lists that span components as rows (cell, class, n, sig, root, side), cut into pairs of blocks.
+def _cells(lists: DataFrame, roots: DataFrame, small: DataFrame) -> DataFrame:
+    """The lists that span components as rows (cell, class, n, coarse, root, side), cut into pairs of blocks.
 
     A list of up to ``BLOCK`` classes is one cell. In a longer one the classes of its largest component make blocks of
     their own, and these meet only the blocks of the others. ``side`` tells the two blocks of a cell apart, 2 where it
-    is one block.
+    is one block. Lists are chosen and cut by (list, short, root) alone; sizes and signatures join what is left.
     """
-    spread = lists.join(rooted, "short")
+    spread = lists.join(roots, "short")
     parts = spread.groupBy("list", "root").agg(F.count("*").alias("c"))
     whole = parts.groupBy("list").agg(F.sum("c").alias("size"), F.max_by("root", F.struct("c", "root")).alias("big"), F.max("c").alias("most"))
     whole = whole.where("size > most")
@@ -367,13 +370,14 @@ def _cells(lists: DataFrame, rooted: DataFrame) -> DataFrame:
     k2 = F.when(short, 0).otherwise(blocks(F.col("size") - F.col("most"))).alias("k2")
     rows = spread.join(whole.select("list", "big", k1, k2), "list")
     in_big = (F.col("root") == F.col("big")) | (F.col("k2") == 0)
-    spot = F.xxhash64("class")
+    spot = F.xxhash64("short")
     own = F.when(in_big, F.pmod(spot, F.col("k1"))).otherwise(F.col("k1") + F.pmod(spot, F.greatest("k2", F.lit(1)))).cast("int")
     first = F.when(in_big & (F.col("k2") > 0), F.col("k1")).otherwise(0)
     rows = rows.withColumn("i", own).withColumn("j", F.explode(F.sequence(first, F.greatest(F.col("k1") + F.col("k2") - 1, first))))
     side = F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1)
     cell = F.xxhash64("list", F.least("i", "j"), F.greatest("i", "j"))
-    return rows.select(cell.alias("cell"), "class", "n", "sig", "root", side.cast("int").alias("side"))
+    rows = rows.select(cell.alias("cell"), "short", "root", side.cast("byte").alias("side"))
+    return rows.join(small.select("short", "class", "n", "coarse"), "short").drop("short")
 
 
 def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -382,9 +386,9 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
     spark = docs.sparkSession
     rows = records(docs).select("doc_id", "text_key", "text")
     common = spark.sparkContext.broadcast(commonness(token_sketch(rows, width)))
-    columns = "doc_id long, text_key long, class binary, short long, n int, sig binary, p0 binary"
+    columns = "doc_id long, text_key long, class binary, short long, n int, sig binary, coarse binary, p0 binary"
     known = saved(rows.mapInArrow(_describe(width, percent, common), columns))
-    row = F.struct("doc_id", "text_key", "short", "n", "sig", "p0")
+    row = F.struct("doc_id", "text_key", "short", "n", "sig", "coarse", "p0")
     data = saved(known.where("n > 0").groupBy("class").agg(F.first(row).alias("row")).select("class", "row.*"))
     members = saved(known.select("doc_id", "text_key", "class", "n"))
     release(known)
@@ -421,26 +425,31 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
     heads = lists.groupBy("list").agg(F.min("short").alias("head"))
     tries = lists.join(heads, "list").where("short <> head").groupBy("short", "head").agg(F.sum("weight").alias("w"))
     tries = tries.groupBy("short").agg(F.max_by("head", F.struct("w", "head")).alias("head"))
-    x, y = (small.select(*[F.col(c).alias(d) for c, d in names]) for names in (
-        (("short", "short"), ("class", "a"), ("n", "xn"), ("sig", "xs")), (("short", "head"), ("class", "b"), ("n", "yn"), ("sig", "ys"))
-    ))
-    pairs = tries.join(x, "short").join(y, "head").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "xn", "yn", "xs", "ys"
-    ).mapInArrow(_signs_allow(percent), "a binary, b binary")
-    links = verified(pairs)
+    def allowed(pairs: DataFrame, key: str) -> DataFrame:
+        """Pairs (x, y) by ``key`` as (a, b) by class, where sizes and whole signatures allow them."""
+        x, y = (small.select(*[F.col(c).alias(d) for c, d in names]) for names in (
+            ((key, "x"), ("class", "a"), ("n", "xn"), ("sig", "xs")), ((key, "y"), ("class", "b"), ("n", "yn"), ("sig", "ys"))
+        ))
+        return pairs.join(x, "x").join(y, "y").select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "xn", "yn", "xs", "ys"
+        ).mapInArrow(_signs_allow(percent), "a binary, b binary")
+
+    links = verified(allowed(tries.select(F.col("short").alias("x"), F.col("head").alias("y")), "short"))
     roots = saved(components(links))
     for step in range(NEAREST_ROUNDS + 1):
         last = step == NEAREST_ROUNDS
-        rooted = small.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-        cells = _cells(lists.select("list", "short"), rooted.select("short", "class", "n", "sig", "root"))
+        rooted = small.select("class", "short").join(roots.withColumnRenamed("node", "class"), "class", "left").select(
+            "short", F.coalesce("root", "class").alias("root")
+        )
+        cells = _cells(lists.select("list", "short"), rooted, small)
         dealt = cells.repartition("cell").sortWithinPartitions("cell", "n")
         found = dealt.mapInArrow(_cross(percent, not last), "a binary, b binary, d double")
         if not last:
             found = found.groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"))
-        found = saved(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        found = saved(found.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct())
         if not found.count():
             break  # nothing is left across components
-        fresh = verified(found)
+        fresh = verified(allowed(found, "class"))
         if fresh.count():
             links = links.unionByName(fresh)
             before, roots = roots, saved(components(links))
@@ -485,4 +494,5 @@ def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
 
 
 def op3_jaccard_join(spark, sf_dir) -> DataFrame:
+    """One row per document; null and empty texts, repeated rows and ids as in ``near_duplicates``."""
     return near_duplicates(documents(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
