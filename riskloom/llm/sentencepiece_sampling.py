@@ -56,12 +56,18 @@ class Pieces:
         usable = np.array([not (m.is_control(i) or m.is_unknown(i)) for i in range(size)])
         plain = usable & np.array([not m.is_byte(i) for i in range(size)])
         self.byte_id = {int(m.id_to_piece(i)[3:5], 16): i for i in range(size) if m.is_byte(i)}
+        self.byte_ids = np.array([self.byte_id[b] for b in range(256)])
         logp[[i for i in self.byte_id.values()]] = -alpha * np.log(size + 10)
         self.logp = logp - np.log(np.exp(logp[usable]).sum())
         self.raw = [bytes([next(b for b, i in self.byte_id.items() if i == n)]) if m.is_byte(n) else m.id_to_piece(n).encode() for n in range(size)]
         self.raw_size = np.array([len(r) for r in self.raw])
         self.raw_at = np.concatenate(([0], np.cumsum(self.raw_size)[:-1]))
         self.raw_data = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
+        # The same with spaces for the space mark; the mark is a piece, so it is never spelled in bytes.
+        spaced = [x if m.is_byte(n) else x.replace("▁".encode(), b" ") for n, x in enumerate(self.raw)]
+        self.spaced_size = np.array([len(x) for x in spaced])
+        self.spaced_at = np.concatenate(([0], np.cumsum(self.spaced_size)[:-1]))
+        self.spaced_data = np.frombuffer(b"".join(spaced), dtype=np.uint8)
         begin: dict[int, dict[int, int]] = {}  # by length: hash of each beginning -> the piece it is, or -1
         for i in np.flatnonzero(plain).tolist():
             c = np.array([ord(x) for x in m.id_to_piece(i)])
@@ -277,20 +283,35 @@ def sample_texts(texts: list[str], seeds: np.ndarray, k: int, alpha: float):
             shut_at[d, len(where[d]), t] = shut
             where[d].append((rounds, len(tails) - 1))
         rounds_.append(_Paths(lattice, tails, [j[2] for j in jobs], [j[5] for j in jobs], [j[4] for j in jobs], mix(keys + _STEP), [j[3] for j in jobs]))
+    ids = iter(_all_ids(known, lattice, [edges for d in live for edges in full[d]]))
     out = []
     for d in range(len(texts)):
         if not sizes[d]:
             out.append([(np.zeros(0, dtype="<u4"), 0.0, 0.0, 1.0)])
             continue
         rows = []
-        for edges, (r, n) in zip(full[d], where[d]):
+        for _, (r, n) in zip(full[d], where[d]):
             logp = float(rounds_[r].logp[n])
             inclusion = 1.0 if left[d] == -np.inf else float(-np.expm1(-np.exp(min(logp - left[d], 50.0))))
-            rows.append((_ids(known, lattice.name[edges]), logp, float(rounds_[r].bound[n]), inclusion))
+            rows.append((next(ids), logp, float(rounds_[r].bound[n]), inclusion))
         out.append(rows)
     return out
 
 
+def _all_ids(known: Pieces, lattice: Lattices, paths: list[np.ndarray]) -> list[np.ndarray]:
+    """The ids of many paths, looked up together; only paths with characters spelled in several bytes are treated
+    singly."""
+    names = lattice.name[np.concatenate(paths)] if paths else np.zeros(0, np.int64)
+    ends = np.cumsum([len(p) for p in paths])
+    lost = np.flatnonzero(names < 0)
+    one = lost[names[lost] > -0x80]
+    plain = names.astype("<u4")
+    plain[one] = known.byte_ids[-names[one]]
+    spelled = set(np.searchsorted(ends, lost[names[lost] <= -0x80], side="right").tolist())
+    cuts = zip([0, *ends[:-1].tolist()], ends.tolist())
+    return [_ids(known, names[a:b]) if n in spelled else plain[a:b] for n, (a, b) in enumerate(cuts)]
+
+
 def _ids(known: Pieces, names: np.ndarray) -> np.ndarray:
     lost = np.flatnonzero(names < 0)
     if not len(lost):
@@ -303,6 +324,19 @@ def _ids(known: Pieces, names: np.ndarray) -> np.ndarray:
     return np.concatenate([*out, names[last:]]).astype("<u4")
 
 
+def decoded_crc32s(all_ids: list[np.ndarray], alpha: float = ALPHA) -> list[int]:
+    """CRC-32 of ``decode_ids`` of each, with the pieces of all laid out in one go."""
+    known = pieces(alpha)
+    ids = np.concatenate(all_ids) if all_ids else np.zeros(0, dtype="<u4")
+    size = known.spaced_size[ids]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(known.spaced_at[ids] - (ends - size), size) + np.arange(total) if total else np.zeros(0, np.int64)
+    text = memoryview(known.spaced_data[at].tobytes())
+    upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum([len(x) for x in all_ids])))].tolist()
+    return [zlib.crc32(text[a + (text[a : a + 1] == b" ") : b]) for a, b in zip(upto, upto[1:])]
+
+
 def decode_ids(ids: np.ndarray, alpha: float = ALPHA) -> bytes:
     """UTF-8 of the normalised text: pieces one after the other, the first space left out."""
     known = pieces(alpha)
@@ -325,11 +359,12 @@ def _sampled(k: int, alpha: float, seed: int, with_ids: bool):
             a = 0
             while a < len(texts):
                 z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CHUNK_CHARS)))
-                rows = []
-                for i, t, found in zip(doc[a:z], key[a:z], sample_texts(texts[a:z], seeds[a:z], k, alpha)):
+                rows, samples = [], sample_texts(texts[a:z], seeds[a:z], k, alpha)
+                decoded = iter(decoded_crc32s([f[0] for found in samples for f in found], alpha))
+                for i, t, found in zip(doc[a:z], key[a:z], samples):
                     for n, (ids, logp, noise, inclusion) in enumerate(found):
                         raw = ids.tobytes()
-                        rows.append((i, t, n, len(ids), zlib.crc32(raw), zlib.crc32(decode_ids(ids, alpha)), logp, noise, inclusion, raw if with_ids else None))
+                        rows.append((i, t, n, len(ids), zlib.crc32(raw), next(decoded), logp, noise, inclusion, raw if with_ids else None))
                 kept = kinds if with_ids else kinds[:-1]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), kept)], [n for n, _ in kept])
                 a = z
@@ -361,4 +396,5 @@ def decode(samples: DataFrame, ids: str = "ids", alpha: float = ALPHA) -> DataFr
 
 
 def op6_sentencepiece(spark, sf_dir) -> DataFrame:
+    """Up to three samples per document; null and empty texts and repeated rows as in ``sample_segmentations``."""
     return sample_segmentations(documents(spark, sf_dir), with_ids=False).drop("text_key")
