@@ -1,6 +1,6 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and the first four letters of words. The vocabulary is every term of a bounded number of labelled
+Terms are words and the first four letters of words, named by 64-bit hashes. The vocabulary is every term of a bounded number of labelled
 examples; every document becomes a sparse vector of counts over it in one pass, and inverse document frequencies
 count all documents. A document's terms outside the vocabulary meet no example: they would divide all its cosines
 by one number, which changes neither their order nor the votes, so only they are left out.
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.bytehash import mix, prefixes, substring
 from riskloom.llm.common import documents, records, saved
 
 #: Labelled examples used at most, half of them toxic where there are enough; a fifth of them calibrates.
@@ -41,6 +42,46 @@ def terms(text: str) -> Counter:
     return out
 
 
+#: Texts are cut into words together up to about this many characters; a longer one is worked on alone.
+CHUNK_CHARS = 1 << 19
+_STEM = np.uint64(0x9E3779B97F4A7C15)
+_tables: list[np.ndarray] = []
+
+
+def _word_characters() -> np.ndarray:
+    """For each code point whether ``_WORD`` takes it."""
+    if not _tables:
+        _tables.append(np.array([c.isalnum() and not c.isdecimal() for c in map(chr, range(0x110000))]))
+    return _tables[0]
+
+
+def hashed_terms(texts: list[str]):
+    """For many texts at once: (text of each term occurrence, hash of the term), as ``terms`` counts them."""
+    held, size, first = [], 0, 0
+    for n, t in enumerate([*texts, None]):
+        if t is None or (held and size + len(t) > CHUNK_CHARS):
+            if held:
+                owner, term = _hashed(held)
+                yield owner + first, term
+            held, size, first = [], 0, n
+        if t is not None:
+            held.append(t.lower())
+            size += len(held[-1])
+
+
+def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inside = _word_characters()[data]
+    before = np.concatenate(([False], inside[:-1]))
+    start, stop = np.flatnonzero(inside & ~before), np.flatnonzero(~inside & before)
+    owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
+    p, size = prefixes(data), stop - start
+    long = size > 4
+    words = mix(substring(p, start, stop) + size.astype(np.uint64))
+    stems = mix(substring(p, start[long], start[long] + 4) ^ _STEM)
+    return np.concatenate((owner, owner[long])), np.concatenate((words, stems))
+
+
 def learnable(doc_id):
     """Rows whose id's checksum leaves no remainder by five are held out from learning."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
@@ -63,23 +104,24 @@ def choose_examples(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
 
 def _terms_only(batches):
     for b in batches:
-        found = sorted({t for text in b["text"].to_pylist() for t in terms(text)})
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["term"])
+        found = [np.unique(term) for _, term in hashed_terms(b["text"].to_pylist())]
+        found = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["term"])
 
 
-def choose_terms(examples: DataFrame) -> list[str]:
-    """Every term of the examples, in order; none unless both classes are there."""
+def choose_terms(examples: DataFrame) -> np.ndarray:
+    """The hash of every term of the examples, in order; none unless both classes are there."""
     if examples.select("toxic").distinct().count() < 2:
-        return []
-    return sorted(examples.select("text").mapInArrow(_terms_only, "term string").distinct().toArrow()["term"].to_pylist())
+        return np.zeros(0, dtype=np.uint64)
+    found = examples.select("text").mapInArrow(_terms_only, "term long").distinct().toArrow()["term"].to_numpy()
+    return np.sort(found.view(np.uint64))
 
 
-def pack(row: list[tuple[int, int]]) -> bytes:
-    """Sorted (term, count) as bytes: gaps and counts, byte by byte of all, deflated. Nothing for no terms."""
-    if not row:
+def pack(at: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted terms and their counts as bytes: gaps and counts, byte by byte of all, deflated. Nothing for no terms."""
+    if not len(at):
         return b""
-    v = np.array(row, dtype="<u4")
-    v[1:, 0] = np.diff(v[:, 0])
+    v = np.stack((np.diff(at, prepend=0), counts), axis=1).astype("<u4")
     return zlib.compress(np.ascontiguousarray(v.view(np.uint8).T).tobytes(), 1)
 
 
@@ -90,17 +132,22 @@ def unpack(vector: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(v[:, 0]), v[:, 1]
 
 
-def _vectors(number):
-    """``number``: a broadcast of the vocabulary's places."""
+def _vectors(vocabulary):
+    """``vocabulary``: a broadcast of the terms' hashes, in order."""
 
     def go(batches):
-        place = number.value
-        known = place.keys()
+        known = vocabulary.value
         for b in batches:
-            out = []
-            for text in b["text"].to_pylist():
-                found = terms(text)
-                out.append(pack(sorted((place[t], found[t]) for t in found.keys() & known)))
+            texts = b["text"].to_pylist()
+            out = [b""] * len(texts)
+            for owner, term in hashed_terms(texts):
+                at = np.minimum(np.searchsorted(known, term), len(known) - 1) if len(known) else np.zeros(len(term), np.int64)
+                hit = known[at] == term if len(known) else np.zeros(len(term), bool)
+                pairs, counts = np.unique(owner[hit] << 32 | at[hit], return_counts=True)
+                who = pairs >> 32
+                cut = np.flatnonzero(np.diff(who, prepend=-1))
+                for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(who)]):
+                    out[int(who[x])] = pack(pairs[x:y] & 0xFFFFFFFF, counts[x:y])
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_key"], pa.array(out, pa.binary())], ["doc_id", "text_key", "vector"])
 
     return go
@@ -222,17 +269,21 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[Model, DataFrame]:
-    """(model, vectors of all rows). Without labels of both classes every score is the mean label, or 0."""
+    """(model, vectors of all rows). Without labels of both classes every score is the mean label, or 0.
+
+    A null text is empty. Label rows without an id or a label, and those held out, teach nothing; of several rows of an
+    id the toxic one counts. Repeated documents of an id are examples each. Empty tables give no vectors.
+    """
     spark = docs.sparkSession
     chosen = saved(choose_examples(docs, labels, examples))
     vocabulary = choose_terms(chosen)
     size = len(vocabulary)
-    number = spark.sparkContext.broadcast({t: n for n, t in enumerate(vocabulary)})
+    number = spark.sparkContext.broadcast(vocabulary)
     rows = records(docs).select("doc_id", "text_key", "text")
     vectors = saved(rows.mapInArrow(_vectors(number), "doc_id long, text_key long, vector binary"))
     share = labels.where("toxic IN (0, 1)").where(learnable(F.col("doc_id"))).agg(F.avg("toxic"), F.count("*")).first()
     prior = float(share[0] or 0.0)
-    if not vocabulary:
+    if not size:
         return Model(None, None, None, prior), vectors
     table = vectors.mapInArrow(_document_counts(size), "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).toArrow()
     counts = np.zeros(size + 1)  # the number of documents comes last
@@ -301,6 +352,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES
 
 
 def op8_toxicity(spark, sf_dir) -> DataFrame:
+    """One row per document; null and empty texts, repeated rows and empty tables as in ``score_documents``."""
     out = score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return out.select(
         "doc_id", F.coalesce(~learnable(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",

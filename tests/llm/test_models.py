@@ -118,7 +118,27 @@ def test_all_terms_of_the_examples_count(spark):
         cos = {n: sum(x * unit[n].get(t, 0.0) for t, x in unit[r.doc_id].items()) for n in inside}
         want = sorted((c for c in cos.values() if c > 1e-9), reverse=True)[:15]
         assert np.allclose([cos[n] for n in r.evidence], want, atol=1e-5)
-    assert toxicity.unpack(toxicity.pack([(3, 1), (70_000, 300)]))[0].tolist() == [3, 70_000]
+    at, n = toxicity.unpack(toxicity.pack(np.array([3, 70_000]), np.array([1, 300])))
+    assert (at.tolist(), n.tolist()) == ([3, 70_000], [1, 300]) and toxicity.pack(np.zeros(0, int), np.zeros(0, int)) == b""
+
+
+def test_hashed_terms_count_as_terms(rows):
+    from collections import Counter
+
+    texts = [t or "" for _, t in rows] + ["Straße İstanbul x_y 12ab ½cup", "ÉCOLE école ecole", "aaaa aaaaa AAAAA", "a\0b"]
+    found = [Counter() for _ in texts]
+    for owner, term in toxicity.hashed_terms(texts):
+        for o, t in zip(owner.tolist(), term.tolist()):
+            found[o][t] += 1
+    names = {}
+    for t, f in zip(texts, found):
+        want = toxicity.terms(t)
+        assert sorted(f.values()) == sorted(want.values())
+        for term in want:
+            one = next(toxicity.hashed_terms([term.lstrip("^") + ("" if term[0] != "^" else "xyz")]))[1].tolist()
+            names[term] = one[-1] if term[0] == "^" else one[0]
+            assert f[names[term]] == want[term], (t[:30], term)
+    assert len(set(names.values())) == len(names)
 
 
 def test_toxicity_of_awkward_rows(docs, labels, no_docs):
@@ -147,3 +167,79 @@ def test_pipeline_stages(spark, docs, no_docs, tmp_path, labels):
 def test_pipeline_over_a_table(spark, n):
     out = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in out} and all(zlib.crc32(r.ids) == r.ids_crc32 for r in out)
+
+
+def test_pipeline_stages_equal_brute_force(spark, docs, labels, tmp_path):
+    """Each stage on its own input: dropped lines, one row per group, redacted spans, packed ids."""
+    import re
+    from collections import Counter
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    at = corpus_pipeline.saved(stages["quality_rules"](spark, docs, str(tmp_path)))
+    given = bag((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+    kept = [(r.doc_id, r.text) for r in at.collect()]
+    assert not Counter(bag(kept)) - Counter(given) and len(kept) > 40
+    assert all(len(word.findall(t or "")) >= 20 for _, t in kept)
+
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(lower)
+    held = Counter(k for _, t in kept for k in {key(x) for x in (t or "").split("\n")} if k)
+    want = [(i, "\n".join(x for x in (t or "").split("\n") if held[key(x)] < 10)) for i, t in kept]
+    at = corpus_pipeline.saved(stages["line_dedup"](spark, at, str(tmp_path)))
+    assert bag((r.doc_id, r.text) for r in at.collect()) == bag(want)
+    assert all(r.text == t for r, t in [(r, r.text) for r in at.collect()])
+
+    def shingles(t):
+        w = word.findall(t.translate(lower))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+    sets, group = [shingles(t) for _, t in want], list(range(len(want)))
+
+    def root(n):
+        while group[n] != n:
+            n = group[n]
+        return n
+
+    for a in range(len(want)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group[max(root(a), root(b))] = min(root(a), root(b))
+    members: dict = {}
+    for n, s in enumerate(sets):
+        if s:
+            members.setdefault(root(n), []).append(want[n])
+    alone = sum(not s for s in sets)
+    at = corpus_pipeline.saved(stages["jaccard_join"](spark, at, str(tmp_path)))
+    out = [(r.doc_id, r.text) for r in at.collect()]
+    assert len(out) == len(members) + alone
+    first = [min(m, key=lambda r: (r[0] is None, r[0] or 0))[0] for m in members.values()]
+    assert bag(i for i, t in out if word.search(t)) == bag(first)
+
+    at = corpus_pipeline.saved(stages["pii"](spark, at, str(tmp_path)))
+    clean = [(r.doc_id, r.text) for r in at.collect()]
+    mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    assert len(clean) == len(out) and not any(mail.search(t) for _, t in clean)
+    assert bag(x for x in clean if "<" not in x[1]) == bag(x for x in out if x in clean and "<" not in x[1])
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = stages["packing"](spark, at, str(tmp_path)).collect()
+    got: dict = {}
+    for p in sorted(pieces, key=lambda p: p.piece):
+        ids = np.frombuffer(p.ids, "<u4").tolist()
+        assert len(ids) == p.length <= 1024 and zlib.crc32(p.ids) == p.ids_crc32
+        got.setdefault((p.doc_id, p.piece == 0 and p.start), []).append(ids)
+    assert sum(p.length for p in pieces) == sum(len(coder.encode(t, add_special_tokens=False).ids) + 1 for _, t in clean)
+    full: dict = {}
+    for p in pieces:
+        full.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for parts in full.values():
+        ends = 0
+        for offset, length in sorted(parts):
+            assert offset == ends
+            ends += length
+        assert ends <= 1024
