@@ -240,7 +240,7 @@ def test_fingerprints(docs, rows, no_docs):
 def test_syncmers_are_context_free(spark):
     w = [f"word{k}" for k in range(200)]
     d = spark.createDataFrame([(0, " ".join(w)), (1, " ".join(["new"] * 7 + w)), (2, " ".join(f"x{k}" for k in range(200)))], "doc_id long, text string")
-    r = d.select(fingerprints.anchors(F.col("text"), 1000).alias("a")).collect()
+    r = d.select(fingerprints.anchors(F.col("text")).alias("a")).collect()
     places = {x.hash: x.place for x in r[0].a}
     moved = {x.hash: x.place for x in r[1].a}
     assert len(places) > 60 and all(moved[h] == p + 7 for h, p in places.items())
@@ -260,6 +260,96 @@ def test_likeness_of_texts_with_passages_put_in(spark):
     assert got[0] == 1 and got[1] > 0.85 and got[2] > 0.8 and got[3] > 0.75 and 0.3 < got[4] < 0.7
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def h64(data, seed=42):
+    import xxhash
+
+    return signed(xxhash.xxh64(data, seed=seed % (1 << 64)).intdigest())
+
+
+def chained(*longs):
+    seed = 42
+    for v in longs:
+        seed = h64(v.to_bytes(8, "little", signed=True), seed)
+    return seed
+
+
+def brute_anchors(t):
+    w = WORD.findall(t)
+    if len(w) < 5:
+        return [(h64(" ".join(w).encode()), 0)] if w else []
+    one = [h64(x.encode()) for x in w]
+    two = [chained(a, b) for a, b in zip(one, one[1:])]
+    four = [chained(a, b) for a, b in zip(two, two[2:])]
+    first = {}
+    for i in range(len(w) - 4):
+        low = min(two[i : i + 4])
+        if low in (two[i], two[i + 3]):
+            first.setdefault(chained(four[i], one[i + 4]), i)
+    return sorted(first.items())
+
+
+def brute_likeness(a, b):
+    from bisect import bisect_left
+
+    if not a or not b:
+        return float(not a and not b)
+    there = dict(b)
+    ends: list = []
+    shared = sorted((p, there[h]) for h, p in a if h in there)
+    for _, x in shared:
+        ends[(at := bisect_left(ends, x)) : at + 1] = [x]
+    return len(ends) / (len(a) + len(b) - len(shared))
+
+
+def test_fingerprint_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    text = lambda a: " ".join(f"{h % (1 << 64):X}@{p}" for h, p in a)
+    want = []
+    for n, (i, t) in enumerate(docs):
+        nxt = docs[(n + 1) % len(docs)][1]
+        half = len(t) // 2
+        e = t[: len(t) - half] + nxt[:half]
+        a, b, c = brute_anchors(t), brute_anchors(e), brute_anchors(nxt)
+        want.append((i, len(t), sha(e.encode()), text(a), text(b), brute_likeness(a, b), brute_likeness(a, c)))
+    got = sorted(map(tuple, fingerprints.op7_fingerprints(spark, sf).collect()))
+    assert got == want
+
+
+def test_long_texts_that_differ_in_one_passage(spark):
+    w = [f"word{k * 7919 % 20011}" for k in range(20_000)]
+    other = w[:9000] + [f"new{k}" for k in range(60)] + w[9060:]
+    d = spark.createDataFrame([(" ".join(w), " ".join(other))], "x string, y string").select(
+        fingerprints.anchors(F.col("x")).alias("a"), fingerprints.anchors(F.col("y")).alias("b"))
+    r = d.select("a", "b", fingerprints.likeness(F.col("a"), F.col("b")).alias("like")).first()
+    assert len(r.a) > 6000 and r.a != r.b and 0.98 < r.like < 1
+
+
+def test_no_id_is_one_group(spark, monkeypatch):
+    """A third of the ids null, a third equal: ranges of both are cut by text."""
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 50)
+    rows = [(None if n % 3 == 0 else 7 if n % 3 == 1 else n, f"text {n} of many") for n in range(3000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = fingerprints.with_next(d)
+    got = out.collect()
+    assert bag((r.doc_id, r.text) for r in got) == bag(rows)
+    assert len({r.next_text for r in got}) == 3000  # one ring through all rows
+    follows = {r.text: r.next_text for r in got}
+    at, seen = got[0].text, set()
+    while at not in seen:
+        seen.add(at)
+        at = follows[at]
+    assert len(seen) == 3000
+    ids = {t: i for i, t in rows}
+    steps = [(ids[a], ids[b]) for a, b in follows.items()]
+    back = [(a, b) for a, b in steps if (a is not None, a or 0) > (b is not None, b or 0)]
+    assert len(back) == 1  # ids rise along the ring but for its end
+
+
 def test_longest_rise(spark):
     from bisect import bisect_left
     from random import Random
@@ -331,6 +421,23 @@ def test_shards(docs, rows, no_docs):
     assert sorted(sharding.fisher_yates(50, 1, 2).tolist()) == list(range(50))
 
 
+def test_null_ids_spread_over_buckets(spark):
+    d = spark.createDataFrame([(None if n % 3 == 0 else 5 if n % 3 == 1 else n, f"t{n}") for n in range(3000)], "doc_id long, text string")
+    out = sharding.shuffle_shards(d, 16, min_buckets=32)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 and out.select("shard", "slot").distinct().count() == 3000
+    bucket = d.groupBy(F.pmod(F.xxhash64(F.lit(sharding.SEED), "doc_id", "text"), F.lit(32))).count().collect()
+    assert len(bucket) == 32 and max(r["count"] for r in bucket) < 200
+
+
+def test_clashing_columns_are_written(spark, tmp_path):
+    d = spark.createDataFrame([(n, f"t{n}", 7, n * 2, "x") for n in range(40)], "doc_id long, text string, shard int, slot long, input_shard string")
+    sharding.write_shards(d, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {"doc_id", "text", "input_input_shard", "input_slot", "input_shard", "shard", "slot"}
+    assert {(r.input_input_shard, r.input_slot == 2 * r.doc_id, r.input_shard) for r in back.collect()} == {(7, True, "x")}
+
+
 def test_shards_are_written(spark, docs, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
