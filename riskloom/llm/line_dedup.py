@@ -169,6 +169,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, keep_first: bool = Fa
 
 
 def op5_line_dedup(spark, sf_dir) -> DataFrame:
+    """One row per document; null and empty texts and repeated rows as in ``drop_common_lines``."""
     return drop_common_lines(documents(spark, sf_dir)).select(
         F.col("rec.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )

@@ -167,6 +167,7 @@ def pack_documents(docs: DataFrame, size: int = SEQUENCE, end_id: int = END_ID,
 
 
 def op4_packing(spark, sf_dir) -> DataFrame:
+    """One row per piece of each document; null and empty texts, which have one id, as in ``pack_documents``."""
     return pack_documents(documents(spark, sf_dir)).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

@@ -221,7 +221,10 @@ def learn_from_labels(docs: DataFrame, labels: DataFrame, sample_rows: int = SAM
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(rec, doc_id, statistics, base_failed, rule, kept) for every input row."""
+    """(rec, doc_id, statistics, base_failed, rule, kept) for every input row.
+
+    Null and empty texts have no words and fail the base. Repeated rows are judged alike; no rules keep all that pass it.
+    """
     stats = text_stats(records(docs)).drop("text", "text_key")
     return stats.withColumns({"base_failed": base_failed(), "rule": rule_number(rules)}).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull()
@@ -229,6 +232,7 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def op2_quality_rules(spark, sf_dir) -> DataFrame:
+    """One row per document; a null or empty text has no words and fails the base. Repeated rows each come out."""
     docs = documents(spark, sf_dir)
     rules = learn_from_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judge(docs, rules).select(

@@ -329,6 +329,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def op1_suffix_dedup(spark, sf_dir) -> DataFrame:
+    """One row per document; nulls, short and repeated texts as in ``remove_repeats``."""
     return remove_repeats(documents(spark, sf_dir)).select(
         F.col("rec.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
