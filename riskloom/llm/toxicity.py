@@ -28,6 +28,8 @@ from riskloom.llm.common import documents, records, saved
 EXAMPLES = 8_000
 NEAREST = 15
 BLOCK = 32
+#: Blocks that are read together between two looks at the bound.
+STEP_BLOCKS = 12
 #: Terms that a sixteenth of the examples hold, this many at most, lie in full rows; how a term lies changes no cosine.
 COMMON = 512
 _WORD = re.compile(r"[^\W\d_]+")
@@ -222,17 +224,21 @@ class BlockMaxIndex:
         bound = known.max(axis=1) + self.peak @ query
         order = np.argsort(-bound, kind="stable")
         order = order[: int(np.count_nonzero(bound > 0))]
-        pos, cos, done, step = np.zeros(0, dtype=np.int64), np.zeros(0), 0, 4
-        while done < len(order) and (len(cos) < self.k or bound[order[done]] + 1e-5 >= cos[self.k - 1]):
-            part = order[done : done + step]
+        pos, cos, done, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0, -np.inf
+        while done < len(order) and bound[order[done]] + 1e-5 >= least:
+            part = order[done : done + STEP_BLOCKS]
             got = (known[part] + self.rows[part] @ query).ravel()
-            where = (part[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            pos, cos = np.concatenate((pos, where)), np.concatenate((cos, got))
-            best = np.lexsort((pos, -cos))[: self.k]
-            pos, cos = pos[best], cos[best]
-            done, step = done + step, step * 2
-        keep = cos > 0
-        return pos[keep], cos[keep]
+            here = np.flatnonzero(got >= least)
+            pos = np.concatenate((pos, part[here // BLOCK] * BLOCK + here % BLOCK))
+            cos = np.concatenate((cos, got[here]))
+            if len(cos) >= self.k:
+                least = np.partition(cos, len(cos) - self.k)[len(cos) - self.k]
+                keep = cos >= least  # ties with the last one stay until the end
+                pos, cos = pos[keep], cos[keep]
+            done += STEP_BLOCKS
+        best = np.lexsort((pos, -cos))[: self.k]
+        best = best[cos[best] > 0]
+        return pos[best], cos[best]
 
     def vote(self, at: np.ndarray, weight: np.ndarray) -> tuple[float | None, list[int]]:
         pos, cos = self.nearest(at, weight)
