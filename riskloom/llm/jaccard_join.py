@@ -44,6 +44,8 @@ BLOCK = 1024
 COARSE_BYTES = 128
 #: Rows of cells that a task works on together; a cell of more rows is worked on alone.
 STEP_ROWS = 1 << 14
+#: Candidate pairs that a task gathers before it reduces them or passes them on.
+STEP_PAIRS = 1 << 18
 #: Rounds that try each class's nearest in another component, before all that is left is tried.
 NEAREST_ROUNDS = 2
 _U8 = np.dtype("<u8")
@@ -251,29 +253,49 @@ def _allowed(cell, n, comp, side, sigs, percent: int):
 
 def _cross(percent: int, nearest: bool):
     """Candidate pairs (a, b, d) of a partition of cells, sorted by cell and size. nearest: of each class only the
-    nearest in another component, with its distance, once per step; otherwise all, once per step."""
+    nearest in another component, with its distance, once per step; otherwise all, some of them more than once. No
+    more than about ``STEP_PAIRS`` are held."""
     names = ["a", "b", "d"]
 
-    def work(table: pa.Table) -> pa.RecordBatch:
+    def reduced(held: list, classes: int) -> list:
+        if not held:
+            return []
+        a, b, d = (np.concatenate([f[x] for f in held]) for x in range(3))
+        if nearest:
+            order = np.lexsort((b, d, a))
+            order = order[np.concatenate(([True], np.diff(a[order]) != 0))]
+        else:
+            order = np.unique(a * (classes + 1) + b, return_index=True)[1]
+        return [(a[order], b[order], d[order])]
+
+    def work(table: pa.Table):
         table = table.combine_chunks()
         n, side, number = (table[c].to_numpy().astype(np.int64) for c in ("n", "side", "cell"))
         comp = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
         who = table["class"].combine_chunks().dictionary_encode()
         known = who.indices.to_numpy().astype(np.int64)
-        found = list(_allowed(number, n, comp, side, table["coarse"].to_pylist(), percent))
-        i, j, apart = (np.concatenate([f[x] for f in found]) if found else np.zeros(0, np.int64) for x in range(3))
-        d = apart / np.maximum(1, n[i] + n[j])
-        a, b = known[i], known[j]
-        if nearest:
-            a, b, d = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((d, d))
-            order = np.lexsort((b, d, a))
-            order = order[np.concatenate(([True], np.diff(a[order]) != 0))] if len(order) else order
-        else:
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            order = np.unique(low * (len(who.dictionary) + 1) + high, return_index=True)[1]
-        return pa.RecordBatch.from_arrays(
-            [who.dictionary.take(pa.array(a[order])), who.dictionary.take(pa.array(b[order])), pa.array(d[order])], names
-        )
+        held, pairs = [], 0
+        for i, j, apart in _allowed(number, n, comp, side, table["coarse"].to_pylist(), percent):
+            if not len(i):
+                continue
+            d, a, b = apart / np.maximum(1, n[i] + n[j]), known[i], known[j]
+            if nearest:
+                held.append((np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((d, d))))
+            else:
+                held.append((np.minimum(a, b), np.maximum(a, b), d))
+            pairs += len(held[-1][0])
+            if pairs >= STEP_PAIRS:
+                held = reduced(held, len(who.dictionary))
+                pairs = len(held[0][0])
+                if not nearest and 2 * pairs >= STEP_PAIRS:
+                    yield batch(who, held)
+                    held, pairs = [], 0
+        if held:
+            yield batch(who, reduced(held, len(who.dictionary)))
+
+    def batch(who, held: list) -> pa.RecordBatch:
+        a, b, d = held[0]
+        return pa.RecordBatch.from_arrays([who.dictionary.take(pa.array(a)), who.dictionary.take(pa.array(b)), pa.array(d)], names)
 
     def go(batches):
         held, rows = [], 0
@@ -289,7 +311,7 @@ def _cross(percent: int, nearest: bool):
                         rows += take
                     b = b.slice(take)
                     if ends >= 0:
-                        yield work(pa.Table.from_batches(held))
+                        yield from work(pa.Table.from_batches(held))
                         held, rows = [], 0
                     continue
                 part = b.slice(0, STEP_ROWS - rows)
@@ -297,7 +319,7 @@ def _cross(percent: int, nearest: bool):
                 rows += part.num_rows
                 b = b.slice(part.num_rows)
         if held:
-            yield work(pa.Table.from_batches(held))
+            yield from work(pa.Table.from_batches(held))
 
     return go
 
