@@ -46,6 +46,8 @@ COARSE_BYTES = 128
 STEP_ROWS = 1 << 14
 #: Candidate pairs that a task gathers before it reduces them or passes them on.
 STEP_PAIRS = 1 << 18
+#: Bits of the map that tells which texts may be wanted: 4 MB, whatever the input.
+MAP_BITS = 1 << 25
 #: Rounds that try each class's nearest in another component, before all that is left is tried.
 NEAREST_ROUNDS = 2
 _U8 = np.dtype("<u8")
@@ -375,6 +377,19 @@ def _linked(percent: int):
     return go
 
 
+def _may_be_among(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """The rows that are in ``few`` by (doc_id, text_key), and a small share of the others: no other text is shuffled
+    to meet ``few``. A bitmap of hashes, of bounded size, goes to all tasks."""
+    spot = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(MAP_BITS))
+    of = few.select(F.bitmap_bucket_number(spot).alias("part"), F.bitmap_bit_position(spot).alias("at"))
+    bits = of.groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    at = F.bitmap_bit_position(spot).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), at % 8)) != 0
+    marked = rows.withColumn("part", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "part")
+    return marked.where(is_set).select(*rows.columns)
+
+
 def _cells(lists: DataFrame, roots: DataFrame, small: DataFrame) -> DataFrame:
     """The lists that span components as rows (cell, class, n, coarse, root, side), cut into pairs of blocks.
 
@@ -430,9 +445,10 @@ def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tup
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = saved(pairs)
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        # Saved, its size is known: while it is small no text is shuffled to meet it.
+        # Saved, its size is known: while it is small no text is shuffled to meet it, and later few others than its own.
         one = saved(small.select("class", "doc_id", "text_key").join(wanted, "class"))
-        texts = rows.join(one, same(rows, one, "doc_id", "text_key")).select("class", "text").dropDuplicates(["class"])
+        near = _may_be_among(rows, one)
+        texts = near.join(one, same(near, one, "doc_id", "text_key")).select("class", "text").dropDuplicates(["class"])
         sets = saved(texts.mapInArrow(_sets(width, percent, common), made))
         both = pairs
         for side, c in (("x", "a"), ("y", "b")):

@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.llm import jaccard_join
 
@@ -39,3 +40,32 @@ def test_pairs_of_a_large_cell_are_reduced_as_they_come(nearest, monkeypatch):
     else:
         got = [(int(a), int(b)) for x, y in found for a, b in zip(x, y)]
         assert set(got) == {(i, j) for i in range(n) for j in range(i + 1, n)} and len(found) > 5
+
+
+def test_only_wanted_texts_move(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") != 7, F.col("id")).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.xxhash64("id").alias("text_key")
+    )
+    few = rows.where("text_key % 20 = 0 OR doc_id IS NULL OR doc_id = 0").select("doc_id", "text_key")
+    near = jaccard_join._may_be_among(rows, few)
+    assert near.columns == rows.columns
+    got = {tuple(r) for r in near.select("doc_id", "text_key").collect()}
+    want = {tuple(r) for r in few.collect()}
+    assert want <= got and len(got) <= len(want) + 20 and len(want) > 500
+    assert jaccard_join._may_be_among(rows, few.where("false")).count() == 0
+
+
+def test_links_with_joins_of_all_sizes_by_shuffle(spark, monkeypatch):
+    """With no small-table joins, as on large inputs: the same groups."""
+    rnd = np.random.default_rng(4)
+    words = [f"w{x}" for x in range(400)]
+    base = [[words[x] for x in rnd.integers(0, 400, 120)] for _ in range(30)]
+    texts = [" ".join(b) for b in base] + [" ".join(b[:-1] + ["other"]) for b in base[:12]] + [" ".join(b[1:]) for b in base[6:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs, 4, 85).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: i for i in range(30)} | {30 + i: i for i in range(12)} | {42 + i: 6 + i for i in range(14)}
