@@ -4,7 +4,7 @@ Generators with high recall propose overlapping spans: every match of the four f
 and loose ones (disguised addresses, addresses with the text around them, national phone numbers). Boosted
 trees score each candidate from its form and its surroundings. They learn from candidates that the fixed
 grammars can judge (valid: personal; failing, or loose and swallowing text around a valid address: not) and from
-disguised forms of the valid addresses (personal), on a bounded sample; the threshold is the lowest score that keeps the wanted precision on rows kept aside. Valid matches of the fixed grammars always stay;
+disguised forms of the valid addresses (personal), from all of them but a quarter; the threshold is the lowest score that keeps the wanted precision on that quarter, kept aside. Valid matches of the fixed grammars always stay;
 the model adds candidates that the grammars can't judge and that overlap none of these.
 
 Only built-in expressions run over texts. Positions come from splitting a text at the matches: the lengths of
@@ -41,8 +41,6 @@ LOOSE = {
 DISGUISES = [(" @ ", "."), (" @ ", " . "), (" (at) ", "."), (" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", ".")]
 CONTEXT = 24
 CUES = r"(?i)(mail|phone|call|tel|fax|card|visa|contact|address|server|host|login|user|pay)"
-#: Candidates the trees learn from: all, or a seeded sample of about this many.
-SAMPLE_CANDIDATES = 20_000
 ROUNDS, DEPTH = 10, 3
 PRECISION = 0.98
 SPAN = "array<struct<start:int,stop:int,match:string>>"
@@ -157,14 +155,12 @@ def _described(found: DataFrame) -> DataFrame:
                        *[F.coalesce(number(v), F.lit(0.0)).alias(k) for k, v in features.items()])
 
 
-def train(candidates: DataFrame, sample: int = SAMPLE_CANDIDATES):
-    """(model, threshold), or None when the judged candidates do not show both classes."""
-    judged = candidates.where("judged")
-    counts = {r["valid"]: r["count"] for r in judged.groupBy("valid").count().collect()}
-    if len(counts) < 2:
+def train(candidates: DataFrame):
+    """(model, columns, threshold) of all judged candidates, or None when they do not show both classes."""
+    rows = candidates.where("judged")
+    if rows.select("valid").distinct().count() < 2:
         return None
     place = F.pmod(F.xxhash64("doc_id", "text_key", "start", "stop", "kind"), F.lit(1_000_000))
-    rows = judged.where(place < int(1_000_000 * min(1.0, sample / sum(counts.values()))))
     columns = [c for c in candidates.columns if c.startswith("f_")]
     rows = saved(VectorAssembler(inputCols=columns, outputCol="features").transform(rows).select(
         "features", F.col("valid").cast("double").alias("label"), (place % 4 == 0).alias("held")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard_join
+from riskloom.llm import jaccard_join, pii
 
 
 @pytest.mark.parametrize("nearest", [True, False])
@@ -69,3 +69,29 @@ def test_links_with_joins_of_all_sizes_by_shuffle(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == {i: i for i in range(30)} | {30 + i: i for i in range(12)} | {42 + i: 6 + i for i in range(14)}
+
+
+def test_trees_learn_from_all_judged_candidates(spark, monkeypatch):
+    rows = spark.range(50_000).select(
+        F.col("id").alias("doc_id"), F.col("id").alias("text_key"), F.lit("email").alias("kind"), F.lit(0).alias("start"), F.lit(9).alias("stop"),
+        (F.col("id") % 10 > 0).alias("judged"), (F.col("id") % 3 > 0).alias("valid"), (F.col("id") % 3).cast("double").alias("f_a"),
+    )
+    seen = {}
+
+    class Trees:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, grow):
+            seen["grow"] = grow.count()
+            raise StopIteration
+
+    def kept(table):
+        seen["all"] = table.count()
+        return table
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    monkeypatch.setattr(pii, "saved", kept)
+    with pytest.raises(StopIteration):
+        pii.train(rows)
+    assert seen["all"] == 45_000 and 33_000 < seen["grow"] < 34_500
