@@ -42,6 +42,35 @@ def uniform(keys: np.ndarray) -> np.ndarray:
     return ((mix(keys) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
+#: Bits of a hash that choose its place in a table.
+PLACE_BITS = 18
+_FAR = np.uint64(64 - PLACE_BITS)
+
+
+def _table(hashes: np.ndarray, ids: np.ndarray):
+    """(spread hashes in order, ids, where the hashes with each first bits begin, the most that share them)."""
+    hashes = hashes * _STEP  # an odd number: different hashes stay different
+    order = np.argsort(hashes)
+    hashes, ids = hashes[order], ids[order]
+    n = np.bincount((hashes >> _FAR).astype(np.int64), minlength=1 << PLACE_BITS)
+    start = np.minimum(np.cumsum(n) - n, len(hashes) - 1).astype(np.int32)
+    return hashes, ids, start, int(n.max())
+
+
+def _look_up(table, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``h`` are in the table, their ids)."""
+    hashes, ids, start, most = table
+    h = h * _STEP
+    at = start[(h >> _FAR).astype(np.int64)]
+    near = hashes[at]
+    for _ in range(most - 1):
+        later = np.flatnonzero(near < h)
+        at[later] = np.minimum(at[later] + 1, len(hashes) - 1)
+        near[later] = hashes[at[later]]
+    on = np.flatnonzero(near == h)
+    return on, ids[at[on]]
+
+
 class Pieces:
     """The model's pieces with log probabilities, and tables of the hashes of pieces and of their beginnings."""
 
@@ -76,7 +105,7 @@ class Pieces:
                 h = int(substring(p, np.array([0]), np.array([n]))[0])
                 begin.setdefault(n, {}).setdefault(h, -1)
             begin[len(c)][h] = i
-        self.begin = {n: tuple(np.array(x, dtype=d) for x, d in zip(zip(*sorted(v.items())), (np.uint64, np.int64))) for n, v in begin.items()}
+        self.begin = {n: _table(*(np.array(x, dtype=d) for x, d in zip(zip(*sorted(v.items())), (np.uint64, np.int64)))) for n, v in begin.items()}
         self.longest = max(begin)
 
 
@@ -97,11 +126,8 @@ class Lattices:
             alive = alive[alive + size <= stop[alive]]
             if not len(alive):
                 break
-            h = substring(p, alive, alive + size)
-            hashes, ids = known.begin[size]
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            on = np.flatnonzero(hashes[at] == h)
-            alive, piece = alive[on], ids[at[on]]
+            on, piece = _look_up(known.begin[size], substring(p, alive, alive + size))
+            alive = alive[on]
             hit = np.flatnonzero(piece >= 0)
             source.append(alive[hit])
             length.append(np.full(len(hit), size))
@@ -118,18 +144,21 @@ class Lattices:
         source, length, name, logp = (np.concatenate(x) for x in (source, length, name, logp))
         far = stop[source] - source
         order = np.argsort(far * n + source, kind="stable")  # words are worked through from their ends
-        mass = np.zeros(n + 1)
-        levels = np.flatnonzero(np.concatenate(([True], np.diff(far[order]) != 0, [True])))
-        for a, b in zip(levels[:-1], levels[1:]):
-            e = order[a:b]
-            value = logp[e] + np.where(source[e] + length[e] == stop[source[e]], 0.0, mass[source[e] + length[e]])
-            first = np.flatnonzero(np.concatenate(([True], np.diff(source[e]) != 0)))
-            mass[source[e[first]]] = np.logaddexp.reduceat(value, first)
+        source, length, name, logp, far = (x[order] for x in (source, length, name, logp, far))
         end = source + length
-        share = np.minimum(logp + np.where(end == stop[source], 0.0, mass[end]) - mass[source], 0.0)
+        last = end == stop[source]
+        first = np.flatnonzero(np.concatenate(([True], source[1:] != source[:-1])))
+        levels = np.flatnonzero(np.concatenate(([True], far[1:] != far[:-1], [True])))
+        cuts = np.searchsorted(first, levels)
+        mass, value = np.zeros(n + 1), np.empty(len(source))
+        for a, b, x, y in zip(levels[:-1].tolist(), levels[1:].tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            value[a:b] = logp[a:b] + np.where(last[a:b], 0.0, mass[end[a:b]])
+            mass[source[first[x:y]]] = np.logaddexp.reduceat(value[a:b], first[x:y] - a)
+        share = np.minimum(value - mass[source], 0.0)
         order = np.argsort(source - 0.5 * np.exp(share), kind="stable")  # likely pieces first, so that draws end soon
         self.source, self.length, self.name, self.share = source[order], length[order], name[order], share[order]
-        self.first = np.searchsorted(self.source, np.arange(n + 1))
+        self.choices = np.bincount(source, minlength=n)
+        self.first = np.concatenate(([0], np.cumsum(self.choices)))
         sums = np.concatenate(([0.0], np.cumsum(np.exp(self.share))))
         self.upto = sums[1:] - sums[self.first[self.source]]
         self.upto[self.first[1:] - 1] = 1.0
@@ -169,24 +198,26 @@ class _Paths:
         edges = np.concatenate([e for e, _ in tails]) if tails else np.zeros(0, np.int64)
         size = np.array([len(e) for e, _ in tails], dtype=np.int64)
         self.at = np.concatenate(([0], np.cumsum(size)))
-        heads, owner = self.at[:-1], np.repeat(np.arange(len(tails)), size)
+        heads = self.at[:-1]
         own = lattice.share[edges]
         # Summed text by text, so that neighbours do not change the last digits.
-        sums = np.concatenate([np.concatenate(([0.0], np.cumsum(lattice.share[e])[:-1])) for e, _ in tails]) if tails else own
-        self.before = np.asarray(base)[owner] + sums
+        sums = np.zeros(len(own))
+        for a, b in zip(heads.tolist(), self.at[1:].tolist()):
+            np.cumsum(own[a : b - 1], out=sums[a + 1 : b])
+        self.before = np.repeat(np.asarray(base, dtype=np.float64), size) + sums
         self.logp = (self.before + own)[self.at[1:] - 1] if tails else own
         taken = np.exp(own)
         source = lattice.source[edges]
-        others = lattice.first[source + 1] - lattice.first[source] - 1
+        others = lattice.choices[source] - 1
         for h, x in zip(heads.tolist(), shut):
             if x:
                 taken[h] += np.exp(lattice.share[x]).sum()
                 others[h] -= len(x)
-        number = np.arange(len(edges)) - heads[owner] + np.asarray(fork, dtype=np.int64)[owner]
+        number = np.arange(len(edges)) + np.repeat(np.asarray(fork, dtype=np.int64) - heads, size)
         with np.errstate(divide="ignore"):
             mass = self.before + np.log(np.maximum(1 - taken, 1e-300))
-            noise = np.log(-np.log(uniform(np.asarray(keys, dtype=np.uint64)[owner] + number.astype(np.uint64) * _STEP)))
-        self.bounds = np.where(others == 0, -np.inf, -np.logaddexp(-np.asarray(bound)[owner], noise - mass))
+            noise = np.log(-np.log(uniform(np.repeat(np.asarray(keys, dtype=np.uint64), size) + number.astype(np.uint64) * _STEP)))
+        self.bounds = np.where(others == 0, -np.inf, -np.logaddexp(np.repeat(-np.asarray(bound, dtype=np.float64), size), noise - mass))
         self.best = np.maximum.reduceat(self.bounds, heads).tolist() if tails else []
 
     def take(self, k: int) -> tuple[int, int]:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm import jaccard_join, pii
+from riskloom.llm import sentencepiece_sampling as sp
 
 
 @pytest.mark.parametrize("nearest", [True, False])
@@ -95,3 +96,16 @@ def test_trees_learn_from_all_judged_candidates(spark, monkeypatch):
     with pytest.raises(StopIteration):
         pii.train(rows)
     assert seen["all"] == 45_000 and 33_000 < seen["grow"] < 34_500
+
+
+def test_tables_of_pieces_find_what_they_hold():
+    """Also hashes that share their first bits, and those beyond either end."""
+    rnd = np.random.default_rng(7)
+    back = np.uint64(pow(int(sp._STEP), -1, 1 << 64))
+    spread = np.unique(np.concatenate((rnd.integers(0, 1 << 64, 3000, dtype=np.uint64), np.arange(40, dtype=np.uint64), np.uint64(2**64 - 1) - np.arange(30, dtype=np.uint64))))
+    hashes = spread * back
+    ids = rnd.permutation(len(hashes))
+    h = np.concatenate((hashes, (spread + np.uint64(1)) * back, rnd.integers(0, 1 << 64, 5000, dtype=np.uint64)))
+    on, got = sp._look_up(sp._table(hashes, ids), h)
+    known = dict(zip(hashes.tolist(), ids.tolist()))
+    assert {int(i): int(v) for i, v in zip(on, got)} == {i: known[x] for i, x in enumerate(h.tolist()) if x in known}
