@@ -204,8 +204,9 @@ class BlockMaxIndex:
         self.labels = np.zeros(len(full), dtype=np.int64)
         self.ids = np.full(len(full), -1, dtype=np.int64)
         self.labels[:n], self.ids[:n] = [labels[i] for i in order], [ids[i] for i in order]
-        self.rows = full.reshape(blocks, BLOCK, len(common))
-        self.peak = self.rows.max(axis=1)
+        # A row for each block and common term: a query reads the terms it has.
+        self.peak = full.reshape(blocks, BLOCK, len(common)).max(axis=1)
+        self.rows = np.ascontiguousarray(full.reshape(blocks, BLOCK, len(common)).transpose(0, 2, 1)).reshape(-1, BLOCK)
         # Postings of the other terms, one after the other: rows and weights from start[t] to start[t + 1].
         at, row, w = (np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, dtype=np.int64),) * 3
         by = np.argsort(at, kind="stable")
@@ -215,22 +216,24 @@ class BlockMaxIndex:
     def nearest(self, at: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, cosines) of the k nearest with a cosine above zero, nearest first; ties by position."""
         c = self.column[at]
-        query = np.zeros(self.rows.shape[2], dtype=np.float32)
-        query[c[c >= 0]] = weight[c >= 0]
+        here, own = c[c >= 0], weight[c >= 0].astype(np.float32)
+        query = np.zeros(self.peak.shape[1], dtype=np.float32)
+        query[here] = own
         rare, w = at[c < 0], weight[c < 0]
         first, n = self.start[rare], self.start[rare + 1] - self.start[rare]
         taken = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        known = np.bincount(self.posting[taken], self.weight[taken] * np.repeat(w, n), minlength=len(self.ids)).reshape(-1, BLOCK)
+        known = np.bincount(self.posting.take(taken), self.weight.take(taken) * np.repeat(w, n), minlength=len(self.ids)).reshape(-1, BLOCK)
         bound = known.max(axis=1) + self.peak @ query
         order = np.argsort(-bound, kind="stable")
         order = order[: int(np.count_nonzero(bound > 0))]
         pos, cos, done, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0, -np.inf
         while done < len(order) and bound[order[done]] + 1e-5 >= least:
             part = order[done : done + STEP_BLOCKS]
-            got = (known[part] + self.rows[part] @ query).ravel()
-            here = np.flatnonzero(got >= least)
-            pos = np.concatenate((pos, part[here // BLOCK] * BLOCK + here % BLOCK))
-            cos = np.concatenate((cos, got[here]))
+            read = self.rows.take((part[:, None] * len(query) + here).ravel(), axis=0).reshape(len(part), len(here), BLOCK)
+            got = (known[part] + own @ read).ravel()
+            near = np.flatnonzero(got >= least)
+            pos = np.concatenate((pos, part[near // BLOCK] * BLOCK + near % BLOCK))
+            cos = np.concatenate((cos, got[near]))
             if len(cos) >= self.k:
                 least = np.partition(cos, len(cos) - self.k)[len(cos) - self.k]
                 keep = cos >= least  # ties with the last one stay until the end

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard_join, pii
+from riskloom.llm import jaccard_join, pii, toxicity
 from riskloom.llm import sentencepiece_sampling as sp
 
 
@@ -98,6 +98,22 @@ def test_trees_learn_from_all_judged_candidates(spark, monkeypatch):
     assert seen["all"] == 45_000 and 33_000 < seen["grow"] < 34_500
 
 
+def test_votes_read_only_the_common_terms_of_a_text():
+    """A step reads its blocks' weights of the terms that a query has, not those of all common terms."""
+    rnd, size = np.random.default_rng(6), 600
+    vectors = [(at, np.full(len(at), 1 / np.sqrt(len(at)))) for at in (np.sort(rnd.choice(size, 200, replace=False)) for _ in range(4000))]
+    index = toxicity.BlockMaxIndex(vectors, list(range(4000)), [n % 2 for n in range(4000)], size)
+    at = np.array([5, 77, 300])
+    index.nearest(at, np.full(3, 0.5))
+    tracemalloc.start()
+    pos, cos = index.nearest(at, np.full(3, 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    dense = np.array([np.isin(at, a).sum() * 0.5 / np.sqrt(200) for a, _ in vectors])
+    assert np.allclose(cos, np.sort(dense)[::-1][:15], atol=1e-6) and np.allclose(dense[index.ids[pos]], cos, atol=1e-6)
+    assert peak < 500_000
+
+
 def test_tables_of_pieces_find_what_they_hold():
     """Also hashes that share their first bits, and those beyond either end."""
     rnd = np.random.default_rng(7)
