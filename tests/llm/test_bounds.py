@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import jaccard_join, pii, toxicity
+from riskloom.llm import jaccard_join, pii, suffix_dedup, toxicity
 from riskloom.llm import sentencepiece_sampling as sp
 
 
@@ -125,3 +125,34 @@ def test_tables_of_pieces_find_what_they_hold():
     on, got = sp._look_up(sp._table(hashes, ids), h)
     known = dict(zip(hashes.tolist(), ids.tolist()))
     assert {int(i): int(v) for i, v in zip(on, got)} == {i: known[x] for i, x in enumerate(h.tolist()) if x in known}
+
+
+def test_a_large_bucket_of_suffixes_takes_little_more_than_its_bytes():
+    rng, size, names, sides = np.random.default_rng(3), 400, [], []
+    base = rng.integers(97, 123, 2 * size - suffix_dedup.KEY, dtype=np.uint8)
+    a = size - suffix_dedup.KEY  # bytes left of the anchor
+    for k in range(6000):
+        row = base.copy()
+        for at in rng.integers(0, a, 1 + k % 2).tolist() + rng.integers(size, len(base), k % 3).tolist():
+            row[at] = rng.integers(97, 123)
+        names.append(k.to_bytes(16, "little"))
+        sides.append((row[k % 40 : a].tobytes(), row[a:].tobytes()))
+    table = pa.table({
+        "key": pa.array([7] * len(names), pa.int64()), "name": pa.array(names, pa.binary()),
+        "left": pa.array([x for x, _ in sides], pa.binary()), "right": pa.array([y for _, y in sides], pa.binary()), "many": [False] * len(names),
+    })
+    tracemalloc.start()
+    got = suffix_dedup._reaches(size)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * sum(len(x) + len(y) for x, y in sides)
+    want: dict = {}
+    for reach in range(a + 1):
+        found: dict = {}
+        for name, (x, y) in zip(names, sides):
+            if len(x) >= reach:
+                found.setdefault((x[len(x) - reach :], y[: size - reach]), []).append(name)
+        for those in found.values():
+            for name in those if len(those) > 1 else ():
+                want[name] = (want.get(name, (reach,))[0], reach)
+    assert want == {r["name"]: (r["least"], r["most"]) for r in got.to_pylist()}
