@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.bytehash import mix
-from riskloom.llm.common import documents, records, release, same, saved
+from riskloom.llm.common import batches_of, documents, records, release, same, saved
 from riskloom.llm.components import components
 from riskloom.llm.shingles import shingle_sets
 
@@ -46,6 +46,9 @@ COARSE_BYTES = 128
 STEP_ROWS = 1 << 14
 #: Candidate pairs that a task gathers before it reduces them or passes them on.
 STEP_PAIRS = 1 << 18
+#: Rows that a Python task gets at once: those with two whole sets each have some 10 KB, and the JVM, the task's input
+#: and its lists hold them at the same time.
+BATCH_ROWS = 2000
 #: Bits of the map that tells which texts may be wanted: 4 MB, whatever the input.
 MAP_BITS = 1 << 25
 #: Rounds that try each class's nearest in another component, before all that is left is tried.
@@ -420,6 +423,11 @@ def _cells(lists: DataFrame, roots: DataFrame, small: DataFrame) -> DataFrame:
 def classes_and_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, links, roots): members (doc_id, text_key, class, n) of every row; links (a, b), enough of the
     links between classes to connect all that are connected; roots (node, root) of the linked classes."""
+    with batches_of(docs.sparkSession, BATCH_ROWS):  # every Python step below is run at once
+        return _classes_and_links(docs, width, percent)
+
+
+def _classes_and_links(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     spark = docs.sparkSession
     rows = records(docs).select("doc_id", "text_key", "text")
     common = spark.sparkContext.broadcast(commonness(token_sketch(rows, width)))

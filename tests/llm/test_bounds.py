@@ -156,3 +156,32 @@ def test_a_large_bucket_of_suffixes_takes_little_more_than_its_bytes():
             for name in those if len(those) > 1 else ():
                 want[name] = (want.get(name, (reach,))[0], reach)
     assert want == {r["name"]: (r["least"], r["most"]) for r in got.to_pylist()}
+
+
+def test_tasks_of_the_join_get_few_rows_at_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BATCH_ROWS", 50, raising=False)
+
+    def watched(make):
+        def made(*args):
+            inner = make(*args)
+
+            def go(batches):
+                def few():
+                    for b in batches:
+                        assert b.num_rows <= 50, "too many rows at once"
+                        yield b
+
+                return inner(few())
+
+            return go
+
+        return made
+
+    for name in ("_sketch", "_describe", "_sets", "_linked", "_signs_allow", "_cross"):
+        monkeypatch.setattr(jaccard_join, name, watched(getattr(jaccard_join, name)))
+    bound = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    texts = [(2 * i + j, " ".join(f"w{i}x{k}" for k in range(30)) + j * " more") for i in range(150) for j in range(2)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(docs, 4, 85).collect()}
+    assert got == {i: i - i % 2 for i, _ in texts}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == bound
