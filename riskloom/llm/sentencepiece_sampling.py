@@ -32,6 +32,8 @@ ALPHA = 1.0
 SEED = 97
 #: Texts are sampled together up to about this many characters.
 CHUNK_CHARS = 2_000_000
+#: log(-log(u)) of 53-bit numbers u lies between -36.8 and 3.7.
+NOISE_SPAN = 41.0
 SPACE = 0x2581
 _ALL = (1 << 64) - 1
 _STEP, _UNIT, _ROUND = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -120,8 +122,14 @@ class Lattices:
     def __init__(self, known: Pieces, chars: np.ndarray, stop: np.ndarray):
         """chars: all words one after the other; stop: for each character the end of its word."""
         n, p = len(chars), prefixes(chars)
-        source, length, name, logp = [], [], [], []
-        alive, single = np.arange(n), np.zeros(n, dtype=bool)
+        source, length, name, logp, nth = [], [], [], [], []
+        alive, single, choices = np.arange(n), np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
+
+        def edges(at):
+            source.append(at)
+            nth.append(choices[at])
+            choices[at] += 1
+
         for size in range(1, known.longest + 1):
             alive = alive[alive + size <= stop[alive]]
             if not len(alive):
@@ -129,37 +137,52 @@ class Lattices:
             on, piece = _look_up(known.begin[size], substring(p, alive, alive + size))
             alive = alive[on]
             hit = np.flatnonzero(piece >= 0)
-            source.append(alive[hit])
+            edges(alive[hit])
             length.append(np.full(len(hit), size))
             name.append(piece[hit])
             logp.append(known.logp[piece[hit]])
             if size == 1:
                 single[alive[hit]] = True
         lost = np.flatnonzero(~single)  # spelled in bytes; the edge's name is the character, negative
-        source.append(lost)
+        edges(lost)
         length.append(np.ones(len(lost), dtype=np.int64))
         name.append(-chars[lost].astype(np.int64))
         width = np.select([chars[lost] < 0x80, chars[lost] < 0x800, chars[lost] < 0x10000], [1, 2, 3], 4)
         logp.append(width * known.logp[known.byte_id[0]])
-        source, length, name, logp = (np.concatenate(x) for x in (source, length, name, logp))
-        far = stop[source] - source
-        order = np.argsort(far * n + source, kind="stable")  # words are worked through from their ends
-        source, length, name, logp, far = (x[order] for x in (source, length, name, logp, far))
-        end = source + length
-        last = end == stop[source]
-        first = np.flatnonzero(np.concatenate(([True], source[1:] != source[:-1])))
-        levels = np.flatnonzero(np.concatenate(([True], far[1:] != far[:-1], [True])))
-        cuts = np.searchsorted(first, levels)
+        # Words are worked through from their ends. Each place has an edge, so places are sorted and edges follow.
+        far = stop - np.arange(n)
+        by_far = np.argsort(far.astype(np.uint16) if far.max(initial=0) < 1 << 16 else far, kind="stable")
+        many, far = choices[by_far], far[by_far]
+        first = np.cumsum(many) - many
+        begin = np.empty(n, dtype=np.int64)
+        begin[by_far] = first
+        to = begin[np.concatenate(source)] + np.concatenate(nth)
+
+        def laid(column):
+            out = np.empty(len(to), dtype=column.dtype)
+            out[to] = column
+            return out
+
+        length, name, logp = (laid(np.concatenate(x)) for x in (length, name, logp))
+        source = np.repeat(by_far, many)
+        end, last = source + length, length == np.repeat(far, many)
+        cuts = np.concatenate((np.flatnonzero(np.concatenate((far[:1] > 0, far[1:] != far[:-1]))), [n]))
+        levels = np.append(first, len(source))[cuts]
         mass, value = np.zeros(n + 1), np.empty(len(source))
         for a, b, x, y in zip(levels[:-1].tolist(), levels[1:].tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
             value[a:b] = logp[a:b] + np.where(last[a:b], 0.0, mass[end[a:b]])
-            mass[source[first[x:y]]] = np.logaddexp.reduceat(value[a:b], first[x:y] - a)
-        share = np.minimum(value - mass[source], 0.0)
-        order = np.argsort(source - 0.5 * np.exp(share), kind="stable")  # likely pieces first, so that draws end soon
-        self.source, self.length, self.name, self.share = source[order], length[order], name[order], share[order]
-        self.choices = np.bincount(source, minlength=n)
-        self.first = np.concatenate(([0], np.cumsum(self.choices)))
-        sums = np.concatenate(([0.0], np.cumsum(np.exp(self.share))))
+            mass[by_far[x:y]] = np.logaddexp.reduceat(value[a:b], first[x:y] - a)
+        share = np.minimum(value - np.repeat(mass[by_far], many), 0.0)
+        self.choices, self.first = choices, np.concatenate(([0], np.cumsum(choices)))
+        back = np.arange(len(source)) + np.repeat(begin - self.first[:-1], choices)
+        self.source, share = np.repeat(np.arange(n), choices), share[back]
+        order = np.argsort(self.source - 0.5 * np.exp(share), kind="stable")  # likely pieces first, so that draws end soon
+        self.share, back = share[order], back[order]
+        self.length, self.name, self.last = length[back], name[back], last[back]
+        chance = np.exp(self.share)
+        self.others = choices[self.source] - 1
+        self.rest = np.log(np.maximum(1 - chance, 1e-300))  # log share of the other edges of its source
+        sums = np.concatenate(([0.0], np.cumsum(chance)))
         self.upto = sums[1:] - sums[self.first[self.source]]
         self.upto[self.first[1:] - 1] = 1.0
         self.stop = stop
@@ -167,7 +190,7 @@ class Lattices:
     def walk(self, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """From each place to its word's end: (which start, edge) of all steps, in order."""
         who, which, edges, step = np.arange(len(at)), [], [], 0
-        at = at.copy()
+        at, steps = at.copy(), np.zeros(len(at), dtype=np.int64)
         while len(who):
             u = uniform(keys[who] + np.uint64(step * int(_STEP) & _ALL))
             e = self.first[at]
@@ -177,23 +200,25 @@ class Lattices:
                 more = more[self.upto[e[more]] < u[more]]
             which.append(who)
             edges.append(e)
+            steps[who] += 1
             at = at + self.length[e]
-            go = at < self.stop[self.source[e]]
+            go = ~self.last[e]
             who, at, step = who[go], at[go], step + 1
-        if not which:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        which, edges = np.concatenate(which), np.concatenate(edges)
-        order = np.argsort(which, kind="stable")
-        return which[order], edges[order]
+        begin = np.cumsum(steps) - steps
+        out = np.empty(int(steps.sum()), dtype=np.int64)
+        for step, (w, e) in enumerate(zip(which, edges)):
+            out[begin[w] + step] = e
+        return np.repeat(np.arange(len(steps)), steps), out
 
 
 class _Paths:
     """One new path for each of several texts, laid out one after the other, from the piece on where it leaves
     an earlier path; with the bounds of the nodes that leave it in turn."""
 
-    def __init__(self, lattice: Lattices, tails, fork, base, bound, keys, shut):
+    def __init__(self, lattice: Lattices, tails, fork, base, bound, keys, shut, k):
         """tails: (edges, units) of each text; fork: its first piece's number; base: log mass before that piece;
-        bound: the noise of the path; shut: other edges already taken at the fork."""
+        bound: the noise of the path; shut: other edges already taken at the fork; k: how many
+        nodes of a path may be asked for."""
         self.tails, self.fork, self.bound = tails, fork, bound
         edges = np.concatenate([e for e, _ in tails]) if tails else np.zeros(0, np.int64)
         size = np.array([len(e) for e, _ in tails], dtype=np.int64)
@@ -206,26 +231,36 @@ class _Paths:
             np.cumsum(own[a : b - 1], out=sums[a + 1 : b])
         self.before = np.repeat(np.asarray(base, dtype=np.float64), size) + sums
         self.logp = (self.before + own)[self.at[1:] - 1] if tails else own
-        taken = np.exp(own)
-        source = lattice.source[edges]
-        others = lattice.choices[source] - 1
+        rest, others = lattice.rest[edges], lattice.others[edges]
         for h, x in zip(heads.tolist(), shut):
             if x:
-                taken[h] += np.exp(lattice.share[x]).sum()
+                taken = np.exp(own[h : h + 1]) + np.exp(lattice.share[x]).sum()
+                rest[h] = np.log(np.maximum(1 - taken, 1e-300))[0]
                 others[h] -= len(x)
-        number = np.arange(len(edges)) + np.repeat(np.asarray(fork, dtype=np.int64) - heads, size)
+        mass = np.where(others == 0, -np.inf, self.before + rest)
+        enough = np.array([np.partition(mass[a:b], -k)[-k] if b - a > k else -np.inf for a, b in zip(heads.tolist(), self.at[1:].tolist())])
+        # No node of much less mass can be among the k nearest.
+        near = np.flatnonzero(mass >= np.repeat(enough - NOISE_SPAN, size))
+        path = np.repeat(np.arange(len(size)), size)[near]
+        number = near + (np.asarray(fork, dtype=np.int64) - heads)[path]
         with np.errstate(divide="ignore"):
-            mass = self.before + np.log(np.maximum(1 - taken, 1e-300))
-            noise = np.log(-np.log(uniform(np.repeat(np.asarray(keys, dtype=np.uint64), size) + number.astype(np.uint64) * _STEP)))
-        self.bounds = np.where(others == 0, -np.inf, -np.logaddexp(np.repeat(-np.asarray(bound, dtype=np.float64), size), noise - mass))
-        self.best = np.maximum.reduceat(self.bounds, heads).tolist() if tails else []
+            noise = np.log(-np.log(uniform(np.asarray(keys, dtype=np.uint64)[path] + number.astype(np.uint64) * _STEP)))
+        # Below one path a node's bound falls as this rises, so only the least is turned into a bound.
+        self.depth = np.full(len(edges), np.inf)
+        self.depth[near] = noise - mass[near]
+        self.best = self._bounds(np.minimum.reduceat(self.depth, heads), self.bound).tolist() if tails else []
+
+    @staticmethod
+    def _bounds(depth, bound):
+        """The bounds of nodes, truncated at their paths'; of none, -inf."""
+        return np.where(depth == np.inf, -np.inf, -np.logaddexp(-np.asarray(bound, dtype=np.float64), depth))
 
     def take(self, k: int) -> tuple[int, int]:
         """Close text k's best node; its place in the layout and its piece number."""
         a, b = int(self.at[k]), int(self.at[k + 1])
-        at = a + int(np.argmax(self.bounds[a:b]))
-        self.bounds[at] = -np.inf
-        self.best[k] = float(self.bounds[a:b].max())
+        at = a + int(np.argmin(self.depth[a:b]))
+        self.depth[at] = np.inf
+        self.best[k] = float(self._bounds(self.depth[a:b].min(), self.bound[k]))
         return at, at - a + self.fork[k]
 
 
@@ -273,7 +308,7 @@ def sample_texts(texts: list[str], seeds: np.ndarray, k: int, alpha: float):
     tails = walks(0, live, [0] * len(live), [int(origin[first_unit[d]]) for d in live])
     noise = -np.log(-np.log(uniform(mix(seeds[live]) + _ROUND)))
     none: list = [()] * len(live)
-    rounds_ = [_Paths(lattice, tails, [0] * len(live), np.zeros(len(live)), noise, mix(seeds[live] + _STEP), none)]
+    rounds_ = [_Paths(lattice, tails, [0] * len(live), np.zeros(len(live)), noise, mix(seeds[live] + _STEP), none, k)]
     full = {d: [e] for d, (e, _) in zip(live, tails)}  # the edges of each path of a text
     unit_of = {d: [u] for d, (_, u) in zip(live, tails)}
     where = {d: [(0, n)] for n, d in enumerate(live)}  # round and place of each path
@@ -313,7 +348,7 @@ def sample_texts(texts: list[str], seeds: np.ndarray, k: int, alpha: float):
             unit_of[d].append(np.concatenate((unit_of[d][which][:t], tails[-1][1])))
             shut_at[d, len(where[d]), t] = shut
             where[d].append((rounds, len(tails) - 1))
-        rounds_.append(_Paths(lattice, tails, [j[2] for j in jobs], [j[5] for j in jobs], [j[4] for j in jobs], mix(keys + _STEP), [j[3] for j in jobs]))
+        rounds_.append(_Paths(lattice, tails, [j[2] for j in jobs], [j[5] for j in jobs], [j[4] for j in jobs], mix(keys + _STEP), [j[3] for j in jobs], k))
     ids = iter(_all_ids(known, lattice, [edges for d in live for edges in full[d]]))
     out = []
     for d in range(len(texts)):

@@ -185,3 +185,17 @@ def test_tasks_of_the_join_get_few_rows_at_once(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(docs, 4, 85).collect()}
     assert got == {i: i - i % 2 for i, _ in texts}
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == bound
+
+
+def test_noise_is_drawn_only_for_nodes_that_may_win(monkeypatch):
+    rng, drawn, uniform = np.random.default_rng(5), [], sp.uniform
+    monkeypatch.setattr(sp, "uniform", lambda keys: drawn.append(np.size(keys)) or uniform(keys))
+    text = " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(3000))
+    ((sample,),) = sp.sample_texts([text], np.array([1], dtype=np.uint64), 1, sp.ALPHA)
+    assert sp.decode_ids(sample[0]).decode() == text
+    assert sum(drawn) < 1.4 * len(sample[0])  # one each for the walk
+
+
+def test_empty_texts_alone_have_their_empty_sample():
+    got = sp.sample_texts(["", ""], np.arange(2, dtype=np.uint64), 3, sp.ALPHA)
+    assert [[(len(ids), logp, inclusion) for ids, logp, _, inclusion in found] for found in got] == [[(0, 0.0, 1.0)]] * 2
