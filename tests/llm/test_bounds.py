@@ -1,6 +1,7 @@
 """What tasks hold and what is shuffled stays bounded."""
 
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -158,6 +159,43 @@ def test_a_large_bucket_of_suffixes_takes_little_more_than_its_bytes():
     assert want == {r["name"]: (r["least"], r["most"]) for r in got.to_pylist()}
 
 
+def test_surroundings_of_a_common_passage_are_dealt_out(spark, monkeypatch):
+    """A common passage just under a string, one over it and many near copies: no task sorts a large key whole."""
+    monkeypatch.setattr(suffix_dedup, "LARGE_KEY", 20, raising=False)
+    monkeypatch.setattr(suffix_dedup, "UNEVEN", 0, raising=False)
+    rng, size, make = np.random.default_rng(11), 400, suffix_dedup._reaches
+
+    def watched(*args):
+        inner = make(*args)
+
+        def go(table):
+            keys = table["key"].to_pylist()
+            assert max(map(keys.count, set(keys))) <= 20, "one key's surroundings meet in one task"
+            return inner(table)
+
+        return go
+
+    monkeypatch.setattr(suffix_dedup, "_reaches", watched)
+    prose = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+    ends, passages = [prose(k) for k in (1, 4, 9, 30, 60)], [prose(390), prose(430)]
+    texts = [prose(300) + ends[k % 5] + passages[k % 2] + ends[k // 10 % 5] + prose(300) for k in range(160)]
+    base = np.frombuffer(prose(700), dtype=np.uint8)
+    for k in range(160):
+        near = base.copy()
+        near[rng.integers(0, 700, 1 + k % 3)] = 65 + k % 20
+        texts.append(near.tobytes())
+    texts = [t.decode() for t in texts] + [texts[3].decode()] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    seen = Counter(t[p : p + size] for t in texts for p in range(len(t) - size + 1))
+    want = {}
+    for i, t in enumerate(texts):
+        gone = {q for p in range(len(t) - size + 1) if seen[t[p : p + size]] > 1 for q in range(p, p + size)}
+        want[i] = (len(gone), "".join(c for q, c in enumerate(t) if q not in gone))
+    got = suffix_dedup.remove_repeats(docs).select("rec.doc_id", "n_removed", F.col("kept").cast("string")).collect()
+    assert {i: (n, kept) for i, n, kept in got} == want
+    assert 0 < sum(n > 0 for n, _ in want.values()) < len(want)
+
+
 def test_tasks_of_the_join_get_few_rows_at_once(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BATCH_ROWS", 50, raising=False)
 
